@@ -33,7 +33,7 @@ from gridcast.operators.series import flatten_series, upsample_hold
 from gridcast.plans import standins as S
 from gridcast.schemas import READING
 from gridcast.session import ensure_session_defaults, fresh_dir
-from gridcast.sources.bronze import parse_weather_docs
+from gridcast.sources.bronze import land_raw, parse_weather_docs, read_weather_docs
 from gridcast.sources.silver import read_silver, write_silver
 from gridcast.functions.messages import decode, encode
 
@@ -80,6 +80,32 @@ def q_silver_job(spark, sf_dir):
     return silver.select("temperature", "wind_speed", "time_15min", F.col("date").cast("string").alias("date"))
 
 
+def q_landed_weather(spark, sf_dir):
+    """S11 then S1: land bronze documents by kind and month, read them back, flatten."""
+    base = fresh_dir(spark, "bronze")
+    ev = _events(spark, sf_dir)
+    docs = S.weather_docs_text(ev)
+    landed = docs.select("value", F.lit("weather").alias("kind"), F.col("month").alias("chunk"))
+    land_raw(landed, base)
+    back = read_weather_docs(spark, f"{base}/kind=weather")
+    good, _quarantine = split_valid(flatten_series(back), ["time"])
+    return good.select("time", "temperature", "wind_speed")
+
+
+def q_landed_prices(spark, sf_dir):
+    """S11 then S2: land price records by month, read with the fixed schema."""
+    base = fresh_dir(spark, "bronze")
+    recs = S.price_records(_events(spark, sf_dir))
+    text = recs.select(
+        F.to_json(F.struct("HourUTC", "SpotPriceEUR", "arrival")).alias("value"),
+        F.lit("prices").alias("kind"),
+        F.regexp_replace(F.substring("HourUTC", 1, 7), "-", "_").alias("chunk"),
+    )
+    land_raw(text, base)
+    raw = spark.read.schema("HourUTC string, SpotPriceEUR double, arrival long").json(f"{base}/kind=prices")
+    return hourly_prices(price_series(raw), arrival_col="arrival")
+
+
 # --- C4, J1: gold training set ------------------------------------------------
 
 def prices_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,6 +237,8 @@ QUERIES: dict[str, Query] = {
     "flatten_series": q_flatten_series,
     "upsample_hold": q_upsample_hold,
     "silver_job": q_silver_job,
+    "landed_weather": q_landed_weather,
+    "landed_prices": q_landed_prices,
     "hourly_prices": q_hourly_prices,
     "hour_join": q_hour_join,
     "time_features": q_time_features,

@@ -64,6 +64,26 @@ buffer as (
 _SIGNAL = "case when {p} < 30 then 'BUY' when {p} > 80 then 'SELL' else 'HOLD' end"
 
 ORACLE: dict[str, str] = {
+    "landed_weather": f"with {_WEATHER} select time, temperature, wind_speed from weather",
+    "landed_prices": f"with {_PRICES} select price_time, label from prices",
+    "stream_features": """
+      select event_id as arrival, strftime(ts, '%Y-%m-%dT%H:%M:%S') as time, date_trunc('second', ts) as ts,
+             cast(hour(ts) as integer) as hour_of_day, cast(dayofweek(ts) + 1 as integer) as day_of_week
+      from events""",
+    "stream_distinct": "select distinct user_id, event_type from events",
+    "stream_union": f"""
+      select strftime(ts, '%Y-%m-%dT%H:%M:%S') as time, value as temperature, {_WIND} as wind_speed,
+             case when event_type = 'view' then '7-day-forecast' else 'open-meteo-live' end as source, event_id as arrival
+      from events where event_type in ('view', 'click')""",
+    "stream_last_100": f"""
+      select strftime(ts, '%Y-%m-%dT%H:%M:%S') as time, value as temperature, {_WIND} as wind_speed,
+             value as price_rf, value * 1.5 as price_gbt, event_id as arrival
+      from events order by event_id desc limit 100""",
+    "published_messages": f"""
+      select event_id as arrival, strftime(ts, '%Y-%m-%dT%H:%M:%S') as time, value as temperature,
+             {_WIND} as wind_speed,
+             case when event_type = 'view' then '7-day-forecast' else 'open-meteo-live' end as source
+      from events""",
     "flatten_series": f"with {_WEATHER} select time, temperature, wind_speed from weather",
     "upsample_hold": f"with {_WEATHER_15} select temperature, wind_speed, time_15min from weather_15",
     "silver_job": f"""with {_WEATHER_15}
@@ -139,6 +159,7 @@ ORACLE: dict[str, str] = {
              strftime(Time, '%a %d') as Label
       from buffer group by Time order by Time""",
     "distinct_rows": "select distinct user_id, event_type from events",
+    "stream_forecast_buffer": f"with {_BUFFER} select Time, Model, Price, arrival from buffer",
     "month_chunks": """
       with b as (select cast(min(o_orderdate) as date) as s, cast(max(o_orderdate) as date) as e from orders),
       m as (select s, e, cast(unnest(generate_series(cast(date_trunc('month', s) as timestamp),

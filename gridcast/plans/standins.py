@@ -49,7 +49,7 @@ def weather_events(ev: DataFrame) -> DataFrame:
 
 
 def weather_docs_text(ev: DataFrame, readings_per_doc: int = DOC_READINGS) -> DataFrame:
-    """Weather readings packed as bronze JSON documents (D1): ``chunk, value``.
+    """Weather readings packed as bronze JSON documents (D1): ``chunk, month, value``.
 
     Consecutive arrivals form a document of at most ``readings_per_doc``
     readings, so no document grows with the data. Even documents carry the
@@ -73,7 +73,8 @@ def weather_docs_text(ev: DataFrame, readings_per_doc: int = DOC_READINGS) -> Da
         F.when(old_name, F.col("r.wind")).alias("windspeed_10m"),
         F.when(~old_name, F.col("r.wind")).alias("wind_speed_10m"),
     )
-    return docs.select("chunk", F.to_json(F.struct(hourly.alias("hourly"))).alias("value"))
+    month = F.regexp_replace(F.substring(F.element_at(F.col("r.time"), 1), 1, 7), "-", "_")
+    return docs.select("chunk", month.alias("month"), F.to_json(F.struct(hourly.alias("hourly"))).alias("value"))
 
 
 def price_records(ev: DataFrame) -> DataFrame:
