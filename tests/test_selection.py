@@ -1,0 +1,102 @@
+"""C6 latest-valid, T1-T5 top-k, F1-F7 filters and their strict bounds."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridcast.functions.timefmt import parse_time
+from gridcast.operators.selection import (
+    area_filter,
+    date_range,
+    in_today_window,
+    is_fresh,
+    is_future,
+    latest_valid,
+    newest,
+    peek,
+)
+
+AS_OF = "2024-01-15 12:00:00"
+NOW = dt.datetime(2024, 1, 15, 12)
+
+
+def market(spark, prices, area="DK1"):
+    """``prices[0]`` is the newest record."""
+    rows = [(f"2024-01-01T{23 - i // 60:02d}:{59 - i % 60:02d}:00", area, p) for i, p in enumerate(prices)]
+    return spark.createDataFrame(rows, "TimeUTC string, PriceArea string, ImbalancePriceEUR double")
+
+
+@pytest.mark.parametrize("place", [1, 5, 20])
+def test_newest_valid_within_twenty(spark, place):
+    prices = [None] * 30
+    prices[place - 1] = 42.0
+    prices[25] = 99.0
+    out = latest_valid(market(spark, prices), "TimeUTC", "ImbalancePriceEUR").collect()
+    assert [r["ImbalancePriceEUR"] for r in out] == [42.0]
+
+
+def test_place_21_gives_nothing(spark):
+    prices = [None] * 20 + [42.0]
+    assert latest_valid(market(spark, prices), "TimeUTC", "ImbalancePriceEUR").count() == 0
+
+
+def test_all_null_gives_nothing(spark):
+    assert latest_valid(market(spark, [None] * 5), "TimeUTC", "ImbalancePriceEUR").count() == 0
+
+
+def test_per_area(spark):
+    a = [None, 10.0] + [None] * 30
+    b = [None] * 20 + [5.0]
+    c = [7.0]
+    df = market(spark, a, "A").unionByName(market(spark, b, "B")).unionByName(market(spark, c, "C"))
+    out = {r["PriceArea"]: r["ImbalancePriceEUR"] for r in latest_valid(df, "TimeUTC", "ImbalancePriceEUR", keys=["PriceArea"]).collect()}
+    assert out == {"A": 10.0, "C": 7.0}
+
+
+def test_newest_zero_means_unlimited(spark):
+    df = spark.range(50).withColumn("t", F.col("id"))
+    assert newest(df, "t", 0).count() == 50
+    assert [r.id for r in newest(df, "t", 3).collect()] == [49, 48, 47]
+
+
+def test_area_filter_scalar_or_list(spark):
+    df = spark.createDataFrame([("DK1",), ("DK2",), ("SE3",)], "PriceArea string")
+    assert area_filter(df, "PriceArea", "DK1").count() == 1
+    assert area_filter(df, "PriceArea", ["DK1", "DK2"]).count() == 2
+
+
+def test_date_range_end_exclusive_or_inclusive(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, d),) for d in (1, 2, 3)], "ts timestamp")
+    assert date_range(df, "ts", "2024-01-01 00:00:00", "2024-01-03 00:00:00").count() == 2
+    assert date_range(df, "ts", "2024-01-01 00:00:00", "2024-01-03 00:00:00", end_inclusive=True).count() == 3
+
+
+def _flags(spark, offsets_seconds):
+    rows = [((NOW + dt.timedelta(seconds=s)).strftime("%Y-%m-%dT%H:%M:%S"),) for s in offsets_seconds]
+    df = spark.createDataFrame(rows, "time string").withColumn("t", parse_time("time"))
+    return df.select(
+        is_fresh("t", AS_OF).alias("fresh"), in_today_window("t", AS_OF).alias("today"), is_future("t", AS_OF).alias("future")
+    ).collect()
+
+
+def test_fresh_bounds_strict(spark):
+    assert [r.fresh for r in _flags(spark, [-7200, -7199, 0, 7199, 7200])] == [False, True, True, True, False]
+
+
+def test_today_bounds_strict(spark):
+    assert [r.today for r in _flags(spark, [-43200, -43199, 86399, 86400])] == [False, True, True, False]
+
+
+def test_future_bound_strict(spark):
+    assert [r.future for r in _flags(spark, [3600, 3601])] == [False, True]
+
+
+def test_as_of_can_be_a_column(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 1, 11))], "t timestamp, now timestamp")
+    assert df.where(is_fresh("t", F.col("now"))).count() == 1
+
+
+def test_peek_one_record_as_json(spark):
+    df = spark.createDataFrame([(2, "b"), (1, "a")], "id long, s string")
+    assert peek(df, order_col="id").collect()[0]["json"] == '{"id":1,"s":"a"}'

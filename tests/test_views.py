@@ -1,0 +1,100 @@
+"""Serving views C7-C9."""
+
+import datetime as dt
+
+import pytest
+
+from gridcast.functions.signal import trade_signal
+from gridcast.operators.views import (
+    GBT_LABEL,
+    RF_LABEL,
+    current_conditions,
+    forecast_buffer,
+    forecast_buffer_rows,
+    live_series,
+    model_comparison,
+)
+
+NOW = dt.datetime(2024, 1, 15, 12)
+AS_OF = "2024-01-15 12:00:00"
+SCHEMA = "time string, temperature double, wind_speed double, price_rf double, price_gbt double, arrival long"
+
+
+def msg(offset_s, rf=50.0, gbt=60.0, arrival=0, temp=5.0, wind=3.0):
+    t = (NOW + dt.timedelta(seconds=offset_s)).strftime("%Y-%m-%dT%H:%M:%S")
+    return (t, temp, wind, rf, gbt, arrival)
+
+
+@pytest.mark.parametrize("price,signal", [(29.99, "BUY"), (30.0, "HOLD"), (80.0, "HOLD"), (80.01, "SELL"), (None, "BUY")])
+def test_signal_bounds(spark, price, signal):
+    df = spark.createDataFrame([(price,)], "p double")
+    assert df.select(trade_signal("p").alias("s")).first()["s"] == signal
+
+
+def test_signal_strict_null(spark):
+    df = spark.createDataFrame([(None,)], "p double")
+    assert df.select(trade_signal("p", missing_as_zero=False).alias("s")).first()["s"] is None
+
+
+def test_current_conditions_last_fresh_arrival_wins(spark):
+    rows = [msg(0, rf=10.0, arrival=1), msg(100, rf=6.55, temp=6.55, wind=2.25, arrival=3), msg(50, rf=90.0, arrival=2), msg(-9000, rf=99.0, arrival=4)]
+    out = current_conditions(spark.createDataFrame(rows, SCHEMA), AS_OF).collect()
+    assert len(out) == 1
+    r = out[0]
+    assert r["price"] == 6.55 and r["signal"] == "BUY"
+    # exact-binary rounding like the consumer's f-strings: 6.55 -> 6.5, 2.25 -> 2.2
+    assert (r["price_text"], r["temp_text"], r["wind_text"]) == ("€ 6.55", "6.5 °C", "2.2 m/s")
+
+
+def test_current_conditions_missing_price_is_zero(spark):
+    rows = [msg(0, rf=None, arrival=1)]
+    r = current_conditions(spark.createDataFrame(rows, SCHEMA), AS_OF).first()
+    assert r["price"] == 0.0 and r["signal"] == "BUY" and r["price_text"] == "€ 0.00"
+
+
+def test_current_conditions_nothing_fresh(spark):
+    assert current_conditions(spark.createDataFrame([msg(7200)], SCHEMA), AS_OF).count() == 0
+
+
+@pytest.mark.parametrize("n,expected", [(100, 100), (101, 100)])
+def test_live_series_cap(spark, n, expected):
+    rows = [msg(60 * i, arrival=i) for i in range(n)]
+    out = live_series(spark.createDataFrame(rows, SCHEMA), AS_OF)
+    assert out.count() == expected
+    if n == 101:  # the oldest arrival fell out
+        assert out.where("Time = timestamp'2024-01-15 12:00:00'").count() == 0
+
+
+def test_live_series_first_arrival_per_time(spark):
+    rows = [msg(0, rf=1.0, arrival=5), msg(0, rf=2.0, arrival=7), msg(-43200, arrival=8), msg(86400, arrival=9)]
+    out = live_series(spark.createDataFrame(rows, SCHEMA), AS_OF).collect()
+    assert [(r["Price"], r["Type"], r["Label"]) for r in out] == [(1.0, "Live", "12:00")]
+
+
+def _simulate(n_messages):
+    buf = []
+    for _ in range(n_messages):
+        buf += ["rf", "gbt"]
+        if len(buf) > 800:
+            buf = buf[-600:]
+    return len(buf)
+
+
+def test_buffer_length_closed_form():
+    for m in range(0, 3000):
+        assert forecast_buffer_rows(2 * m) == _simulate(m), m
+
+
+@pytest.mark.parametrize("messages,rows", [(400, 800), (401, 600)])
+def test_forecast_buffer_sawtooth(spark, messages, rows):
+    data = [msg(7200 + 60 * i, arrival=i) for i in range(messages)]
+    buf = forecast_buffer(spark.createDataFrame(data, SCHEMA), AS_OF)
+    assert buf.count() == rows
+    assert buf.agg({"_arrival": "min"}).first()[0] == messages - rows // 2
+
+
+def test_comparison_pivot_latest_price_wins(spark):
+    data = [msg(7200, rf=10.0, gbt=11.0, arrival=1), msg(7200, rf=12.0, gbt=11.0, arrival=2), msg(10800, rf=20.0, gbt=21.0, arrival=3), msg(3600, arrival=4)]
+    out = model_comparison(spark.createDataFrame(data, SCHEMA), AS_OF).collect()
+    assert [(r["Time"].hour, r[RF_LABEL], r[GBT_LABEL]) for r in out] == [(14, 12.0, 11.0), (15, 20.0, 21.0)]
+    assert out[0]["Label"] == "Mon 15"
