@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -63,3 +64,33 @@ def upsample_hold(
     return df.select(*cols, F.col(time_col).alias("_base"), F.explode(offsets).alias("_offset")).select(
         *cols, plus_minutes("_base", "_offset").alias(out_col)
     )
+
+
+def upsample_hold_sql(
+    df: DataFrame,
+    time_col: str = "time",
+    out_col: str = "time_15min",
+    step_minutes: int = 15,
+    period_minutes: int = 60,
+) -> DataFrame:
+    """C2 written as Spark SQL over a temporary view.
+
+    Same result and the same plan as ``upsample_hold`` (Catalyst folds the
+    offset array and keeps the Generate narrow); for callers who keep their
+    transforms as SQL text. The view gets a fresh name per call, so
+    concurrent jobs in one session do not overwrite each other's view.
+    """
+    view = f"readings_hourly_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
+    offsets = ", ".join(str(o) for o in hold_offsets(step_minutes, period_minutes))
+    others = ", ".join(f"`{c}`" for c in df.columns if c != time_col)
+    lead = f"{others}, " if others else ""
+    return df.sparkSession.sql(
+        f"""
+        SELECT {lead}base_time + make_interval(0, 0, 0, 0, 0, minute_offset, 0) AS `{out_col}`
+        FROM (
+          SELECT {lead}`{time_col}` AS base_time, explode(array({offsets})) AS minute_offset
+          FROM {view}
+        )
+        """
+    )

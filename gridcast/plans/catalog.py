@@ -29,11 +29,12 @@ from gridcast.operators.selection import (
     peek,
     sort_by,
 )
-from gridcast.operators.series import flatten_series, upsample_hold
+from gridcast.operators.readings import forecast_readings, live_readings, market_messages
+from gridcast.operators.series import flatten_series, upsample_hold, upsample_hold_sql
 from gridcast.plans import standins as S
 from gridcast.schemas import READING
 from gridcast.session import ensure_session_defaults, fresh_dir
-from gridcast.sources.bronze import land_raw, parse_weather_docs, read_weather_docs
+from gridcast.sources.bronze import land_raw, parse_live_docs, parse_weather_docs, read_weather_docs
 from gridcast.sources.silver import read_silver, write_silver
 from gridcast.functions.messages import decode, encode
 
@@ -72,6 +73,12 @@ def q_upsample_hold(spark, sf_dir):
     return weather_15min(spark, sf_dir).select("temperature", "wind_speed", "time_15min")
 
 
+def q_upsample_sql(spark, sf_dir):
+    """C2 as SQL text over a temporary view."""
+    hourly = weather_hourly(spark, sf_dir).select("temperature", "wind_speed", "time")
+    return upsample_hold_sql(hourly, time_col="time").select("temperature", "wind_speed", "time_15min")
+
+
 def q_silver_job(spark, sf_dir):
     """Flatten, upsample, write date-partitioned Parquet, read it back."""
     path = fresh_dir(spark, "silver")
@@ -147,6 +154,26 @@ def q_json_pack(spark, sf_dir):
     return pred.select("arrival", encode(["time", "temperature", "wind_speed", "price_rf", "price_gbt"]).alias("value"))
 
 
+# --- producers' data logic: P4, P11-P14 -------------------------------------
+
+def q_forecast_messages(spark, sf_dir):
+    """Forecast documents to one reading message per hour."""
+    docs = parse_weather_docs(S.weather_docs_text(_events(spark, sf_dir)))
+    return forecast_readings(docs)
+
+
+def q_live_messages(spark, sf_dir):
+    """Live documents to readings stamped with their fetch time."""
+    docs = parse_live_docs(S.live_docs_text(_events(spark, sf_dir)), keep=["arrival", "fetched"])
+    return live_readings(docs, stamp="fetched", keep=["arrival"])
+
+
+def q_market_messages(spark, sf_dir):
+    """Per area, the newest priced record among its 20 newest, fetch-stamped."""
+    market = S.market_records(_events(spark, sf_dir))
+    return market_messages(market, tie_col="arrival", at=as_of_col(AS_OF))
+
+
 # --- C6, F1-F4, T1-T5, S15 --------------------------------------------------
 
 def q_latest_valid(spark, sf_dir):
@@ -237,6 +264,7 @@ QUERIES: dict[str, Query] = {
     "training_set": q_training_set,
     "flatten_series": q_flatten_series,
     "upsample_hold": q_upsample_hold,
+    "upsample_sql": q_upsample_sql,
     "silver_job": q_silver_job,
     "landed_weather": q_landed_weather,
     "landed_prices": q_landed_prices,
@@ -245,6 +273,9 @@ QUERIES: dict[str, Query] = {
     "time_features": q_time_features,
     "json_parse": q_json_parse,
     "json_pack": q_json_pack,
+    "forecast_messages": q_forecast_messages,
+    "live_messages": q_live_messages,
+    "market_messages": q_market_messages,
     "latest_valid": q_latest_valid,
     "latest_valid_by_area": q_latest_valid_by_area,
     "area_filter_sort": q_area_filter_sort,

@@ -86,6 +86,22 @@ ORACLE: dict[str, str] = {
       from events""",
     "flatten_series": f"with {_WEATHER} select time, temperature, wind_speed from weather",
     "upsample_hold": f"with {_WEATHER_15} select temperature, wind_speed, time_15min from weather_15",
+    "upsample_sql": f"with {_WEATHER_15} select temperature, wind_speed, time_15min from weather_15",
+    "forecast_messages": f"""
+      select strftime(ts, '%Y-%m-%dT%H:%M') as time, value as temperature, {_WIND} as wind_speed,
+             '7-day-forecast' as source
+      from events where event_type <> 'purchase'""",
+    "live_messages": f"""
+      select event_id as arrival, strftime(ts, '%Y-%m-%dT%H:%M:%S') as time, value as temperature,
+             {_WIND} as wind_speed, 'open-meteo-live' as source
+      from events""",
+    "market_messages": f"""with {_MARKET},
+      ranked as (select *, row_number() over (partition by PriceArea order by TimeUTC desc, arrival desc) as rk from market),
+      valid as (select *, row_number() over (partition by PriceArea order by rk) as pick
+                from ranked where rk <= 20 and ImbalancePriceEUR is not null)
+      select PriceArea, TimeUTC, ImbalancePriceEUR, arrival,
+             epoch_us({AS_OF}) / cast(1000000 as double) as fetched_at
+      from valid where pick = 1""",
     "silver_job": f"""with {_WEATHER_15}
       select temperature, wind_speed, time_15min, strftime(time_15min, '%Y-%m-%d') as date from weather_15""",
     "hourly_prices": f"with {_PRICES} select price_time, label from prices",

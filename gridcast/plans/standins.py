@@ -21,13 +21,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.functions.timefmt import HOURLY_FORMAT, PRICE_FORMAT, iso_text
+from gridcast.operators.readings import FORECAST_SOURCE, LIVE_SOURCE
 
 # Fixed values of the stand-in mapping.
 PRICE_EVENT = "purchase"
 FORECAST_EVENT = "view"
 LIVE_EVENT = "click"
-FORECAST_SOURCE = "7-day-forecast"
-LIVE_SOURCE = "open-meteo-live"
 GBT_FACTOR = 1.5
 DOC_READINGS = 24  # readings per bronze weather document
 
@@ -77,6 +76,21 @@ def weather_docs_text(ev: DataFrame, readings_per_doc: int = DOC_READINGS) -> Da
     return docs.select("chunk", month.alias("month"), F.to_json(F.struct(hourly.alias("hourly"))).alias("value"))
 
 
+def live_docs_text(ev: DataFrame) -> DataFrame:
+    """Every event as a live weather document (a ``current`` struct), with the
+    time it was fetched (``ts``) and its arrival: ``arrival, fetched, value``."""
+    current = F.struct(
+        iso_text("ts", HOURLY_FORMAT).alias("time"),
+        F.col("value").alias("temperature_2m"),
+        wind_of().alias("wind_speed_10m"),
+    )
+    return ev.select(
+        F.col("event_id").alias("arrival"),
+        F.col("ts").alias("fetched"),
+        F.to_json(F.struct(current.alias("current"))).alias("value"),
+    )
+
+
 def price_records(ev: DataFrame) -> DataFrame:
     """Price records (D2) with their arrival: ``HourUTC, SpotPriceEUR, arrival``."""
     return ev.where(F.col("event_type") == PRICE_EVENT).select(

@@ -21,6 +21,16 @@ HOURLY = T.StructType(
 )
 WEATHER_DOC = T.StructType([T.StructField("hourly", HOURLY)])
 
+# Live weather document: one ``current`` struct of single readings.
+CURRENT = T.StructType(
+    [
+        T.StructField("time", T.StringType()),
+        T.StructField("temperature_2m", T.DoubleType()),
+        T.StructField("wind_speed_10m", T.DoubleType()),
+    ]
+)
+CURRENT_DOC = T.StructType([T.StructField("current", CURRENT)])
+
 # D2.
 PRICE_RECORD = T.StructType(
     [

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.schemas import PRICE_RECORD, WEATHER_DOC
+from gridcast.schemas import CURRENT_DOC, PRICE_RECORD, WEATHER_DOC
 
 
 def _paths(paths: str | Sequence[str]) -> list[str]:
@@ -33,6 +33,11 @@ def parse_weather_docs(text: DataFrame, col: str = "value") -> DataFrame:
     return text.select(F.from_json(F.col(col), WEATHER_DOC).alias("_doc")).select("_doc.*")
 
 
+def parse_live_docs(text: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Live weather documents (a ``current`` struct) held as JSON text."""
+    return text.select(*keep, F.from_json(F.col(col), CURRENT_DOC).alias("_doc")).select(*keep, "_doc.*")
+
+
 def land_raw(docs: DataFrame, base: str, kind_col: str = "kind", chunk_col: str = "chunk", text_col: str = "value") -> None:
     """Write raw JSON text under ``kind=.../chunk=...``.
 

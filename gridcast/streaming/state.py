@@ -10,44 +10,59 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.operators.views import forecast_buffer_rows
 
 
-def _fs_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def state_path(state_dir: str, batch_id: int) -> str:
     return f"{state_dir}/batch_id={batch_id}"
 
 
-def latest_state(spark: SparkSession, state_dir: str, batch_id: int, lookback: int = 1_000_000) -> DataFrame | None:
-    """The newest committed state before ``batch_id`` (empty batches write nothing)."""
-    for b in range(batch_id - 1, max(-1, batch_id - 1 - lookback), -1):
-        path = state_path(state_dir, b)
-        if _fs_exists(spark, f"{path}/_SUCCESS"):
-            return spark.read.parquet(path)
-    return None
-
-
-def final_state(spark: SparkSession, state_dir: str) -> DataFrame:
-    """The state written by the newest committed micro-batch."""
+def committed_batches(spark: SparkSession, state_dir: str) -> list[int]:
+    """Batch ids whose state write finished (``_SUCCESS`` present), one listing."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(state_dir)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
     ids = []
     for status in fs.listStatus(root):
         name = status.getPath().getName()
         if name.startswith("batch_id=") and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
             ids.append(int(name.split("=", 1)[1]))
+    return sorted(ids)
+
+
+def latest_state(spark: SparkSession, state_dir: str, batch_id: int) -> DataFrame | None:
+    """The newest committed state before ``batch_id`` (empty batches write nothing).
+
+    A replayed batch ignores its own earlier write and anything after it, so
+    it merges into exactly the state it saw the first time.
+    """
+    before = [b for b in committed_batches(spark, state_dir) if b < batch_id]
+    return spark.read.parquet(state_path(state_dir, before[-1])) if before else None
+
+
+def prune_states(spark: SparkSession, state_dir: str, batch_id: int) -> None:
+    """Drop states no replay can need: those older than the newest one before
+    ``batch_id`` (a replay of ``batch_id`` merges into that one). Keeps the
+    state folder at two or three entries however long the stream runs."""
+    before = [b for b in committed_batches(spark, state_dir) if b < batch_id]
+    jvm = spark.sparkContext._jvm
+    for b in before[:-1]:
+        p = jvm.org.apache.hadoop.fs.Path(state_path(state_dir, b))
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def final_state(spark: SparkSession, state_dir: str) -> DataFrame:
+    """The state written by the newest committed micro-batch."""
+    ids = committed_batches(spark, state_dir)
     if not ids:
         raise ValueError(f"no committed state under {state_dir}")
-    return spark.read.parquet(state_path(state_dir, max(ids)))
+    return spark.read.parquet(state_path(state_dir, ids[-1]))
 
 
 def keep_last(state_dir: str, cap: int, arrival_col: str) -> Callable[[DataFrame, int], None]:
@@ -58,6 +73,7 @@ def keep_last(state_dir: str, cap: int, arrival_col: str) -> Callable[[DataFrame
         prev = latest_state(spark, state_dir, batch_id)
         rows = batch if prev is None else prev.unionByName(batch)
         rows.orderBy(F.col(arrival_col).desc()).limit(cap).write.mode("overwrite").parquet(state_path(state_dir, batch_id))
+        prune_states(spark, state_dir, batch_id)
 
     return merge
 
@@ -73,13 +89,20 @@ def keep_forecast_buffer(state_dir: str, arrival_col: str = "_arrival", slot_col
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prev = latest_state(spark, state_dir, batch_id)
-        added = batch.count()
-        seen = 0 if prev is None else prev.select(F.max("_appended")).first()[0] or 0
-        total = seen + added
-        rows = batch if prev is None else prev.drop("_appended").unionByName(batch)
-        k = forecast_buffer_rows(total)
-        out = rows.orderBy(F.col(arrival_col).desc(), F.col(slot_col).desc()).limit(k)
-        out.withColumn("_appended", F.lit(total)).write.mode("overwrite").parquet(state_path(state_dir, batch_id))
+        # Two actions read the batch (its size, then its newest rows): keep it
+        # so the source is read once per micro-batch.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            added = batch.count()
+            seen = 0 if prev is None else prev.select(F.max("_appended")).first()[0] or 0
+            total = seen + added
+            rows = batch if prev is None else prev.drop("_appended").unionByName(batch)
+            k = forecast_buffer_rows(total)
+            out = rows.orderBy(F.col(arrival_col).desc(), F.col(slot_col).desc()).limit(k)
+            out.withColumn("_appended", F.lit(total)).write.mode("overwrite").parquet(state_path(state_dir, batch_id))
+            prune_states(spark, state_dir, batch_id)
+        finally:
+            batch.unpersist()
 
     return merge
 
