@@ -7,23 +7,34 @@ from pyspark.sql import functions as F
 
 from gridcast.session import shared_dir
 
-# Upper bound on rows of a side we are willing to ship to every executor.
-# An hourly price table holds one row per hour and area, so a century of one
-# area is under 900k rows (tens of MB).
+# Upper bounds on a side we are willing to ship to every executor, in rows and
+# in estimated bytes (rows x the schema's default row width). An hourly price
+# table holds one row per hour and area: a century of one area is under 900k
+# rows of a timestamp and a double (about 14 MB).
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, int]:
+def row_width(df: DataFrame) -> int:
+    """Spark's default size estimate of one row of ``df`` (strings count 20 bytes)."""
+    return int(df._jdf.schema().defaultSize())
+
+
+def bounded_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
+) -> tuple[DataFrame, int]:
     """Materialise ``df`` in the shared checkpoint folder and count it.
 
     Returns ``(side, rows)``: ``side`` carries a broadcast hint only when
-    ``rows <= max_rows``; otherwise it is left to a shuffle join (with AQE's
-    skew split). The checkpoint cuts the lineage, so the count and the later
-    join read the written rows instead of computing the side twice, and a
-    lost executor does not force a recompute.
+    ``rows <= max_rows`` and ``rows * row_width <= max_bytes``; otherwise it
+    is left to a shuffle join (with AQE's skew split). The checkpoint cuts
+    the lineage, so the count and the later join read the written rows
+    instead of computing the side twice, and a lost executor does not force
+    a recompute.
     """
     spark = SparkSession.active()
     shared_dir(spark)  # make sure a checkpoint folder is set
     cut = df.checkpoint(eager=True)
     rows = cut.count()
-    return (F.broadcast(cut) if rows <= max_rows else cut), rows
+    small = rows <= max_rows and rows * row_width(cut) <= max_bytes
+    return (F.broadcast(cut) if small else cut), rows

@@ -10,13 +10,14 @@ are deterministic however the rows are partitioned.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridcast.functions.display import py_format
 from gridcast.functions.signal import PRICE_TEXT, TEMP_TEXT, WIND_TEXT, or_zero, trade_signal
 from gridcast.functions.timefmt import AXIS_DAY_FORMAT, AXIS_HOUR_FORMAT, iso_text, parse_time
 from gridcast.operators.selection import Time, in_today_window, is_fresh, is_future
+from gridcast.session import fresh_dir
 
 # Model labels of the comparison views, and the buffer sizes.
 RF_LABEL = "Random Forest (Champion)"
@@ -112,14 +113,21 @@ def forecast_buffer_rows(appended: int, max_rows: int = FORECAST_MAX_ROWS, keep_
 def forecast_buffer(pred: DataFrame, as_of: Time, arrival_col: str = "arrival") -> DataFrame:
     """W2 over the future messages (F7): the rows the buffer holds now.
 
-    One count gives the number of rows ever appended, the closed form gives
-    the buffer length k (at most ``FORECAST_MAX_ROWS``), and a top-k by arrival
-    takes them. Output: ``Time, Model, Price, _arrival, _slot``.
+    The buffer length k follows from the number of rows ever appended (closed
+    form, at most ``FORECAST_MAX_ROWS``). One pass over the messages gives
+    both: the newest ``FORECAST_MAX_ROWS`` rows by arrival (a top-k, each task
+    keeps only its own newest) are written to the shared folder while an
+    observed metric counts every row on the way in; the buffer is then the
+    newest k of those. Output: ``Time, Model, Price, _arrival, _slot``.
     """
     rows = message_rows(pred, arrival_col).where(is_future("Time", as_of))
-    long = model_long(rows)
-    k = forecast_buffer_rows(2 * rows.count())
-    return long.orderBy(F.col("_arrival").desc(), F.col("_slot").desc()).limit(k)
+    order = [F.col("_arrival").desc(), F.col("_slot").desc()]
+    appended = Observation("forecast_rows")
+    counted = model_long(rows).observe(appended, F.count(F.lit(1)).alias("n"))
+    path = fresh_dir(pred.sparkSession, "forecast-buffer")
+    counted.orderBy(*order).limit(FORECAST_MAX_ROWS).write.parquet(path)
+    k = forecast_buffer_rows(int(appended.get["n"]))
+    return pred.sparkSession.read.parquet(path).orderBy(*order).limit(k)
 
 
 def model_pivot(long: DataFrame) -> DataFrame:

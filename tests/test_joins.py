@@ -58,3 +58,21 @@ def test_join_per_area_key(spark):
     p = spark.createDataFrame([(T(2024, 1, 1, 10, 0), 5.0, "A")], "price_time timestamp, label double, area string")
     out = hour_join(w, p, keys=("area",)).collect()
     assert [(r["area"], r["label"]) for r in out] == [("A", 5.0)]
+
+
+def test_broadcast_also_bounded_in_bytes(spark):
+    from gridcast.operators.sizing import bounded_broadcast, row_width
+
+    side = spark.createDataFrame([(i, "x" * 10) for i in range(50)], "k long, s string")
+    assert row_width(side) == 8 + 20
+    _, rows = bounded_broadcast(side, max_rows=1000, max_bytes=50 * 28)
+    assert rows == 50
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fits, _ = bounded_broadcast(side, max_rows=1000, max_bytes=50 * 28)
+        too_wide, _ = bounded_broadcast(side, max_rows=1000, max_bytes=50 * 28 - 1)
+        left = spark.range(10).withColumnRenamed("id", "k")
+        assert "BroadcastHashJoin" in left.join(fits, "k")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in left.join(too_wide, "k")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
