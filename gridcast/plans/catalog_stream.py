@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridcast.functions.messages import decode
+from gridcast.jobs import score_job
 from gridcast.models.scoring import load_model, reading_features, scorable, score, score_dual
 from gridcast.models.training import fit_both, save_model, training_set
 from gridcast.operators import views
@@ -17,27 +18,26 @@ from gridcast.plans import standins as S
 from gridcast.plans.catalog import AS_OF, _events, prices_hourly, weather_15min
 from gridcast.schemas import READING
 from gridcast.session import fresh_dir
-from gridcast.sources.messages import publish, read_message_stream, write_message_stream
+from gridcast.sources.messages import publish
 from gridcast.streaming import state
 from gridcast.streaming.runner import stage_files, stream_to_table
-from gridcast.streaming.scoring import publishable, score_stream
 
 STAGED_FILES = 5  # micro-batches the staged streams replay in
 
-_MODEL_PATHS: dict[tuple[str, str], tuple[str, str]] = {}
+_MODEL_DIRS: dict[tuple[str, str], str] = {}
 
 
 def fitted_models(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, PipelineModel]:
     """Fit both learners once per session and data set, save, and load back."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _MODEL_PATHS:
+    if key not in _MODEL_DIRS:
         rf, gbt = fit_both(training_set(weather_15min(spark, sf_dir), prices_hourly(spark, sf_dir)))
         base = fresh_dir(spark, "models")
         save_model(rf, f"{base}/rf")
         save_model(gbt, f"{base}/gbt")
-        _MODEL_PATHS[key] = (f"{base}/rf", f"{base}/gbt")
-    rf_path, gbt_path = _MODEL_PATHS[key]
-    return load_model(rf_path), load_model(gbt_path)
+        _MODEL_DIRS[key] = base
+    base = _MODEL_DIRS[key]
+    return load_model(f"{base}/rf"), load_model(f"{base}/gbt")
 
 
 def _scorable_readings(spark, sf_dir) -> DataFrame:
@@ -119,18 +119,18 @@ def q_stream_forecast_buffer(spark, sf_dir):
 
 
 def q_stream_score(spark, sf_dir):
-    """JSON messages in files -> dual score -> JSON messages out."""
-    rf, gbt = fitted_models(spark, sf_dir)
+    """JSON messages in files -> dual score -> JSON messages out,
+    malformed ones to a quarantine, one read of the source per micro-batch."""
+    fitted_models(spark, sf_dir)
     msgs = S.readings(_events(spark, sf_dir)).select(F.to_json(F.struct("time", "temperature", "wind_speed", "source")).alias("value"), "arrival")
     inbox = stage_files(msgs, spark, "inbox", STAGED_FILES, "arrival", fmt="text")
-    stream = read_message_stream(spark, "files", path=inbox, max_files_per_trigger=1)
-    scored, quarantine = score_stream(stream, rf, gbt)
     base = fresh_dir(spark, "scored")
-    q1 = write_message_stream(publishable(scored), "files", f"{base}/checkpoint", path=f"{base}/out", available_now=True)
-    q2 = write_message_stream(quarantine, "files", f"{base}/checkpoint-quarantine", path=f"{base}/quarantine", available_now=True)
-    q1.awaitTermination()
-    q2.awaitTermination()
-    return spark.read.text(f"{base}/out")
+    models = _MODEL_DIRS[(spark.sparkContext.applicationId, sf_dir)]
+    score_job(
+        spark, models, f"{base}/checkpoint", source="files", sink="files", inbox=inbox,
+        outbox=f"{base}/out", quarantine=f"{base}/quarantine", available_now=True,
+    )
+    return spark.read.text(f"{base}/out").select("value")
 
 
 def q_published_messages(spark, sf_dir):
