@@ -78,14 +78,15 @@ def upsample_hold_sql(
     Same result and the same plan as ``upsample_hold`` (Catalyst folds the
     offset array and keeps the Generate narrow); for callers who keep their
     transforms as SQL text. The view gets a fresh name per call, so
-    concurrent jobs in one session do not overwrite each other's view.
+    concurrent jobs in one session do not overwrite each other's view, and
+    is dropped once the query is analysed.
     """
     view = f"readings_hourly_{uuid.uuid4().hex}"
     df.createOrReplaceTempView(view)
     offsets = ", ".join(str(o) for o in hold_offsets(step_minutes, period_minutes))
     others = ", ".join(f"`{c}`" for c in df.columns if c != time_col)
     lead = f"{others}, " if others else ""
-    return df.sparkSession.sql(
+    out = df.sparkSession.sql(
         f"""
         SELECT {lead}base_time + make_interval(0, 0, 0, 0, 0, minute_offset, 0) AS `{out_col}`
         FROM (
@@ -94,3 +95,7 @@ def upsample_hold_sql(
         )
         """
     )
+    # The result is already analysed against the view's plan: drop the name so
+    # a long-running session does not collect one view per call.
+    df.sparkSession.catalog.dropTempView(view)
+    return out

@@ -103,3 +103,13 @@ def test_sql_upsample_views_do_not_collide(spark):
     a, b = upsample_hold_sql(one), upsample_hold_sql(two)
     assert {r.temperature for r in a.collect()} == {1.0}
     assert {r.temperature for r in b.collect()} == {2.0}
+
+
+def test_sql_upsample_leaves_no_view_behind(spark):
+    df = spark.createDataFrame([(1.0, dt.datetime(2024, 1, 1))], "temperature double, time timestamp")
+    before = {t.name for t in spark.catalog.listTables()}
+    out = upsample_hold_sql(df)
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert out.count() == 4
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode([0,15,30,45])" in plan and "Exchange" not in plan
