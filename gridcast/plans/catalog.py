@@ -35,7 +35,7 @@ from gridcast.plans import standins as S
 from gridcast.schemas import READING
 from gridcast.session import ensure_session_defaults, fresh_dir
 from gridcast.sources.bronze import land_raw, parse_live_docs, parse_weather_docs, read_weather_docs
-from gridcast.sources.silver import read_silver, write_silver
+from gridcast.sources.silver import read_silver, write_silver_hourly
 from gridcast.functions.messages import decode, encode
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,9 +80,9 @@ def q_upsample_sql(spark, sf_dir):
 
 
 def q_silver_job(spark, sf_dir):
-    """Flatten, upsample, write date-partitioned Parquet, read it back."""
+    """Flatten, cluster the hourly rows by date, upsample, write date-partitioned Parquet, read it back."""
     path = fresh_dir(spark, "silver")
-    write_silver(weather_15min(spark, sf_dir), path)
+    write_silver_hourly(weather_hourly(spark, sf_dir).drop("time_str"), path, time_col="time")
     silver = read_silver(spark, path)
     return silver.select("temperature", "wind_speed", "time_15min", F.col("date").cast("string").alias("date"))
 

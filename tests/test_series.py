@@ -79,3 +79,24 @@ def test_upsample_other_steps(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1), 1.0)], "time timestamp, v double")
     assert upsample_hold(df, step_minutes=5).count() == 12
     assert upsample_hold(df).select(F.minute("time_15min")).distinct().count() == 4
+
+
+def test_silver_shuffles_hourly_rows_and_files_each_quarter_by_its_day(spark, tmp_dir):
+    import re
+
+    from gridcast.sources.silver import read_silver, write_silver_hourly
+
+    hourly = spark.createDataFrame(
+        [(1.0, 2.0, dt.datetime(2024, 1, 1, 23, 30)), (3.0, 4.0, dt.datetime(2024, 1, 2, 5, 0))],
+        "temperature double, wind_speed double, time timestamp",
+    )
+    out = write_silver_hourly(hourly, f"{tmp_dir}/silver")
+    plan = re.sub(r"#\d+", "", out._jdf.queryExecution().executedPlan().toString())
+    assert plan.index("Generate explode") < plan.index("REBALANCE_PARTITIONS_BY_COL")  # upsample above the exchange
+    back = read_silver(spark, f"{tmp_dir}/silver")
+    by_day = sorted((str(r.date), r.time_15min.strftime("%H:%M")) for r in back.collect())
+    assert by_day == [
+        ("2024-01-01", "23:30"), ("2024-01-01", "23:45"),
+        ("2024-01-02", "00:00"), ("2024-01-02", "00:15"),
+        ("2024-01-02", "05:00"), ("2024-01-02", "05:15"), ("2024-01-02", "05:30"), ("2024-01-02", "05:45"),
+    ]
