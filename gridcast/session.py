@@ -18,6 +18,10 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Streaming state (e.g. de-duplication keys) in RocksDB on executor disk
+    # instead of the JVM heap, so state larger than memory does not fail a
+    # task. A restarted query keeps the provider recorded in its checkpoint.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
