@@ -128,7 +128,7 @@ def q_stream_score(spark, sf_dir):
     models = _MODEL_DIRS[(spark.sparkContext.applicationId, sf_dir)]
     score_job(
         spark, models, f"{base}/checkpoint", source="files", sink="files", inbox=inbox,
-        outbox=f"{base}/out", quarantine=f"{base}/quarantine", available_now=True,
+        outbox=f"{base}/out", quarantine=f"{base}/quarantine", available_now=True, max_per_trigger=1,
     )
     return spark.read.text(f"{base}/out").select("value")
 
