@@ -76,3 +76,28 @@ def test_broadcast_also_bounded_in_bytes(spark):
         assert "BroadcastHashJoin" not in left.join(too_wide, "k")._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_raw_join_count_is_sum_over_hours_of_products(spark):
+    """J1 without de-duplication is a plain inner equi-join: sum over hours of
+    (readings in the hour) x (price records for the hour)."""
+    import random
+    from collections import Counter
+
+    rnd = random.Random(7)
+    w_rows = [(T(2024, 1, 1, rnd.randrange(6), rnd.choice([0, 15, 30, 45])), 1.0, 1.0) for _ in range(80)]
+    p_rows = [(f"2024-01-01T{rnd.randrange(8):02d}:00:00", float(i), i) for i in range(15)]
+    nw = Counter(t.hour for t, _, _ in w_rows)
+    np_ = Counter(int(h[11:13]) for h, _, _ in p_rows)
+    want = sum(nw[h] * np_[h] for h in nw)
+    got = hour_join(readings(spark, w_rows), prices(spark, p_rows).select("price_time", "label")).count()
+    assert got == want
+
+
+def test_unpivot_then_pivot_round_trip(spark):
+    from gridcast.operators.views import GBT_LABEL, RF_LABEL, model_long, model_pivot
+
+    rows = [(T(2024, 1, 2, h), float(h), 1.5 * h, h) for h in range(10)]
+    wide = spark.createDataFrame(rows, "Time timestamp, price_rf double, price_gbt double, _arrival long")
+    back = model_pivot(model_long(wide)).collect()
+    assert [(r.Time, r[RF_LABEL], r[GBT_LABEL]) for r in back] == [(t, rf, gbt) for t, rf, gbt, _ in rows]
