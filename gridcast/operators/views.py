@@ -50,15 +50,25 @@ def current_conditions(pred: DataFrame, as_of: Time, arrival_col: str = "arrival
     One row, or none when nothing is fresh. A global aggregate with a partial
     step: every task keeps only its latest fresh row.
     """
-    rows = message_rows(pred, arrival_col).where(is_fresh("Time", as_of))
+    rows = fresh_rows(pred, as_of, arrival_col)
     last = rows.agg(
         F.max_by(F.struct("Time", "price_rf", "wind_speed", "temperature"), F.col("_arrival")).alias("m")
     ).where(F.col("m").isNotNull())
+    return conditions_tile(last.select("m.*"))
+
+
+def fresh_rows(pred: DataFrame, as_of: Time, arrival_col: str = "arrival") -> DataFrame:
+    """F5 on the parsed messages: the candidates for the tiles."""
+    return message_rows(pred, arrival_col).where(is_fresh("Time", as_of))
+
+
+def conditions_tile(last: DataFrame) -> DataFrame:
+    """C7's display from the chosen message (``Time, price_rf, wind_speed, temperature``)."""
     tile = last.select(
-        F.col("m.Time").alias("Time"),
-        F.col("m.price_rf").alias("price"),
-        F.col("m.wind_speed").alias("wind_speed"),
-        F.col("m.temperature").alias("temperature"),
+        "Time",
+        F.col("price_rf").alias("price"),
+        "wind_speed",
+        "temperature",
     )
     return tile.select(
         "*",
@@ -76,8 +86,17 @@ def live_series(pred: DataFrame, as_of: Time, arrival_col: str = "arrival", cap:
     Type`` rows (P16); only the last ``cap`` by arrival are kept (W1, a
     TakeOrderedAndProject), then the first arrival per ``Time`` (A1).
     """
-    rows = message_rows(pred, arrival_col).where(in_today_window("Time", as_of))
-    last = rows.orderBy(F.col("_arrival").desc()).limit(cap)
+    last = today_rows(pred, as_of, arrival_col).orderBy(F.col("_arrival").desc()).limit(cap)
+    return live_view(last)
+
+
+def today_rows(pred: DataFrame, as_of: Time, arrival_col: str = "arrival") -> DataFrame:
+    """F6 on the parsed messages: the rows the live buffer appends."""
+    return message_rows(pred, arrival_col).where(in_today_window("Time", as_of))
+
+
+def live_view(last: DataFrame) -> DataFrame:
+    """C8's chart rows from the buffered rows: the first arrival per ``Time`` (A1)."""
     first = last.groupBy("Time").agg(
         F.min_by(F.struct(F.col("price_rf").alias("Price"), F.col("wind_speed").alias("Wind")), F.col("_arrival")).alias("r")
     )

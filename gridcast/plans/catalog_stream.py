@@ -71,11 +71,20 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
+_STAGED: dict[tuple[str, str], str] = {}
+
+
 def staged_events_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The events table replayed in ``STAGED_FILES`` micro-batches, in arrival order."""
+    """The events table replayed in ``STAGED_FILES`` micro-batches, in arrival order.
+
+    The staged copy is an immutable input, written once per session and data
+    set and shared by every replayed stream (each has its own checkpoint).
+    """
     ev = _events(spark, sf_dir)
-    path = stage_files(ev, spark, name, STAGED_FILES, "event_id")
-    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STAGED:
+        _STAGED[key] = stage_files(ev, spark, "events", STAGED_FILES, "event_id")
+    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(_STAGED[key])
 
 
 def q_stream_features(spark, sf_dir):
@@ -118,6 +127,28 @@ def q_stream_forecast_buffer(spark, sf_dir):
     return buf.select("Time", "Model", "Price", F.col("_arrival").alias("arrival"))
 
 
+def q_stream_current_conditions(spark, sf_dir):
+    """The tiles kept across micro-batches (the last fresh message, one row of state)."""
+    rows = views.fresh_rows(S.predictions(staged_events_stream(spark, sf_dir, "tiles")), AS_OF)
+    last = _run_state(spark, rows, lambda d: state.keep_last(d, 1, "_arrival"), "tiles")
+    return views.conditions_tile(last)
+
+
+def q_stream_live_series(spark, sf_dir):
+    """The live buffer (last 100 in-window rows) kept across micro-batches, then the chart rows."""
+    rows = views.today_rows(S.predictions(staged_events_stream(spark, sf_dir, "live")), AS_OF)
+    last = _run_state(spark, rows, lambda d: state.keep_last(d, views.LIVE_CAP, "_arrival"), "live")
+    return views.live_view(last)
+
+
+def q_stream_model_comparison(spark, sf_dir):
+    """The forecast buffer kept across micro-batches, then the pivoted table."""
+    rows = views.message_rows(S.predictions(staged_events_stream(spark, sf_dir, "comparison")), "arrival")
+    long = views.model_long(rows.where(is_future("Time", AS_OF)))
+    buf = _run_state(spark, long, lambda d: state.keep_forecast_buffer(d), "comparison")
+    return views.model_pivot(buf)
+
+
 def q_stream_score(spark, sf_dir):
     """JSON messages in files -> dual score -> JSON messages out,
     malformed ones to a quarantine, one read of the source per micro-batch."""
@@ -152,6 +183,9 @@ STREAM_QUERIES = {
     "stream_union": q_stream_union,
     "stream_last_100": q_stream_last_100,
     "stream_forecast_buffer": q_stream_forecast_buffer,
+    "stream_current_conditions": q_stream_current_conditions,
+    "stream_live_series": q_stream_live_series,
+    "stream_model_comparison": q_stream_model_comparison,
     "stream_score": q_stream_score,
     "published_messages": q_published_messages,
 }

@@ -185,3 +185,8 @@ ORACLE: dict[str, str] = {
              strftime(chunk_start, '%Y-%m-%d') as start_text, strftime(chunk_end, '%Y-%m-%d') as end_text
       from c""",
 }
+
+# The serving views kept as stream state must equal the batch views.
+ORACLE["stream_current_conditions"] = ORACLE["current_conditions"]
+ORACLE["stream_live_series"] = ORACLE["live_series"]
+ORACLE["stream_model_comparison"] = ORACLE["model_comparison"]

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridcast.operators.views import forecast_buffer_rows
 
@@ -36,14 +37,18 @@ def committed_batches(spark: SparkSession, state_dir: str) -> list[int]:
     return sorted(ids)
 
 
-def latest_state(spark: SparkSession, state_dir: str, batch_id: int) -> DataFrame | None:
-    """The newest committed state before ``batch_id`` (empty batches write nothing).
+def latest_state(spark: SparkSession, state_dir: str, batch_id: int, schema=None) -> DataFrame | None:
+    """The newest committed state before ``batch_id``.
 
     A replayed batch ignores its own earlier write and anything after it, so
-    it merges into exactly the state it saw the first time.
+    it merges into exactly the state it saw the first time. With ``schema``
+    the read skips schema discovery.
     """
     before = [b for b in committed_batches(spark, state_dir) if b < batch_id]
-    return spark.read.parquet(state_path(state_dir, before[-1])) if before else None
+    if not before:
+        return None
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(state_path(state_dir, before[-1]))
 
 
 def prune_states(spark: SparkSession, state_dir: str, batch_id: int) -> None:
@@ -70,7 +75,7 @@ def keep_last(state_dir: str, cap: int, arrival_col: str) -> Callable[[DataFrame
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = latest_state(spark, state_dir, batch_id)
+        prev = latest_state(spark, state_dir, batch_id, batch.schema)
         rows = batch if prev is None else prev.unionByName(batch)
         rows.orderBy(F.col(arrival_col).desc()).limit(cap).write.mode("overwrite").parquet(state_path(state_dir, batch_id))
         prune_states(spark, state_dir, batch_id)
@@ -88,7 +93,8 @@ def keep_forecast_buffer(state_dir: str, arrival_col: str = "_arrival", slot_col
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = latest_state(spark, state_dir, batch_id)
+        schema = T.StructType([*batch.schema.fields, T.StructField("_appended", T.LongType())])
+        prev = latest_state(spark, state_dir, batch_id, schema)
         # Two actions read the batch (its size, then its newest rows): keep it
         # so the source is read once per micro-batch.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
