@@ -3,6 +3,8 @@ model outputs; stream results are compared with the batch oracle)."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import types as T
 
 from gridcast.functions.messages import decode
 from gridcast.jobs import score_job
-from gridcast.models.scoring import load_model, reading_features, scorable, score, score_dual
+from gridcast.models.scoring import reading_features, scorable, score, score_dual
 from gridcast.models.training import fit_both, save_model, training_set
 from gridcast.operators import views
 from gridcast.operators.selection import is_future
@@ -25,19 +27,27 @@ from gridcast.streaming.runner import stage_files, stream_to_table
 STAGED_FILES = 5  # micro-batches the staged streams replay in
 
 _MODEL_DIRS: dict[tuple[str, str], str] = {}
+_MODELS: dict[tuple[str, str], tuple[PipelineModel, PipelineModel]] = {}
 
 
 def fitted_models(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, PipelineModel]:
-    """Fit both learners once per session and data set, save, and load back."""
+    """Fit both learners once per session and data set, and save them.
+
+    The batch model queries score with the fitted models in memory; the
+    scoring stream (``stream_score``, through ``jobs.score_job``) loads them
+    back from the saved folder (S7), as a separate scoring job would.
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _MODEL_DIRS:
+    if key not in _MODELS:
         rf, gbt = fit_both(training_set(weather_15min(spark, sf_dir), prices_hourly(spark, sf_dir)))
         base = fresh_dir(spark, "models")
-        save_model(rf, f"{base}/rf")
-        save_model(gbt, f"{base}/gbt")
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            saves = [pool.submit(save_model, rf, f"{base}/rf"), pool.submit(save_model, gbt, f"{base}/gbt")]
+            for done in saves:
+                done.result()
         _MODEL_DIRS[key] = base
-    base = _MODEL_DIRS[key]
-    return load_model(f"{base}/rf"), load_model(f"{base}/gbt")
+        _MODELS[key] = (rf, gbt)
+    return _MODELS[key]
 
 
 def _scorable_readings(spark, sf_dir) -> DataFrame:
@@ -72,6 +82,7 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _STAGED: dict[tuple[str, str], str] = {}
+_INBOX: dict[tuple[str, str], str] = {}
 
 
 def staged_events_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -153,10 +164,13 @@ def q_stream_score(spark, sf_dir):
     """JSON messages in files -> dual score -> JSON messages out,
     malformed ones to a quarantine, one read of the source per micro-batch."""
     fitted_models(spark, sf_dir)
-    msgs = S.readings(_events(spark, sf_dir)).select(F.to_json(F.struct("time", "temperature", "wind_speed", "source")).alias("value"), "arrival")
-    inbox = stage_files(msgs, spark, "inbox", STAGED_FILES, "arrival", fmt="text")
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INBOX:
+        msgs = S.readings(_events(spark, sf_dir)).select(F.to_json(F.struct("time", "temperature", "wind_speed", "source")).alias("value"), "arrival")
+        _INBOX[key] = stage_files(msgs, spark, "inbox", STAGED_FILES, "arrival", fmt="text")
+    inbox = _INBOX[key]
     base = fresh_dir(spark, "scored")
-    models = _MODEL_DIRS[(spark.sparkContext.applicationId, sf_dir)]
+    models = _MODEL_DIRS[key]
     score_job(
         spark, models, f"{base}/checkpoint", source="files", sink="files", inbox=inbox,
         outbox=f"{base}/out", quarantine=f"{base}/quarantine", available_now=True, max_per_trigger=1,
