@@ -1,11 +1,11 @@
-"""Size-checked broadcast: broadcast a side only after counting it."""
+"""Size-checked broadcast: broadcast a side only after writing and counting it."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from gridcast.session import shared_dir
+from gridcast.session import fresh_dir
 
 # Upper bounds on a side we are willing to ship to every executor, in rows and
 # in estimated bytes (rows x the schema's default row width). An hourly price
@@ -23,18 +23,20 @@ def row_width(df: DataFrame) -> int:
 def bounded_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
 ) -> tuple[DataFrame, int]:
-    """Materialise ``df`` in the shared checkpoint folder and count it.
+    """Write ``df`` to the shared folder, counting it on the way, and read it back.
 
     Returns ``(side, rows)``: ``side`` carries a broadcast hint only when
     ``rows <= max_rows`` and ``rows * row_width <= max_bytes``; otherwise it
-    is left to a shuffle join (with AQE's skew split). The checkpoint cuts
-    the lineage, so the count and the later join read the written rows
-    instead of computing the side twice, and a lost executor does not force
-    a recompute.
+    is left to a shuffle join (with AQE's skew split). One job both writes
+    and counts (an observed metric of the write). The written table cuts the
+    lineage, so the join reads the stored rows instead of computing the side
+    again, and a lost executor does not force a recompute.
     """
-    spark = SparkSession.active()
-    shared_dir(spark)  # make sure a checkpoint folder is set
-    cut = df.checkpoint(eager=True)
-    rows = cut.count()
+    spark = df.sparkSession
+    path = fresh_dir(spark, "checked-side")
+    seen = Observation("checked_side")
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    rows = int(seen.get["rows"])
+    cut = spark.read.schema(df.schema).parquet(path)
     small = rows <= max_rows and rows * row_width(cut) <= max_bytes
     return (F.broadcast(cut) if small else cut), rows
