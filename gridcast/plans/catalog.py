@@ -43,6 +43,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Fixed parameters of the registered queries.
 AS_OF = "2024-01-15 12:00:00"  # "now" of the static serving views
 RANGE_START, RANGE_END = "2024-01-10 00:00:00", "2024-01-13 00:00:00"
+SILVER_FROM, SILVER_TO = "2024-01-10", "2024-01-12"  # inclusive dates
 LOCATION = 7
 PRICE_AREAS = [S.PRICE_EVENT]
 
@@ -87,6 +88,27 @@ def q_silver_job(spark, sf_dir):
     return silver.select("temperature", "wind_speed", "time_15min", F.col("date").cast("string").alias("date"))
 
 
+_SILVER: dict[tuple[str, str], str] = {}
+
+
+def silver_table(spark: SparkSession, sf_dir: str) -> str:
+    """The silver table of a data set, written once per session (an input for reads)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SILVER:
+        path = fresh_dir(spark, "silver")
+        write_silver_hourly(weather_hourly(spark, sf_dir).drop("time_str"), path, time_col="time")
+        _SILVER[key] = path
+    return _SILVER[key]
+
+
+def q_silver_date_range(spark, sf_dir):
+    """F2 on silver's date partitions: only the chosen days' files are read."""
+    from gridcast.jobs import silver_dates
+
+    silver = silver_dates(read_silver(spark, silver_table(spark, sf_dir)), SILVER_FROM, SILVER_TO)
+    return silver.select("temperature", "wind_speed", "time_15min", F.col("date").cast("string").alias("date"))
+
+
 def q_landed_weather(spark, sf_dir):
     """S11 then S1: land bronze documents by kind and month, read them back, flatten."""
     base = fresh_dir(spark, "bronze")
@@ -266,6 +288,7 @@ QUERIES: dict[str, Query] = {
     "upsample_hold": q_upsample_hold,
     "upsample_sql": q_upsample_sql,
     "silver_job": q_silver_job,
+    "silver_date_range": q_silver_date_range,
     "landed_weather": q_landed_weather,
     "landed_prices": q_landed_prices,
     "hourly_prices": q_hourly_prices,

@@ -104,6 +104,9 @@ ORACLE: dict[str, str] = {
       from valid where pick = 1""",
     "silver_job": f"""with {_WEATHER_15}
       select temperature, wind_speed, time_15min, strftime(time_15min, '%Y-%m-%d') as date from weather_15""",
+    "silver_date_range": f"""with {_WEATHER_15}
+      select temperature, wind_speed, time_15min, strftime(time_15min, '%Y-%m-%d') as date from weather_15
+      where cast(time_15min as date) between date '2024-01-10' and date '2024-01-12'""",
     "hourly_prices": f"with {_PRICES} select price_time, label from prices",
     "hour_join": f"""with {_WEATHER_15}, {_PRICES}
       select w.temperature, w.wind_speed, p.label, w.time_15min

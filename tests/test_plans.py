@@ -70,3 +70,9 @@ def test_no_python_in_any_batch_plan(spark):
                  "forecast_messages", "live_messages", "market_messages", "upsample_sql"]:
         p = plan(spark, name)
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_silver_date_range_prunes_partitions(spark):
+    p = plan(spark, "silver_date_range")
+    assert "PartitionFilters: [isnotnull(date)" in p
+    assert "2024-01-10" in p and "2024-01-12" in p
