@@ -1,4 +1,4 @@
-"""Trading signal and display formats."""
+"""Trading signal and display formats (X13, X14, P15); the formatting itself is ``functions.display``."""
 
 from __future__ import annotations
 
@@ -39,8 +39,3 @@ def trade_signal(price: str | Column, missing_as_zero: bool = True) -> Column:
         .when(p > SELL_ABOVE, F.lit(SELL))
         .when(p.isNotNull(), F.lit(HOLD))
     )
-
-
-def fmt(pattern: str, c: str | Column) -> Column:
-    """Printf-style number text."""
-    return F.format_string(pattern, _col(c))

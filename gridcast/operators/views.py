@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridcast.functions.display import py_format
-from gridcast.functions.signal import PRICE_TEXT, TEMP_TEXT, WIND_TEXT, or_zero, trade_signal
+from gridcast.functions.signal import PRICE_TEXT, TABLE_TEXT, TEMP_TEXT, WIND_TEXT, or_zero, trade_signal
 from gridcast.functions.timefmt import AXIS_DAY_FORMAT, AXIS_HOUR_FORMAT, iso_text, parse_time
 from gridcast.operators.selection import Time, in_today_window, is_fresh, is_future
 from gridcast.session import fresh_dir
@@ -158,6 +158,15 @@ def model_pivot(long: DataFrame) -> DataFrame:
     return wide.withColumn("Label", iso_text("Time", AXIS_DAY_FORMAT)).orderBy("Time")
 
 
+def comparison_table(wide: DataFrame) -> DataFrame:
+    """X14 on C9: the raw-data table as shown, every price as ``%.2f`` text
+    (exact binary rounding, like the consumer's formatter; NULL stays NULL)."""
+    return wide.select(
+        "Time",
+        *[py_format(TABLE_TEXT, F.col(f"`{label}`")).alias(label) for label in (RF_LABEL, GBT_LABEL)],
+    )
+
+
 def model_comparison(pred: DataFrame, as_of: Time, arrival_col: str = "arrival") -> DataFrame:
     """Champion vs challenger over the forecast buffer."""
     buf = forecast_buffer(pred, as_of, arrival_col)

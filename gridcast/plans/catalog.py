@@ -269,6 +269,10 @@ def q_model_comparison(spark, sf_dir):
     return views.model_comparison(S.predictions(_events(spark, sf_dir)), AS_OF)
 
 
+def q_comparison_table(spark, sf_dir):
+    return views.comparison_table(views.model_comparison(S.predictions(_events(spark, sf_dir)), AS_OF))
+
+
 def q_distinct_rows(spark, sf_dir):
     return _events(spark, sf_dir).select("user_id", "event_type").distinct()
 
@@ -312,6 +316,7 @@ QUERIES: dict[str, Query] = {
     "model_unpivot": q_model_unpivot,
     "forecast_buffer": q_forecast_buffer,
     "model_comparison": q_model_comparison,
+    "comparison_table": q_comparison_table,
     "distinct_rows": q_distinct_rows,
     "month_chunks": q_month_chunks,
 }

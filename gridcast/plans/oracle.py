@@ -177,6 +177,14 @@ ORACLE: dict[str, str] = {
              arg_max(Price, arrival) filter (where Model = 'Gradient Boost (Challenger)') as "Gradient Boost (Challenger)",
              strftime(Time, '%a %d') as Label
       from buffer group by Time order by Time""",
+    "comparison_table": f"""with {_BUFFER},
+      wide as (
+        select Time,
+               arg_max(Price, arrival) filter (where Model = 'Random Forest (Champion)') as rf,
+               arg_max(Price, arrival) filter (where Model = 'Gradient Boost (Challenger)') as gbt
+        from buffer group by Time)
+      select Time, printf('%.2f', rf) as "Random Forest (Champion)", printf('%.2f', gbt) as "Gradient Boost (Challenger)"
+      from wide""",
     "distinct_rows": "select distinct user_id, event_type from events",
     "stream_forecast_buffer": f"with {_BUFFER} select Time, Model, Price, arrival from buffer",
     "month_chunks": """

@@ -98,3 +98,17 @@ def test_comparison_pivot_latest_price_wins(spark):
     out = model_comparison(spark.createDataFrame(data, SCHEMA), AS_OF).collect()
     assert [(r["Time"].hour, r[RF_LABEL], r[GBT_LABEL]) for r in out] == [(14, 12.0, 11.0), (15, 20.0, 21.0)]
     assert out[0]["Label"] == "Mon 15"
+
+
+def test_comparison_table_text_rounds_like_the_consumer(spark):
+    import datetime as dt
+
+    from gridcast.operators.views import GBT_LABEL, RF_LABEL, comparison_table
+
+    wide = spark.createDataFrame(
+        [(dt.datetime(2024, 1, 16, 10), 0.125, 2.675), (dt.datetime(2024, 1, 16, 11), 80.0, None)],
+        f"Time timestamp, `{RF_LABEL}` double, `{GBT_LABEL}` double",
+    )
+    rows = comparison_table(wide).orderBy("Time").collect()
+    assert [(r[RF_LABEL], r[GBT_LABEL]) for r in rows] == [("0.12", "2.67"), ("80.00", None)]
+    assert ["%.2f" % 0.125, "%.2f" % 2.675] == ["0.12", "2.67"]
