@@ -34,7 +34,7 @@ from gridcast.operators.series import flatten_series, upsample_hold, upsample_ho
 from gridcast.plans import standins as S
 from gridcast.schemas import READING
 from gridcast.session import ensure_session_defaults, fresh_dir
-from gridcast.sources.bronze import land_raw, parse_live_docs, parse_weather_docs, read_weather_docs
+from gridcast.sources.bronze import document_month, land_raw, parse_live_docs, parse_weather_docs, read_weather_docs
 from gridcast.sources.silver import read_silver, write_silver_hourly
 from gridcast.functions.messages import decode, encode
 
@@ -114,7 +114,7 @@ def q_landed_weather(spark, sf_dir):
     base = fresh_dir(spark, "bronze")
     ev = _events(spark, sf_dir)
     docs = S.weather_docs_text(ev)
-    landed = docs.select("value", F.lit("weather").alias("kind"), F.col("month").alias("chunk"))
+    landed = docs.select("value", F.lit("weather").alias("kind"), document_month("weather").alias("chunk"))
     land_raw(landed, base)
     back = read_weather_docs(spark, f"{base}/kind=weather")
     good, _quarantine = split_valid(flatten_series(back), ["time"])
@@ -125,11 +125,8 @@ def q_landed_prices(spark, sf_dir):
     """S11 then S2: land price records by month, read with the fixed schema."""
     base = fresh_dir(spark, "bronze")
     recs = S.price_records(_events(spark, sf_dir))
-    text = recs.select(
-        F.to_json(F.struct("HourUTC", "SpotPriceEUR", "arrival")).alias("value"),
-        F.lit("prices").alias("kind"),
-        F.regexp_replace(F.substring("HourUTC", 1, 7), "-", "_").alias("chunk"),
-    )
+    text = recs.select(F.to_json(F.struct("HourUTC", "SpotPriceEUR", "arrival")).alias("value"), F.lit("prices").alias("kind"))
+    text = text.withColumn("chunk", document_month("prices"))
     land_raw(text, base)
     raw = spark.read.schema("HourUTC string, SpotPriceEUR double, arrival long").json(f"{base}/kind=prices")
     return hourly_prices(price_series(raw), arrival_col="arrival")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.schemas import CURRENT_DOC, PRICE_RECORD, WEATHER_DOC
@@ -38,6 +38,24 @@ def parse_live_docs(text: DataFrame, col: str = "value", keep: Sequence[str] = (
     return text.select(*keep, F.from_json(F.col(col), CURRENT_DOC).alias("_doc")).select(*keep, "_doc.*")
 
 
+def document_month(kind: str, col: str = "value") -> Column:
+    """The ``yyyy_MM`` chunk of a raw document, read from its own first time.
+
+    ``weather``: the first ``hourly.time``; ``prices``: ``HourUTC`` of the
+    first record of an array, or of a single record. NULL when the document
+    has no time (it then lands under the ``__HIVE_DEFAULT_PARTITION__`` chunk,
+    where a quality check finds it).
+    """
+    value = F.col(col)
+    if kind == "weather":
+        first = F.get_json_object(value, "$.hourly.time[0]")
+    elif kind == "prices":
+        first = F.coalesce(F.get_json_object(value, "$[0].HourUTC"), F.get_json_object(value, "$.HourUTC"))
+    else:
+        raise ValueError(f"unknown document kind {kind!r}")
+    return F.regexp_replace(F.substring(first, 1, 7), "-", "_")
+
+
 def land_raw(docs: DataFrame, base: str, kind_col: str = "kind", chunk_col: str = "chunk", text_col: str = "value") -> None:
     """Write raw JSON text under ``kind=.../chunk=...``.
 
