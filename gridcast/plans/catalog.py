@@ -11,8 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridcast.functions.messages import decode, encode
 from gridcast.functions.signal import trade_signal
 from gridcast.functions.timefmt import parse_time, seconds_between
+from gridcast.jobs import silver_dates
 from gridcast.models.scoring import reading_features
 from gridcast.models.training import training_set
 from gridcast.operators import views
@@ -24,6 +26,7 @@ from gridcast.operators.selection import (
     as_of_col,
     date_range,
     is_fresh,
+    is_future,
     latest_valid,
     location_filter,
     peek,
@@ -36,7 +39,6 @@ from gridcast.schemas import READING
 from gridcast.session import ensure_session_defaults, fresh_dir
 from gridcast.sources.bronze import document_month, land_raw, parse_live_docs, parse_weather_docs, read_weather_docs
 from gridcast.sources.silver import read_silver, write_silver_hourly
-from gridcast.functions.messages import decode, encode
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,8 +105,6 @@ def silver_table(spark: SparkSession, sf_dir: str) -> str:
 
 def q_silver_date_range(spark, sf_dir):
     """F2 on silver's date partitions: only the chosen days' files are read."""
-    from gridcast.jobs import silver_dates
-
     silver = silver_dates(read_silver(spark, silver_table(spark, sf_dir)), SILVER_FROM, SILVER_TO)
     return silver.select("temperature", "wind_speed", "time_15min", F.col("date").cast("string").alias("date"))
 
@@ -251,8 +251,6 @@ def q_live_series(spark, sf_dir):
 
 
 def q_model_unpivot(spark, sf_dir):
-    from gridcast.operators.selection import is_future
-
     rows = views.message_rows(S.predictions(_events(spark, sf_dir)), "arrival").where(is_future("Time", AS_OF))
     return views.model_long(rows).select("Time", "Model", "Price", F.col("_arrival").alias("arrival"))
 
