@@ -3,8 +3,6 @@ model outputs; stream results are compared with the batch oracle)."""
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +17,7 @@ from gridcast.operators.selection import is_future
 from gridcast.plans import standins as S
 from gridcast.plans.catalog import AS_OF, _events, prices_hourly, weather_15min
 from gridcast.schemas import READING
-from gridcast.session import fresh_dir
+from gridcast.session import fresh_dir, run_concurrently
 from gridcast.sources.messages import publish
 from gridcast.streaming import state
 from gridcast.streaming.runner import stage_files, stream_to_table
@@ -41,10 +39,7 @@ def fitted_models(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, Pipe
     if key not in _MODELS:
         rf, gbt = fit_both(training_set(weather_15min(spark, sf_dir), prices_hourly(spark, sf_dir)))
         base = fresh_dir(spark, "models")
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            saves = [pool.submit(save_model, rf, f"{base}/rf"), pool.submit(save_model, gbt, f"{base}/gbt")]
-            for done in saves:
-                done.result()
+        run_concurrently(lambda: save_model(rf, f"{base}/rf"), lambda: save_model(gbt, f"{base}/gbt"))
         _MODEL_DIRS[key] = base
         _MODELS[key] = (rf, gbt)
     return _MODELS[key]

@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import Any
 
+from pyspark import InheritableThread
 from pyspark.sql import SparkSession
 
 # Session options every job relies on. Time is UTC by convention in every
@@ -98,3 +101,29 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def fresh_dir(spark: SparkSession, kind: str) -> str:
     """A new, never-reused folder for one written table or stream."""
     return shared_dir(spark, kind, uuid.uuid4().hex)
+
+
+def run_concurrently(*tasks: Callable[[], Any]) -> list[Any]:
+    """Run independent driver-side steps (each submitting its own Spark jobs)
+    on threads, and return their results in order; the first error is raised.
+
+    ``InheritableThread`` carries the caller's job group and local properties
+    into each thread, so the jobs stay attributed to the calling query.
+    """
+    results: list[Any] = [None] * len(tasks)
+    errors: list[BaseException] = []
+
+    def work(i: int, task: Callable[[], Any]) -> None:
+        try:
+            results[i] = task()
+        except BaseException as e:  # noqa: BLE001 - re-raised in the caller
+            errors.append(e)
+
+    threads = [InheritableThread(target=work, args=(i, t)) for i, t in enumerate(tasks)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    if errors:
+        raise errors[0]
+    return results

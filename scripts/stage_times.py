@@ -12,6 +12,7 @@ import glob
 import io
 import json
 import os
+import signal
 import sys
 
 
@@ -72,4 +73,5 @@ def main() -> None:
 
 
 if __name__ == "__main__":
+    signal.signal(signal.SIGPIPE, signal.SIG_DFL)  # quiet when piped to head
     main()
