@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from gridcast.llm.common import table
 from gridcast.llm.dedup import content_sort
 from gridcast.llm.mixing import mix_sources
+from gridcast.llm.partenum import jaccard_join
 from gridcast.llm.sharding import shard_rows
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"), words=5, p=80, q=100)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shard_rows(table(spark, sf_dir, "documents"), shards=40)
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -64,6 +69,7 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 QUERIES = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,
     "op8_exact_dedup": op8_exact_dedup,
