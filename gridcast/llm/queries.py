@@ -9,13 +9,19 @@ from gridcast.llm.common import table
 from gridcast.llm.dedup import content_sort
 from gridcast.llm.mixing import mix_sources
 from gridcast.llm.partenum import jaccard_join
+from gridcast.llm.quality import quality_scores
 from gridcast.llm.sharding import shard_rows
+from gridcast.llm.toxicity import toxicity_scores
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"), words=5, p=80, q=100)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shard_rows(table(spark, sf_dir, "documents"), shards=40)
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -29,6 +35,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 OP5_SQL = """
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
@@ -70,9 +80,11 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 
 QUERIES = {
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_toxicity": op3_toxicity,
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_quality": op10_quality,
 }
 
 ORACLE = {"op5_mixing": OP5_SQL, "op8_exact_dedup": OP8_SQL}
