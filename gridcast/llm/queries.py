@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from gridcast.llm.common import table
 from gridcast.llm.dedup import content_sort
+from gridcast.llm.knn import top_inner_products
 from gridcast.llm.mixing import mix_sources
+from gridcast.llm.packing import pack
 from gridcast.llm.partenum import jaccard_join
 from gridcast.llm.quality import quality_scores
 from gridcast.llm.sharding import shard_rows
@@ -31,6 +33,20 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_inner_products(table(spark, sf_dir, "embeddings"), k=20, every=20, scale=64)
+
+
+def byte_bpe_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), byte_bpe_path(), size=1024)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -83,6 +99,8 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,
+    "op6_exact_topk": op6_exact_topk,
+    "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_quality": op10_quality,
 }
