@@ -11,11 +11,16 @@ from gridcast.llm.knn import top_inner_products
 from gridcast.llm.mixing import mix_sources
 from gridcast.llm.packing import pack
 from gridcast.llm.partenum import jaccard_join
+from gridcast.llm.pii import find_personal_data
 from gridcast.llm.quality import quality_scores
 from gridcast.llm.sharding import shard_rows
 from gridcast.llm.toxicity import toxicity_scores
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"), words=5, p=80, q=100)
 
@@ -95,6 +100,7 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 QUERIES = {
+    "op1_personal_data": op1_personal_data,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_toxicity": op3_toxicity,
     "op4_sharding": op4_sharding,
