@@ -18,10 +18,15 @@ is more selective than a part), large bands single partitions:
 A set similar to another of the next band also emits that band's signatures.
 Sharing a signature only makes a candidate: intersection and union are then
 counted on the sets. Links are needed up to connectivity, so each signature's
-holders are compared with the smallest of them first, and pairs are compared
-in a second round only where the holders still lie in different components:
-no pair of similar documents stays unconnected, and a group of near copies is
-not compared pair by pair.
+holders are compared with the smallest of them (its centre) only. Holders that
+stay in different components are compared by what sets them apart from their
+centre c: for D(x) = x XOR c, the sets x and y differ in |D(x) XOR D(y)|
+elements, so similar ones share at least t = (|D(x)| + |D(y)| - d) / 2
+elements of D, where d = (|x| + |y|) (1 - g) / (1 + g). Were t not positive,
+both would be linked with the centre already. A prefix filter on the small sets
+D, what the centre lacks first, names the pairs that are left to compare: no
+link between components is lost, and a group of near copies is not compared
+pair by pair.
 """
 
 from __future__ import annotations
@@ -256,39 +261,110 @@ def _set_rows(words: int):
     return run
 
 
-def _compare(p: int, q: int):
-    """Rows sorted by (centre, salt) with the centre's own set first in each group."""
+def _by_centre(batches, visit):
+    """Calls visit(centre id, its set, member id, the member's set); rows come sorted
+    by (centre, salt) with the centre's own set first in each group."""
+    group, centre = None, None
+    for batch in batches:
+        for c, salt, own, node, data in zip(*(col.to_pylist() for col in batch.columns)):
+            elements = np.frombuffer(data, np.uint64)
+            if own:
+                group, centre = (c, salt), elements
+                continue
+            if group != (c, salt):
+                raise ValueError("a group without its centre")
+            visit(c, centre, node, elements)
+        yield
+
+
+def _members_in(centre: np.ndarray, elements: np.ndarray) -> np.ndarray:
+    at = np.minimum(np.searchsorted(centre, elements), len(centre) - 1)
+    return centre[at] == elements
 
+
+def _compare(p: int, q: int):
     def run(batches):
-        group, centre = None, None
-        for batch in batches:
-            a, b = [], []
-            for c, salt, own, node, data in zip(*(col.to_pylist() for col in batch.columns)):
-                elements = np.frombuffer(data, np.uint64)
-                if own:
-                    group, centre = (c, salt), elements
-                    continue
-                if group != (c, salt):
-                    raise ValueError("a group without its centre")
-                at = np.searchsorted(centre, elements)
-                both = int((centre[np.minimum(at, len(centre) - 1)] == elements).sum())
-                if q * both >= p * (len(centre) + len(elements) - both):
-                    a.append(c)
-                    b.append(node)
+        found: list[tuple[int, int]] = []
+
+        def visit(c, centre, node, elements):
+            both = int(_members_in(centre, elements).sum())
+            if q * both >= p * (len(centre) + len(elements) - both):
+                found.append((c, node))
+
+        for _ in _by_centre(batches, visit):
+            a, b = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            found.clear()
 
     return run
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar. A centre's set is sent once per
-    ``COMPARED`` members, so a centre of very many members is many groups."""
+DELTA = "a long, x long, element long, pos int, apart int, size int, small boolean, large boolean"
+
+
+def _deltas(p: int, q: int):
+    """Prefixes of D(x) in one order for all members of a centre: elements the
+    centre lacks, then elements it alone has. ``small``: the row is in the prefix
+    of x as the one with the smaller D, ``large``: as the one with the larger,
+    which must be a member not linked with the centre."""
+
+    def run(batches):
+        made: list[tuple] = []
+
+        def visit(c, centre, node, elements):
+            extra = np.sort(mix(elements[~_members_in(centre, elements)]))
+            missing = np.sort(mix(centre[~_members_in(elements, centre)]))
+            apart, size = len(extra) + len(missing), len(elements)
+            both = size - len(extra)
+            linked = q * both >= p * (len(centre) + size - both)
+            most = size * (q - p) // p  # elements in which x can differ from a similar set
+            # The larger one is not linked, so at least this far from the centre.
+            least = (p * size + q * len(centre)) * (q - p) // (q * (q + p)) + 1
+            share = max(1, -(-(apart + max(apart, least) - most) // 2))
+            small, large = max(0, apart - share + 1), 0 if linked else min(apart, most + 1)
+            for pos, element in enumerate(np.concatenate([extra, missing])[: max(small, large)].view(np.int64).tolist()):
+                made.append((c, node, element, pos, apart, size, pos < small, pos < large))
+
+        kinds = [pa.int64()] * 3 + [pa.int32()] * 3 + [pa.bool_()] * 2
+        names = ["a", "x", "element", "pos", "apart", "size", "small", "large"]
+        for _ in _by_centre(batches, visit):
+            cols = zip(*made) if made else [()] * 8
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, kinds)], names)
+            made.clear()
+
+    return run
+
+
+def _with_centres(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Sets of the members (b) of every centre (a), dealt by centre. A centre's set
+    is sent once per ``COMPARED`` members, so a centre of very many members is
+    many groups."""
     groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / COMPARED).alias("salts"))
     members = pairs.join(groups, "a").select(F.col("a").alias("centre"), F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"), F.lit(False).alias("own"), F.col("b").alias("rep"))
     owns = groups.select(F.col("a").alias("centre"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("own"), F.col("a").alias("rep"))
     rows = members.unionByName(owns).join(sets, "rep").select("centre", "salt", "own", "rep", "elements")
-    dealt = rows.repartition(shuffle_width(pairs.sparkSession), "centre", "salt").sortWithinPartitions("centre", "salt", F.desc("own"))
-    return staged(dealt.mapInArrow(_compare(p, q), "a long, b long"), "jaccard-links")
+    return rows.repartition(shuffle_width(pairs.sparkSession), "centre", "salt").sortWithinPartitions("centre", "salt", F.desc("own"))
+
+
+def _verify(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar."""
+    return staged(_with_centres(pairs, sets).mapInArrow(_compare(p, q), "a long, b long"), "jaccard-links")
+
+
+def _left_to_compare(groups: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+    """Pairs of members of one centre in different components that may be similar;
+    ``groups``: centre a, member b, the member's component label."""
+    rows = staged(_with_centres(groups.select("a", "b"), sets).mapInArrow(_deltas(p, q), DELTA), "jaccard-deltas")
+    labels = groups.select("a", F.col("b").alias("x"), "label")
+    rows = rows.join(labels, ["a", "x"])
+    x = rows.where("large").select("a", "element", "x", F.col("pos").alias("i"), F.col("apart").alias("dx"), F.col("size").alias("sx"), F.col("label").alias("lx"))
+    y = rows.where("small").select("a", "element", F.col("x").alias("y"), F.col("pos").alias("j"), F.col("apart").alias("dy"), F.col("size").alias("sy"), F.col("label").alias("ly"))
+    # Elements still to come bound what the two can share.
+    ahead = 1 + F.least(F.col("dx") - F.col("i"), F.col("dy") - F.col("j")) - 1
+    enough = 2 * ahead >= F.col("dx") + F.col("dy") - F.floor((F.col("sx") + F.col("sy")) * F.lit(q - p) / F.lit(q + p))
+    sized = (F.col("sx") * q >= F.col("sy") * p) & (F.col("sy") * q >= F.col("sx") * p)
+    met = x.join(y, ["a", "element"]).where("x <> y AND lx <> ly AND dy <= dx").where(enough & sized)
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, p: int = 80, q: int = 100) -> DataFrame:
@@ -316,41 +392,33 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     live = stars.groupBy("band", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need")).where("n >= need").select("band", F.col("b").alias("id"))
     live = staged(live.join(rep_of, "id").select("band", "id", "rep", F.col("n").alias("size")), "jaccard-live")
 
+    # Holders of a signature that three or more share, and their smallest live one.
+    holders = shared.where("kind = 1").select("sig", "band", F.col("b").alias("id")).join(live, ["band", "id"]).select("sig", "rep", "size").distinct()
+    centres = holders.groupBy("sig").agg(F.min(F.struct("rep", "size")).alias("c"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    centres = centres.select("sig", F.col("c.rep").alias("a"), F.col("c.size").alias("sa"))
+    holders = staged(holders.join(centres, "sig").where("rep <> a").select("sig", "a", "sa", F.col("rep").alias("b"), F.col("size").alias("sb")), "jaccard-holders")
+
     a_end = live.select("band", F.col("id").alias("a"), F.col("rep").alias("ra"), F.col("size").alias("sa"))
     b_end = live.select("band", F.col("id").alias("b"), F.col("rep").alias("rb"), F.col("size").alias("sb"))
+    direct = stars.where("a <> b").join(a_end, ["band", "a"]).join(b_end, ["band", "b"]).where("ra <> rb")
+    direct = direct.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"), "sa", "sb")
     sized = (F.col("sa") * q >= F.col("sb") * p) & (F.col("sb") * q >= F.col("sa") * p)
-    pairs = (
-        stars.where("a <> b").join(a_end, ["band", "a"]).join(b_end, ["band", "b"]).where("ra <> rb").where(sized)
-        .groupBy(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
-        .agg(F.sum("n").alias("n"))
-    )
-    pairs = staged(pairs, "jaccard-pairs")
+    pairs = staged(direct.unionByName(holders.select("a", "b", "sa", "sb")).where(sized).select("a", "b").distinct(), "jaccard-pairs")
 
     # The sets of live documents; the list of them is broadcast only if it is small.
     wanted, _ = bounded_broadcast(live.select(F.col("rep").alias("id")).distinct())
     elements = staged(source.join(wanted, "id").mapInArrow(_set_rows(words), "rep long, elements binary").dropDuplicates(["rep"]), "jaccard-elements")
 
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
-    links = _verify(best, elements, p, q)
+    links = _verify(pairs, elements, p, q)
     first = staged(components(links), "jaccard-components")
 
-    def labelled(frame: DataFrame, column: str, out: str) -> DataFrame:
-        side = first.select(F.col("node").alias(column), F.col("component").alias(out))
-        return frame.join(side, column, "left").withColumn(out, F.coalesce(out, column))
-
-    # Second round: what the first left in different components.
-    tested = best.select("a", "b", F.lit(True).alias("tested"))
-    open_stars = labelled(labelled(pairs.select("a", "b"), "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b")
-    holders = labelled(
-        shared.where("kind = 1").select("sig", "band", F.col("b").alias("id")).join(live, ["band", "id"]).select("sig", "rep", "size").distinct(), "rep", "label"
-    )
-    mixed = holders.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("sig")
-    unsettled = staged(holders.join(mixed, "sig"), "jaccard-open")
-    x = unsettled.select("sig", F.col("rep").alias("a"), F.col("size").alias("sa"), F.col("label").alias("la"))
-    y = unsettled.select("sig", F.col("rep").alias("b"), F.col("size").alias("sb"), F.col("label").alias("lb"))
-    open_runs = x.join(y, "sig").where("a < b AND la <> lb").where(sized).select("a", "b")
-    rest = staged(open_stars.unionByName(open_runs).distinct().join(tested, ["a", "b"], "left").where("tested IS NULL").select("a", "b"), "jaccard-rest")
-    if not rest.isEmpty():
+    # Signatures whose holders lie in different components, by centre.
+    side = first.select(F.col("node").alias("b"), F.col("component").alias("label"))
+    labelled = holders.select("sig", "a", "b").join(side, "b", "left").withColumn("label", F.coalesce("label", "b"))
+    open_sigs = labelled.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("sig")
+    groups = staged(labelled.join(open_sigs, "sig").select("a", "b", "label").distinct(), "jaccard-groups")
+    if not groups.isEmpty():
+        rest = staged(_left_to_compare(groups, elements, p, q), "jaccard-rest")
         more = _verify(rest, elements, p, q)
         first = staged(components(links.unionByName(more)), "jaccard-components")
 
