@@ -77,11 +77,42 @@ def _thresholds(rows: DataFrame, plan: DataFrame) -> DataFrame:
     return state.select("source_key", F.when(F.col("all"), F.lit(1 << HASH_BITS)).otherwise(F.col("lo") + nearer.cast("long")).alias("stop"))
 
 
+def source_plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: int = 2) -> DataFrame:
+    """Per source: source_key, source_size, target, base (copies every row gets) and
+    stop (hashes below it get one more). ``rows`` as ``sized_rows`` makes them, stored."""
+    found = rows.groupBy("source_key", "source").agg(F.sum("size").alias("size")).collect()  # a row per source
+    targets = water_fill([(r["source"], r["size"]) for r in found], weights, share, most) if found else {}
+    lines = [(r["source_key"], r["size"], targets[r["source"]]) for r in found]
+    schema = T.StructType([T.StructField("source_key", T.StringType()), T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType())])
+    base = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
+    plan = rows.sparkSession.createDataFrame(lines, schema).withColumn("base", base).withColumn("budget", F.col("target") - F.col("base") * F.col("source_size"))
+    return plan.join(F.broadcast(_thresholds(rows, plan)), "source_key").drop("budget")
+
+
+def sized_rows(df: DataFrame, id_col: str, text_col: str, source_col: str, carry: list[str] | None = None) -> DataFrame:
+    """doc_id, source, size, hash and source_key of every row, and the ``carry`` columns as c0_, c1_, ..."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return df.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(source_col).cast("string").alias("source"),
+        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
+        row_hash(F.col(id_col), text).alias("hash"),
+        _key(F.col(source_col).cast("string")).alias("source_key"),
+        *[F.col(c).alias(f"c{i}_") for i, c in enumerate(carry or [])],
+    )
+
+
+def with_copies(rows: DataFrame, plan: DataFrame, most: int = 2) -> DataFrame:
+    """``rows`` with the plan of their source (a row per source, broadcast) and ``copies``."""
+    copies = F.least(F.lit(most).cast("long"), F.col("base") + (F.col("hash") < F.col("stop")).cast("long"))
+    return rows.join(F.broadcast(plan), "source_key").withColumn("copies", copies)
+
+
 def mix_sources(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: int = 2
 ) -> DataFrame:
-    """Every row with the number of ``copies`` the mix takes: id, row hash, size,
-    source size, target, copies, taken.
+    """Every row with the number of ``copies`` the mix takes: doc_id, hash, size,
+    source_size, target, copies, taken.
 
     Size: words of the text (null: 0). Each row is taken ``floor(target /
     source size)`` times, and once more below its source's hash threshold;
@@ -90,27 +121,20 @@ def mix_sources(
     sources are one source, the last. Null ids are rows like others. Other
     columns are not looked at; an empty table gives no rows.
     """
-    spark = df.sparkSession
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = staged(
-        df.select(
-            F.col(id_col).cast("long").alias("doc_id"),
-            F.col(source_col).cast("string").alias("source"),
-            F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-            row_hash(F.col(id_col), text).alias("hash"),
-        ).withColumn("source_key", _key(F.col("source"))),
-        "mix-rows",
-    )
-    found = rows.groupBy("source_key", "source").agg(F.sum("size").alias("size")).collect()  # a row per source
-    targets = water_fill([(r["source"], r["size"]) for r in found], weights, share, most) if found else {}
-    lines = [(r["source_key"], r["size"], targets[r["source"]]) for r in found]
-    schema = T.StructType([T.StructField("source_key", T.StringType()), T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType())])
-    base = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
-    plan = spark.createDataFrame(lines, schema).withColumn("base", base).withColumn("budget", F.col("target") - F.col("base") * F.col("source_size"))
-    stops = _thresholds(rows, plan)
-    chosen = rows.join(F.broadcast(plan), "source_key").join(F.broadcast(stops), "source_key")
-    copies = F.least(F.lit(most).cast("long"), F.col("base") + (F.col("hash") < F.col("stop")).cast("long"))
-    return chosen.withColumn("copies", copies).select("doc_id", "hash", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+    rows = staged(sized_rows(df, id_col, text_col, source_col), "mix-rows")
+    chosen = with_copies(rows, source_plan(rows, weights, share, most), most)
+    return chosen.select("doc_id", "hash", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def mixed_rows(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: int = 2
+) -> DataFrame:
+    """The mix itself: the rows of ``df``, each as often as ``mix_sources`` takes it.
+    The texts are filtered and repeated where they are read, not shuffled."""
+    plan = source_plan(staged(sized_rows(df, id_col, text_col, source_col), "mix-rows"), weights, share, most)
+    chosen = with_copies(sized_rows(df, id_col, text_col, source_col, df.columns), plan, most).where("copies > 0")
+    repeated = chosen.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return repeated.select(*[F.col(f"c{i}_").alias(c) for i, c in enumerate(df.columns)])
 
 
 def row_hash(row_id, text):

@@ -426,3 +426,11 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     joined = sets.join(by_class, "node", "left")
     alone = F.when(F.col("id").isNull(), F.lit(None).cast("long")).when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id"))
     return joined.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), alone.alias("component_id"))
+
+
+def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, p: int = 80, q: int = 100) -> DataFrame:
+    """The rows of ``df`` without those that are not their component's smallest id.
+    Rows without an id stay. The list of ids that go is broadcast only if it is small."""
+    members = jaccard_join(df, id_col, text_col, words, p, q)
+    gone, _ = bounded_broadcast(members.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone_")).distinct())
+    return df.join(gone, F.col(id_col).cast("long") == F.col("gone_"), "left_anti")

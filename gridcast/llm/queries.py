@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridcast.llm import licenses
 from gridcast.llm.common import table
 from gridcast.llm.dedup import content_sort
 from gridcast.llm.knn import top_inner_products
@@ -56,6 +57,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -108,7 +113,8 @@ QUERIES = {
     "op6_exact_topk": op6_exact_topk,
     "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
 }
 
-ORACLE = {"op5_mixing": OP5_SQL, "op8_exact_dedup": OP8_SQL}
+ORACLE = {"op5_mixing": OP5_SQL, "op8_exact_dedup": OP8_SQL, "op9_licenses": licenses.oracle_sql()}
