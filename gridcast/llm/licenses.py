@@ -7,6 +7,8 @@ every offset, also beyond their ends. A window that holds c of a template's
 shingles in a row has Jaccard similarity c / 4 or more with one of the
 template's windows, so with one row per band it shares at least one of BANDS
 band values with probability 1 - (1 - c / 4) ** BANDS, over 0.9999 for c = 1.
+A band value is the hash of one shingle: a window without any shingle of any
+template collides in no band, and is left out before its bands are computed.
 Retrieved windows are matched shingle by shingle with the template; a match is
 a run of shingles in template order that holds 80 % of them. DataFrame
 functions only.
@@ -15,6 +17,7 @@ functions only.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -113,14 +116,15 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = df.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("doc_id"), windows(shingle_hashes(text)).alias("cut"))
     rows = rows.select("uid", "doc_id", F.explode("cut").alias("w")).select("uid", "doc_id", "w.*")
     hashes = [F.col(f"h{j}") for j in range(STEP)]
-    hit = F.lit(False)
-    for band, values in enumerate(template_bands(spark, templates)):
-        hit = hit | band_value(band, hashes).isin(*values)
-    retrieved = staged(rows.where(hit), "license-windows")
+    shingle_table = staged(template_shingles(spark, templates), "license-templates")
+    known = [r["hash"] for r in shingle_table.select("hash").distinct().collect()]  # fixed by the templates
+    able = staged(rows.where(reduce(lambda a, b: a | b, [h.isin(*known) for h in hashes])), "license-windows")
+    bands = enumerate(template_bands(spark, templates))
+    retrieved = able.where(reduce(lambda a, b: a | b, [band_value(band, hashes).isin(*values) for band, values in bands]))
 
     shingles = retrieved.select("uid", "doc_id", "at", F.posexplode(F.array(*hashes)).alias("j", "hash"))
     # The templates' shingles: a table fixed by the parameter.
-    met = shingles.join(F.broadcast(template_shingles(spark, templates)), "hash").withColumn("pos", F.col("at") + F.col("j"))
+    met = shingles.join(F.broadcast(shingle_table), "hash").withColumn("pos", F.col("at") + F.col("j"))
     order = Window.partitionBy("uid", "license").orderBy("pos")
     new = F.coalesce((F.col("place") <= F.lag("place").over(order)) | (F.col("pos") - F.lag("pos").over(order) > F.col("of")), F.lit(True))
     runs = met.withColumn("new", new.cast("int")).withColumn("run", F.sum("new").over(order))
