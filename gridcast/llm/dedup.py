@@ -155,11 +155,12 @@ def content_sort(
         "pid", "run", F.sum("run_size").over(same).alias("all_size"), pick(F.struct("pid", "run_id")).over(same).alias("top")
     )
     joined = rows.join(F.broadcast(stitched), ["pid", "run"], "left")
+    kept = F.col("best") & (F.col("top").isNull() | (F.col("pid") == F.col("top.pid")))
     return joined.select(
         F.col("id").alias(id_col),
         F.when(F.col("top").isNull(), F.col("run_id")).otherwise(F.col("top.run_id")).alias("keep_id"),
         F.coalesce("all_size", "run_size").alias("group_size"),
-        (F.col("best") & (F.col("top").isNull() | (F.col("pid") == F.col("top.pid")))).alias("kept"),
+        kept.alias("kept"),
         F.col("sha").alias("text_sha256"),
-        *[F.col(n).alias(c) for n, c in zip(names, carry)],
+        *[F.when(kept, F.col(n)).alias(c) for n, c in zip(names, carry)],
     )

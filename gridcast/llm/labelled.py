@@ -116,7 +116,8 @@ def fit_in_one_task(sample: DataFrame, terms: Callable, train: Callable[[list[np
         yield pa.RecordBatch.from_arrays([pa.array([train(x, np.concatenate(y) if y else np.empty(0, np.int32))], pa.binary())], ["model"])
 
     rows = sample.mapInArrow(featurise, "id long, label int, terms binary")
-    return bytes(rows.repartition(1).sortWithinPartitions("id", "label").mapInArrow(fit, "model binary").first()["model"])
+    model = rows.repartition(1).sortWithinPartitions("id", "label").mapInArrow(fit, "model binary").first()
+    return bytes(model["model"]) if model else train([], np.empty(0, np.int32))  # no rows, no task
 
 
 def scored(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], id_col: str, text_col: str, carry: list[str] | None = None) -> DataFrame:

@@ -3,10 +3,12 @@
 Base spans are exact format matches (e-mail, IP, card with a valid check sum,
 phone). Broader generators propose further spans: spelled-out or bracketed
 e-mail and IP separators, digit groups without a plus or a valid check sum.
-Boosted trees, fitted on format and context features of the proposals with
-"meets a base span" as the label, score them; per kind, the lowest score at
-which held-out proposals reach the wanted precision is the threshold above
-which a proposal is added. Base spans always stay.
+Boosted trees on format and context features score the proposals. Their labels
+are weak: 1 for a proposal that meets a base span of its kind, 0 for one that
+meets a base match whose check fails or a base span of another kind; what meets
+neither is unlabelled, and counts as 0 with a part of the weight. Per kind, the
+lowest score from which held-out proposals reach the wanted precision is the
+threshold above which a proposal is added. Base spans always stay.
 """
 
 from __future__ import annotations
@@ -53,7 +55,9 @@ NEEDS = {
 BEFORE, AFTER = 24, 16
 
 # Proposals the trees are fitted on, at most (about), and their size.
-SAMPLE_ROWS, TREES, DEPTH = 20_000, 12, 3
+SAMPLE_ROWS, TREES, DEPTH, LEAF = 20_000, 12, 3, 10
+# Weight of an unlabelled proposal beside a labelled one.
+UNLABELLED = 0.5
 # One sampled proposal in so many sets the thresholds; the precision asked of
 # an added span there, and the proposals it must rest on.
 CALIBRATE, PRECISION, SUPPORT, BINS = 4, 0.98, 20, 1000
@@ -157,7 +161,7 @@ def features() -> dict[str, Column]:
 
 def _thresholds(scored: DataFrame) -> dict[int, float]:
     """Per kind the lowest score bin from which the held-out proposals reach PRECISION."""
-    bins = scored.groupBy("kind", F.floor(F.col("p") * BINS).alias("bin")).agg(F.sum("label").alias("hits"), F.count(F.lit(1)).alias("n")).collect()
+    bins = scored.groupBy("kind", F.floor(F.col("p") * BINS).alias("bin")).agg(F.sum(F.col("label") * F.col("weight")).alias("hits"), F.sum("weight").alias("n")).collect()
     chosen: dict[int, float] = {}
     for kind in range(len(KINDS)):
         hits = n = 0
@@ -177,16 +181,16 @@ def added_spans(proposals: DataFrame) -> DataFrame:
     fold = F.pmod(F.xxhash64("start", "uid", "kind"), F.lit(CALIBRATE))
     row = VectorAssembler(inputCols=names, outputCol="x")
     # The sample is bounded: a few partitions keep the tree jobs short.
-    sample = staged(row.transform(sample).select("kind_id", "label", "x", fold.alias("fold")).coalesce(2), "pii-sample")
+    sample = staged(row.transform(sample).select("kind_id", "label", "weight", "x", fold.alias("fold")).coalesce(2), "pii-sample")
     classes = sample.where("fold > 0").agg(F.min("label"), F.max("label")).first()
     if classes[0] is None or classes[0] == classes[1]:
         return proposals.limit(0).select("uid", "kind_id", "start", "stop")
-    model = GBTClassifier(featuresCol="x", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=0).fit(sample.where("fold > 0"))
+    model = GBTClassifier(featuresCol="x", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, minInstancesPerNode=LEAF, stepSize=0.3, seed=0).fit(sample.where("fold > 0"))
 
     def score(df: DataFrame) -> DataFrame:
         return model.transform(df).withColumn("p", vector_to_array("probability")[1])
 
-    limits = _thresholds(score(sample.where("fold = 0")).select(F.col("kind_id").alias("kind"), "p", "label"))
+    limits = _thresholds(score(sample.where("fold = 0")).select(F.col("kind_id").alias("kind"), "p", "label", "weight"))
     if not limits:
         return proposals.limit(0).select("uid", "kind_id", "start", "stop")
     accepted = reduce(lambda a, b: a | b, [(F.col("kind_id") == kind) & (F.floor(F.col("p") * BINS) / BINS >= least) for kind, least in limits.items()])
@@ -210,14 +214,21 @@ def find_personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = docs.where(F.size("found") > 0).select("uid", F.posexplode("found").alias("pos", "f"))
     rows = rows.select("uid", "pos", F.col("f.kind").alias("kind_id"), "f.base", "f.gap", "f.match", "f.before", "f.after")
     rows = rows.withColumn("stop", F.sum((F.col("gap") + F.length("match")).cast("long")).over(in_turn)).withColumn("start", F.col("stop") - F.length("match"))
-    rows = rows.where(~F.col("base") | valid(F.col("kind_id"), F.col("match")))
-    # A proposal meets a base span when one that starts before its end ends after its start.
-    base_stop, base_start = F.when(F.col("base"), F.col("stop")), F.when(F.col("base"), F.col("start"))
-    by_start = Window.partitionBy("uid", "kind_id").orderBy("start", "stop")
-    upto = F.max(base_stop).over(by_start.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    onward = F.min(base_start).over(by_start.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    met = F.coalesce(upto > F.col("start"), F.lit(False)) | F.coalesce(onward < F.col("stop"), F.lit(False))
-    rows = staged(rows.withColumn("kind", F.col("kind_id")).select("uid", "kind_id", "base", "start", "stop", met.cast("int").alias("label"), *features().values()), "pii-spans")
+    rows = rows.withColumn("good", F.col("base") & valid(F.col("kind_id"), F.col("match")))
+
+    def meets(those: Column, keys: list[str]) -> Column:
+        """One of ``those`` that starts before this row's end ends after its start."""
+        by_start = Window.partitionBy(*keys).orderBy("start", "stop")
+        upto = F.max(F.when(those, F.col("stop"))).over(by_start.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        onward = F.min(F.when(those, F.col("start"))).over(by_start.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+        return F.coalesce(upto > F.col("start"), F.lit(False)) | F.coalesce(onward < F.col("stop"), F.lit(False))
+
+    good, failed = F.col("good"), F.col("base") & ~F.col("good")
+    rows = rows.withColumn("hit", meets(good, ["uid", "kind_id"])).withColumn("miss", meets(failed, ["uid", "kind_id"])).withColumn("any", meets(good, ["uid"]))
+    label, told = F.col("hit").cast("int").alias("label"), F.col("hit") | F.col("miss") | F.col("any")
+    weight = F.when(told, 1.0).otherwise(UNLABELLED).alias("weight")
+    rows = rows.where(good | ~F.col("base")).withColumn("kind", F.col("kind_id"))
+    rows = staged(rows.select("uid", "kind_id", "base", "start", "stop", label, weight, *features().values()), "pii-spans")
 
     base = rows.where("base").select("uid", "kind_id", "start", "stop", F.lit(True).alias("base"))
     added = added_spans(rows.where("NOT base")).withColumn("base", F.lit(False))
