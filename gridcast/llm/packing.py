@@ -36,7 +36,6 @@ def encoder(path: str):
     being ordinary text. tiktoken runs the file's own vocabulary, several times
     faster; a text it refuses goes to ``tokenizers`` itself."""
     import tiktoken
-    from tokenizers import Tokenizer
 
     # The byte alphabet of byte-level BPE: printable bytes stand for themselves,
     # the others for the code points from 256 on.
@@ -48,8 +47,15 @@ def encoder(path: str):
     ranks = {bytes(alphabet[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
     pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
     fast = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True
+    del spec, ranks
+
+    @functools.cache
+    def slow():
+        from tokenizers import Tokenizer
+
+        whole = Tokenizer.from_file(path)
+        whole.encode_special_tokens = True
+        return whole
 
     def encode(text: str) -> np.ndarray:
         try:
@@ -57,7 +63,7 @@ def encoder(path: str):
         except BaseException as e:  # noqa: BLE001 - the Rust side panics with its own class
             if isinstance(e, (KeyboardInterrupt, SystemExit)):
                 raise
-            return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
+            return np.array(slow().encode(text, add_special_tokens=False).ids, np.uint32)
 
     return encode
 
@@ -69,7 +75,7 @@ def _pieces(path: str, size: int, with_ids: bool):
     def run(batches):
         encode = encoder(path)
         for whole in batches:
-            for batch in text_slices(whole, "text"):
+            for batch in text_slices(whole, "text", max_bytes=1 << 20):
                 rows = []
                 for i, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
                     ids = np.append(encode(text or ""), END_ID).astype("<u4")

@@ -24,9 +24,10 @@ centre c: for D(x) = x XOR c, the sets x and y differ in |D(x) XOR D(y)|
 elements, so similar ones share at least t = (|D(x)| + |D(y)| - d) / 2
 elements of D, where d = (|x| + |y|) (1 - g) / (1 + g). Were t not positive,
 both would be linked with the centre already. A prefix filter on the small sets
-D, what the centre lacks first, names the pairs that are left to compare: no
-link between components is lost, and a group of near copies is not compared
-pair by pair.
+D, rarest elements of the group first, names the pairs that are left to compare:
+no link between components is lost, and a group of near copies is not compared
+pair by pair. A centre's members are filtered in one task up to ``COMPARED`` of
+them; for more, the elements are counted, ranked and joined by Spark.
 """
 
 from __future__ import annotations
@@ -49,8 +50,8 @@ from gridcast.operators.sizing import bounded_broadcast
 PAIR_BANDS, PAIR_PARTS = 4, 1024
 # Signature rows are packed by bucket; more buckets than tasks evens them out.
 BUCKETS_PER_TASK = 4
-# Members compared with one centre in one group.
-COMPARED = 64
+# Members of one centre that one task takes at once.
+COMPARED = 512
 
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
@@ -261,20 +262,24 @@ def _set_rows(words: int):
     return run
 
 
-def _by_centre(batches, visit):
-    """Calls visit(centre id, its set, member id, the member's set); rows come sorted
-    by (centre, salt) with the centre's own set first in each group."""
-    group, centre = None, None
+def _by_centre(batches) -> Iterator[tuple[int, int, np.ndarray, list[tuple[int, int, np.ndarray]]]]:
+    """(centre, number of groups, its set, [(member, label, its set)]) for each group of
+    at most about ``COMPARED`` members; rows come sorted by (centre, salt), the
+    centre's own set first in each group."""
+    group, centre, members = None, None, []
     for batch in batches:
-        for c, salt, own, node, data in zip(*(col.to_pylist() for col in batch.columns)):
+        for c, salt, salts, own, node, label, data in zip(*(col.to_pylist() for col in batch.columns)):
             elements = np.frombuffer(data, np.uint64)
             if own:
-                group, centre = (c, salt), elements
-                continue
-            if group != (c, salt):
+                if members:
+                    yield group[0], group[2], centre, members
+                group, centre, members = (c, salt, salts), elements, []
+            elif group != (c, salt, salts):
                 raise ValueError("a group without its centre")
-            visit(c, centre, node, elements)
-        yield
+            else:
+                members.append((node, label, elements))
+    if members:
+        yield group[0], group[2], centre, members
 
 
 def _members_in(centre: np.ndarray, elements: np.ndarray) -> np.ndarray:
@@ -282,89 +287,134 @@ def _members_in(centre: np.ndarray, elements: np.ndarray) -> np.ndarray:
     return centre[at] == elements
 
 
+def _similar(x: np.ndarray, y: np.ndarray, p: int, q: int) -> bool:
+    both = int(_members_in(x, y).sum())
+    return q * both >= p * (len(x) + len(y) - both)
+
+
 def _compare(p: int, q: int):
     def run(batches):
-        found: list[tuple[int, int]] = []
+        for centre, _, own, members in _by_centre(batches):
+            linked = [node for node, _, elements in members if _similar(own, elements, p, q)]
+            yield pa.RecordBatch.from_arrays([pa.array([centre] * len(linked), pa.int64()), pa.array(linked, pa.int64())], ["a", "b"])
 
-        def visit(c, centre, node, elements):
-            both = int(_members_in(centre, elements).sum())
-            if q * both >= p * (len(centre) + len(elements) - both):
-                found.append((c, node))
+    return run
 
-        for _ in _by_centre(batches, visit):
-            a, b = zip(*found) if found else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-            found.clear()
 
-    return run
+class _Apart:
+    """A member by what sets it apart from the centre: D, and how many of D's
+    elements in a common order must be looked at when it is the one with the
+    smaller D, or (not linked with the centre) the larger."""
+
+    def __init__(self, node: int, label: int, elements: np.ndarray, centre: np.ndarray, p: int, q: int):
+        self.node, self.label, self.elements, self.size = node, label, elements, len(elements)
+        extra, missing = elements[~_members_in(centre, elements)], centre[~_members_in(elements, centre)]
+        self.d = np.concatenate([mix(extra), mix(missing)])
+        both = self.size - len(extra)
+        most = self.size * (q - p) // p  # elements in which it can differ from a similar set
+        # The larger one is not linked, so it is at least this far from the centre.
+        least = (p * self.size + q * len(centre)) * (q - p) // (q * (q + p)) + 1
+        share = max(1, -(-(len(self.d) + max(len(self.d), least) - most) // 2))
+        self.small = max(0, len(self.d) - share + 1)
+        self.large = 0 if q * both >= p * (len(centre) + len(extra)) else min(len(self.d), most + 1)
+
+
+def _links_inside(members: list[_Apart], p: int, q: int) -> list[tuple[int, int]]:
+    """Links between members of one group that have different labels."""
+    every, place, count = np.unique(np.concatenate([m.d for m in members]), return_inverse=True, return_counts=True)
+    order = np.argsort(count, kind="stable")
+    rank = np.empty(len(every), np.int64)
+    rank[order] = np.arange(len(every))
+    sorted_ranks, shared = [], count[order] > 1
+    for part in np.split(place, np.cumsum([len(m.d) for m in members])[:-1]):
+        sorted_ranks.append(np.sort(rank[part]))
+    index: dict[int, list[tuple[int, int]]] = {}
+    for y, (m, ranks) in enumerate(zip(members, sorted_ranks)):
+        for pos, element in enumerate(ranks[: m.small].tolist()):
+            if shared[element]:
+                index.setdefault(element, []).append((y, pos))
+    links = []
+    for x, (m, ranks) in enumerate(zip(members, sorted_ranks)):
+        seen: set[int] = set()
+        for pos, element in enumerate(ranks[: m.large].tolist()):
+            for y, at in index.get(element, ()):
+                other = members[y]
+                if y in seen or other.label == m.label or len(other.d) > len(m.d):
+                    continue
+                # Elements still to come bound what the two can share.
+                ahead = min(len(m.d) - pos, len(other.d) - at)
+                if 2 * ahead >= len(m.d) + len(other.d) - (m.size + other.size) * (q - p) // (q + p):
+                    seen.add(y)
+                    if _similar(m.elements, other.elements, p, q):
+                        links.append((m.node, other.node))
+    return links
 
 
-DELTA = "a long, x long, element long, pos int, apart int, size int, small boolean, large boolean"
+APART = "kind int, a long, b long, label long, element long, apart int, size int, small int, large int"
 
 
-def _deltas(p: int, q: int):
-    """Prefixes of D(x) in one order for all members of a centre: elements the
-    centre lacks, then elements it alone has. ``small``: the row is in the prefix
-    of x as the one with the smaller D, ``large``: as the one with the larger,
-    which must be a member not linked with the centre."""
+def _apart_rows(p: int, q: int):
+    """Kind 0: a link (a, b) found inside a whole group. Kind 1: an element of D(b)
+    for a member b of a centre a with more members than one task takes."""
 
     def run(batches):
-        made: list[tuple] = []
-
-        def visit(c, centre, node, elements):
-            extra = np.sort(mix(elements[~_members_in(centre, elements)]))
-            missing = np.sort(mix(centre[~_members_in(elements, centre)]))
-            apart, size = len(extra) + len(missing), len(elements)
-            both = size - len(extra)
-            linked = q * both >= p * (len(centre) + size - both)
-            most = size * (q - p) // p  # elements in which x can differ from a similar set
-            # The larger one is not linked, so at least this far from the centre.
-            least = (p * size + q * len(centre)) * (q - p) // (q * (q + p)) + 1
-            share = max(1, -(-(apart + max(apart, least) - most) // 2))
-            small, large = max(0, apart - share + 1), 0 if linked else min(apart, most + 1)
-            for pos, element in enumerate(np.concatenate([extra, missing])[: max(small, large)].view(np.int64).tolist()):
-                made.append((c, node, element, pos, apart, size, pos < small, pos < large))
-
-        kinds = [pa.int64()] * 3 + [pa.int32()] * 3 + [pa.bool_()] * 2
-        names = ["a", "x", "element", "pos", "apart", "size", "small", "large"]
-        for _ in _by_centre(batches, visit):
-            cols = zip(*made) if made else [()] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, kinds)], names)
-            made.clear()
+        for c, groups, centre, raw in _by_centre(batches):
+            members = [_Apart(node, label, elements, centre, p, q) for node, label, elements in raw]
+            if groups == 1:
+                links = _links_inside(members, p, q)
+                n = len(links)
+                a, b = zip(*links) if links else ((), ())
+                cols = [[0] * n, a, b, *[[None] * n] * 6]
+            else:
+                sizes = [len(m.d) for m in members]
+                spread = lambda values: np.repeat(np.array(values, np.int64), sizes)  # noqa: E731, B023
+                d = np.concatenate([m.d for m in members]).view(np.int64)
+                cols = [np.ones(len(d), np.int64), np.full(len(d), c), spread([m.node for m in members]), spread([m.label for m in members]), d]
+                cols += [spread(v) for v in (sizes, [m.size for m in members], [m.small for m in members], [m.large for m in members])]
+            kinds = [pa.int32()] + [pa.int64()] * 4 + [pa.int32()] * 4
+            names = ["kind", "a", "b", "label", "element", "apart", "size", "small", "large"]
+            yield pa.RecordBatch.from_arrays([pa.array(v).cast(t) if isinstance(v, np.ndarray) else pa.array(v, t) for v, t in zip(cols, kinds)], names)
 
     return run
 
 
 def _with_centres(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Sets of the members (b) of every centre (a), dealt by centre. A centre's set
-    is sent once per ``COMPARED`` members, so a centre of very many members is
-    many groups."""
+    """Sets of the members (b, with a label) of every centre (a), dealt by centre. A
+    centre's set is sent once per ``COMPARED`` members, so a centre of very many
+    members is many groups."""
     groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / COMPARED).alias("salts"))
-    members = pairs.join(groups, "a").select(F.col("a").alias("centre"), F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"), F.lit(False).alias("own"), F.col("b").alias("rep"))
-    owns = groups.select(F.col("a").alias("centre"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("own"), F.col("a").alias("rep"))
-    rows = members.unionByName(owns).join(sets, "rep").select("centre", "salt", "own", "rep", "elements")
+    members = pairs.join(groups, "a").select(F.col("a").alias("centre"), F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"), "salts", F.lit(False).alias("own"), F.col("b").alias("rep"), "label")
+    owns = groups.select(F.col("a").alias("centre"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), "salts", F.lit(True).alias("own"), F.col("a").alias("rep"), F.lit(None).cast("long").alias("label"))
+    rows = members.unionByName(owns).join(sets, "rep").select("centre", "salt", "salts", "own", "rep", "label", "elements")
     return rows.repartition(shuffle_width(pairs.sparkSession), "centre", "salt").sortWithinPartitions("centre", "salt", F.desc("own"))
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar."""
-    return staged(_with_centres(pairs, sets).mapInArrow(_compare(p, q), "a long, b long"), "jaccard-links")
-
-
-def _left_to_compare(groups: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
-    """Pairs of members of one centre in different components that may be similar;
-    ``groups``: centre a, member b, the member's component label."""
-    rows = staged(_with_centres(groups.select("a", "b"), sets).mapInArrow(_deltas(p, q), DELTA), "jaccard-deltas")
-    labels = groups.select("a", F.col("b").alias("x"), "label")
-    rows = rows.join(labels, ["a", "x"])
-    x = rows.where("large").select("a", "element", "x", F.col("pos").alias("i"), F.col("apart").alias("dx"), F.col("size").alias("sx"), F.col("label").alias("lx"))
-    y = rows.where("small").select("a", "element", F.col("x").alias("y"), F.col("pos").alias("j"), F.col("apart").alias("dy"), F.col("size").alias("sy"), F.col("label").alias("ly"))
-    # Elements still to come bound what the two can share.
-    ahead = 1 + F.least(F.col("dx") - F.col("i"), F.col("dy") - F.col("j")) - 1
+    rows = _with_centres(pairs.withColumn("label", F.lit(None).cast("long")), sets)
+    return staged(rows.mapInArrow(_compare(p, q), "a long, b long"), "jaccard-links")
+
+
+def _links_beside_centres(groups: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+    """Links between members of one centre in different components; ``groups``:
+    centre a, member b, the member's component label."""
+    rows = staged(_with_centres(groups, sets).mapInArrow(_apart_rows(p, q), APART), "jaccard-apart")
+    links = rows.where("kind = 0").select("a", "b")
+    big = rows.where("kind = 1")
+    if big.isEmpty():
+        return links
+    # Elements that no other member has match nothing and come first.
+    counts = big.groupBy("a", "element").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    of_member = Window.partitionBy("a", "b")
+    place = F.col("apart") - F.count(F.lit(1)).over(of_member) + F.row_number().over(of_member.orderBy("n", "element")) - 1
+    ranked = staged(big.join(counts, ["a", "element"]).withColumn("pos", place).where("pos < greatest(small, large)"), "jaccard-ranked")
+    x = ranked.where("pos < large").select("a", "element", F.col("b").alias("x"), F.col("pos").alias("i"), F.col("apart").alias("dx"), F.col("size").alias("sx"), F.col("label").alias("lx"))
+    y = ranked.where("pos < small").select("a", "element", F.col("b").alias("y"), F.col("pos").alias("j"), F.col("apart").alias("dy"), F.col("size").alias("sy"), F.col("label").alias("ly"))
+    ahead = F.least(F.col("dx") - F.col("i"), F.col("dy") - F.col("j"))
     enough = 2 * ahead >= F.col("dx") + F.col("dy") - F.floor((F.col("sx") + F.col("sy")) * F.lit(q - p) / F.lit(q + p))
-    sized = (F.col("sx") * q >= F.col("sy") * p) & (F.col("sy") * q >= F.col("sx") * p)
-    met = x.join(y, ["a", "element"]).where("x <> y AND lx <> ly AND dy <= dx").where(enough & sized)
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    met = x.join(y, ["a", "element"]).where("x <> y AND lx <> ly AND dy <= dx").where(enough)
+    rest = staged(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "jaccard-rest")
+    return links.unionByName(_verify(rest, sets, p, q))
 
 
 def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, p: int = 80, q: int = 100) -> DataFrame:
@@ -418,8 +468,7 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     open_sigs = labelled.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("sig")
     groups = staged(labelled.join(open_sigs, "sig").select("a", "b", "label").distinct(), "jaccard-groups")
     if not groups.isEmpty():
-        rest = staged(_left_to_compare(groups, elements, p, q), "jaccard-rest")
-        more = _verify(rest, elements, p, q)
+        more = _links_beside_centres(groups, elements, p, q)
         first = staged(components(links.unionByName(more)), "jaccard-components")
 
     by_class = classes.join(first, classes.rep == first.node, "left").select(classes.node, F.coalesce("component", "rep").alias("component_id"))

@@ -3,7 +3,9 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pytest
 
+from gridcast.llm import partenum
 from gridcast.llm.partenum import Bands, jaccard_join, one_per_component
 from tests.llm.data import documents, rows
 
@@ -49,8 +51,11 @@ def test_random_edits_match_brute_force(spark):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(given)
 
 
-def test_members_that_only_meet_beside_their_centre_are_linked(spark):
-    """Signature holders whose smallest id is similar to none of them."""
+@pytest.mark.parametrize("at_once", [512, 3])
+def test_members_that_only_meet_beside_their_centre_are_linked(spark, monkeypatch, at_once):
+    """Signature holders whose smallest id is similar to none of them; with few
+    members per task, the elements are joined by Spark."""
+    monkeypatch.setattr(partenum, "COMPARED", at_once)
     rng = random.Random(9)
     base = [f"p{i}" for i in range(100)]
     centre = base[:78] + [f"c{i}" for i in range(22)]
@@ -92,3 +97,37 @@ def test_one_row_per_component_stays(spark):
 
 def test_empty_table(spark):
     assert jaccard_join(documents(spark, [])).count() == 0
+
+
+def test_group_of_near_copies_in_many_parts_matches_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(partenum, "COMPARED", 4)
+    rng = random.Random(5)
+    base = [f"p{i}" for i in range(90)]
+    given = []
+    for i in range(60):
+        near = list(base)
+        for _ in range(rng.randrange(0, 7)):
+            near[rng.randrange(90)] = f"e{rng.randrange(40)}"
+        given.append((i, " ".join(near)))
+    got = jaccard_join(documents(spark, given)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(given)
+
+
+def test_links_inside_a_group_equal_all_pairs():
+    rng = np.random.default_rng(4)
+    for seed in range(30):
+        base = np.unique(rng.integers(0, 2**63, int(rng.integers(20, 200)), dtype=np.uint64))
+        pool = rng.integers(0, 2**63, 30, dtype=np.uint64)
+        sets = []
+        for _ in range(25):
+            keep = base[rng.random(len(base)) > rng.random() * 0.3]
+            sets.append(np.unique(np.concatenate([keep, rng.choice(pool, int(rng.integers(0, 12)))])))
+        sets = [s for s in sets if len(s)]
+        centre = sets[0]
+        members = [partenum._Apart(i, i, s, centre, 80, 100) for i, s in enumerate(sets) if i]
+        found = {tuple(sorted(l)) for l in partenum._links_inside(members, 80, 100)}
+        similar = lambda i, j: partenum._similar(sets[i], sets[j], 80, 100)
+        near = {i for i in range(1, len(sets)) if similar(0, i)}
+        want = {(i, j) for i, j in combinations(range(1, len(sets)), 2) if similar(i, j)}
+        # Pairs that are both linked with the centre are connected already.
+        assert {l for l in want if not set(l) <= near} <= found <= want
