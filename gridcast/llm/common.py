@@ -17,13 +17,23 @@ from gridcast.session import fresh_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+# Bytes of one Arrow batch sent to a Python worker: long texts are sent in more batches.
+BATCH_BYTES = 16 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def staged(df: DataFrame, kind: str) -> DataFrame:
     """Write ``df`` once to the cluster's shared folder and read it back: cuts
     the lineage, so later passes neither recompute it nor depend on one executor."""
+    bound_batches(df.sparkSession)
     path = fresh_dir(df.sparkSession, kind)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
