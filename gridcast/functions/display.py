@@ -50,9 +50,13 @@ def _round_scaled(a: Column, digits: int) -> Column:
 def fixed(c: str | Column, digits: int) -> Column:
     """``"%.{digits}f" % x`` with Python/C rounding; NULL stays NULL."""
     x = _col(c).cast("double")
-    n = _round_scaled(F.abs(x), digits)
-    body = F.format_string(f"%.{digits}f", n / F.lit(float(10**digits)))
-    sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
+    # From 2**53 on a double is a whole number: printed as such, no scaling.
+    small = F.abs(x) < float(2**53 // 10**digits)
+    n = F.when(small, _round_scaled(F.abs(x), digits) / F.lit(float(10**digits))).otherwise(F.abs(x))
+    body = F.when(F.abs(x) < float(2**53), F.format_string(f"%.{digits}f", n)).otherwise(
+        F.concat(F.abs(x).cast("decimal(38,0)").cast("string"), F.lit("." + "0" * digits if digits else ""))
+    )
+    sign = F.when(x.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit(""))  # also of -0.0
     return (
         F.when(F.isnan(x), F.lit("nan"))
         .when(x == float("inf"), F.lit("inf"))

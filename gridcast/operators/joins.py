@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.functions.timefmt import PRICE_FORMAT, hour_bucket, parse_time
+from gridcast.operators.quality import split_valid
 from gridcast.operators.sizing import BROADCAST_MAX_ROWS, bounded_broadcast
 
 
@@ -18,22 +21,31 @@ def hourly_prices(
     prices: DataFrame,
     time_col: str = "price_time",
     price_col: str = "label",
-    arrival_col: str | None = None,
-    keys: tuple[str, ...] = (),
+    arrival_cols: str | Sequence[str] = "arrival",
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """One price per hour (and key): the last-arriving record of the hour wins.
+    """One price per exact price time (and key): the last-arriving priced record wins.
 
     This is the de-duplication the raw join lacks (overlapping price files
-    repeat an hour and fan the join out). Output: ``*keys, price_time, label``.
-    A hash aggregate with a partial (map-side) step, so an hour holding a
-    large share of the records is combined before the shuffle.
+    repeat a time and fan the join out); the time itself is not changed, so an
+    off-hour record joins nothing, as in the raw join. Records without a price
+    never replace one that has it. ``arrival_cols`` order the records, the
+    first column first; each is one aggregate over fixed-width values with a
+    partial (map-side) step, so a time holding a large share of the records is
+    combined before the shuffle. Output: ``*keys, price_time, label``.
     """
-    order: Column = F.col(arrival_col) if arrival_col else F.col(time_col)
-    return (
-        prices.where(F.col(time_col).isNotNull())
-        .groupBy(*keys, hour_bucket(time_col).alias("price_time"))
-        .agg(F.max_by(F.col(price_col), order).alias("label"))
-    )
+    order = [arrival_cols] if isinstance(arrival_cols, str) else list(arrival_cols)
+    rows = prices.where(F.col(time_col).isNotNull() & F.col(price_col).isNotNull() & ~F.isnan(price_col))
+    rows = rows.select(*keys, F.col(time_col).alias("price_time"), F.col(price_col).alias("label"), *order)
+    while order:
+        last = order.pop()
+        rows = rows.groupBy(*keys, "price_time", *order).agg(F.max_by("label", last).alias("label"))
+    return rows.select(*keys, "price_time", "label")
+
+
+def split_prices(raw: DataFrame, time_col: str = "price_time", price_col: str = "label") -> tuple[DataFrame, DataFrame]:
+    """(records with a time and a price, the rest) for a quarantine."""
+    return split_valid(raw, [time_col, price_col])
 
 
 def hour_join(
@@ -41,7 +53,7 @@ def hour_join(
     prices: DataFrame,
     reading_time: str = "time_15min",
     price_time: str = "price_time",
-    keys: tuple[str, ...] = (),
+    keys: Sequence[str] = (),
     broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Inner join of each reading to the price rows of its truncated hour.

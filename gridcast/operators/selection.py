@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcast.functions.timefmt import MICROS_PER_SECOND, as_time, micros_between
+from gridcast.functions.timefmt import as_time
 
 # The serving windows around "now", in seconds (all strict).
 FRESH_SECONDS = 7200  # |t - now| < 2 h
@@ -19,24 +20,38 @@ FUTURE_SECONDS = 3600  # t - now > 1 h
 Time = str | dt.datetime | Column
 
 
-def _us(seconds: int) -> Column:
-    return F.lit(seconds * MICROS_PER_SECOND)
+FRESH = (-FRESH_SECONDS, FRESH_SECONDS)
+TODAY = (TODAY_FROM_SECONDS, TODAY_TO_SECONDS)
+FUTURE = (FUTURE_SECONDS, None)
+
+
+def _shifted(as_of: Time, seconds: int) -> Column:
+    return as_of_col(as_of) + F.make_dt_interval(secs=F.lit(seconds).cast("decimal(18,6)"))
+
+
+def within(t: str | Column, as_of: Time, window: tuple[int | None, int | None], slack: int = 0) -> Column:
+    """Strictly between ``as_of`` plus the window's two offsets (seconds; None: open),
+    as comparisons of ``t`` with constants, which reach a Parquet scan. ``slack``
+    widens both sides."""
+    c, (low, high) = F.col(t) if isinstance(t, str) else t, window
+    bounds = [c > _shifted(as_of, low - slack)] if low is not None else []
+    bounds += [c < _shifted(as_of, high + slack)] if high is not None else []
+    return reduce(lambda a, b: a & b, bounds)
 
 
 def is_fresh(t: str | Column, as_of: Time) -> Column:
     """within two hours of ``as_of``, both ways, strict."""
-    return F.abs(micros_between(t, as_of_col(as_of))) < _us(FRESH_SECONDS)
+    return within(t, as_of, FRESH)
 
 
 def in_today_window(t: str | Column, as_of: Time) -> Column:
     """-12 h < t - as_of < +24 h."""
-    d = micros_between(t, as_of_col(as_of))
-    return (d > _us(TODAY_FROM_SECONDS)) & (d < _us(TODAY_TO_SECONDS))
+    return within(t, as_of, TODAY)
 
 
 def is_future(t: str | Column, as_of: Time) -> Column:
     """more than one hour after ``as_of``."""
-    return micros_between(t, as_of_col(as_of)) > _us(FUTURE_SECONDS)
+    return within(t, as_of, FUTURE)
 
 
 def as_of_col(as_of: Time) -> Column:
@@ -62,11 +77,6 @@ def location_filter(df: DataFrame, col: str, value) -> DataFrame:
     return df.where(F.col(col) == F.lit(value))
 
 
-def not_null(df: DataFrame, col: str) -> DataFrame:
-    """F4."""
-    return df.where(F.col(col).isNotNull())
-
-
 def sort_by(df: DataFrame, *cols: str, descending: bool = False) -> DataFrame:
     """A total order (range-partitioned sort, no single-task window)."""
     return df.orderBy(*[F.col(c).desc() if descending else F.col(c).asc() for c in cols])
@@ -120,7 +130,8 @@ def latest_valid(
     return best.select(*keys, *[F.col("_best")[c].alias(c) for c in others])
 
 
-def peek(df: DataFrame, order_col: str | None = None, n: int = 1) -> DataFrame:
-    """The first ``n`` records as JSON text."""
-    d = df.orderBy(order_col) if order_col else df
+def peek(df: DataFrame, order_col: str | None = None, n: int = 1, area_col: str | None = None, areas: str | Sequence[str] = ()) -> DataFrame:
+    """The first ``n`` records (of some areas) as JSON text."""
+    d = area_filter(df, area_col, areas) if area_col else df
+    d = d.orderBy(order_col) if order_col else d
     return d.limit(n).select(F.to_json(F.struct(*df.columns)).alias("json"))

@@ -10,14 +10,13 @@ are deterministic however the rows are partitioned.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.functions.display import py_format
 from gridcast.functions.signal import PRICE_TEXT, TABLE_TEXT, TEMP_TEXT, WIND_TEXT, or_zero, trade_signal
 from gridcast.functions.timefmt import AXIS_DAY_FORMAT, AXIS_HOUR_FORMAT, iso_text, parse_time
-from gridcast.operators.selection import Time, in_today_window, is_fresh, is_future
-from gridcast.session import fresh_dir
+from gridcast.operators.selection import FRESH, FUTURE, TODAY, Time, within
 
 # Model labels of the comparison views, and the buffer sizes.
 RF_LABEL = "Random Forest (Champion)"
@@ -28,38 +27,45 @@ FORECAST_MAX_ROWS = 800
 FORECAST_KEEP_ROWS = 600
 
 
-def message_rows(pred: DataFrame, arrival_col: str) -> DataFrame:
-    """Parse the message time and apply the missing-value default.
+def message_rows(pred: DataFrame, arrival_col: str, as_of: Time | None = None, window: tuple[int | None, int | None] | None = None, event_time_col: str | None = None) -> DataFrame:
+    """Parse the message time and apply the missing-value default (P15), keeping
+    the rows strictly within ``window`` of ``as_of`` if one is given.
 
     Rows whose time does not parse are dropped here (the consumer skips such
     messages); ``split_valid`` on ``Time`` keeps them for a quarantine sink.
+    With ``event_time_col``, a stored TIMESTAMP that the message's time is cut
+    to the second from, the window also bounds that column: the scan then
+    reads only the row groups of the window instead of all history.
     """
-    return pred.select(
+    if window and event_time_col:
+        pred = pred.where(within(event_time_col, as_of, window, slack=1))
+    rows = pred.select(
         parse_time("time").alias("Time"),
         or_zero("price_rf").alias("price_rf"),
         or_zero("price_gbt").alias("price_gbt"),
         or_zero("wind_speed").alias("wind_speed"),
         or_zero("temperature").alias("temperature"),
         F.col(arrival_col).alias("_arrival"),
-    ).where(F.col("Time").isNotNull())
+    )
+    return rows.where(within("Time", as_of, window) if window else F.col("Time").isNotNull())
 
 
-def current_conditions(pred: DataFrame, as_of: Time, arrival_col: str = "arrival") -> DataFrame:
+def current_conditions(pred: DataFrame, as_of: Time, arrival_col: str = "arrival", event_time_col: str | None = None) -> DataFrame:
     """The last-arriving fresh message (|t - now| < 2 h) with its signal.
 
     One row, or none when nothing is fresh. A global aggregate with a partial
     step: every task keeps only its latest fresh row.
     """
-    rows = fresh_rows(pred, as_of, arrival_col)
+    rows = fresh_rows(pred, as_of, arrival_col, event_time_col)
     last = rows.agg(
         F.max_by(F.struct("Time", "price_rf", "wind_speed", "temperature"), F.col("_arrival")).alias("m")
     ).where(F.col("m").isNotNull())
     return conditions_tile(last.select("m.*"))
 
 
-def fresh_rows(pred: DataFrame, as_of: Time, arrival_col: str = "arrival") -> DataFrame:
+def fresh_rows(pred: DataFrame, as_of: Time, arrival_col: str = "arrival", event_time_col: str | None = None) -> DataFrame:
     """F5 on the parsed messages: the candidates for the tiles."""
-    return message_rows(pred, arrival_col).where(is_fresh("Time", as_of))
+    return message_rows(pred, arrival_col, as_of, FRESH, event_time_col)
 
 
 def conditions_tile(last: DataFrame) -> DataFrame:
@@ -79,20 +85,25 @@ def conditions_tile(last: DataFrame) -> DataFrame:
     )
 
 
-def live_series(pred: DataFrame, as_of: Time, arrival_col: str = "arrival", cap: int = LIVE_CAP) -> DataFrame:
+def live_series(pred: DataFrame, as_of: Time, arrival_col: str = "arrival", cap: int = LIVE_CAP, event_time_col: str | None = None) -> DataFrame:
     """The "today" series.
 
     Messages with -12 h < t - now < +24 h (F6) become ``Time, Price, Wind,
     Type`` rows (P16); only the last ``cap`` by arrival are kept (W1, a
     TakeOrderedAndProject), then the first arrival per ``Time`` (A1).
     """
-    last = today_rows(pred, as_of, arrival_col).orderBy(F.col("_arrival").desc()).limit(cap)
+    last = today_rows(pred, as_of, arrival_col, event_time_col).orderBy(F.col("_arrival").desc()).limit(cap)
     return live_view(last)
 
 
-def today_rows(pred: DataFrame, as_of: Time, arrival_col: str = "arrival") -> DataFrame:
+def today_rows(pred: DataFrame, as_of: Time, arrival_col: str = "arrival", event_time_col: str | None = None) -> DataFrame:
     """F6 on the parsed messages: the rows the live buffer appends."""
-    return message_rows(pred, arrival_col).where(in_today_window("Time", as_of))
+    return message_rows(pred, arrival_col, as_of, TODAY, event_time_col)
+
+
+def future_rows(pred: DataFrame, as_of: Time, arrival_col: str = "arrival", event_time_col: str | None = None) -> DataFrame:
+    """F7 on the parsed messages: the rows of the forecast buffer."""
+    return message_rows(pred, arrival_col, as_of, FUTURE, event_time_col)
 
 
 def live_view(last: DataFrame) -> DataFrame:
@@ -129,24 +140,18 @@ def forecast_buffer_rows(appended: int, max_rows: int = FORECAST_MAX_ROWS, keep_
     return keep_rows + (appended - (max_rows + 2)) % period
 
 
-def forecast_buffer(pred: DataFrame, as_of: Time, arrival_col: str = "arrival") -> DataFrame:
+def forecast_buffer(pred: DataFrame, as_of: Time, arrival_col: str = "arrival", event_time_col: str | None = None) -> DataFrame:
     """W2 over the future messages (F7): the rows the buffer holds now.
 
     The buffer length k follows from the number of rows ever appended (closed
-    form, at most ``FORECAST_MAX_ROWS``). One pass over the messages gives
-    both: the newest ``FORECAST_MAX_ROWS`` rows by arrival (a top-k, each task
-    keeps only its own newest) are written to the shared folder while an
-    observed metric counts every row on the way in; the buffer is then the
-    newest k of those. Output: ``Time, Model, Price, _arrival, _slot``.
+    form, at most ``FORECAST_MAX_ROWS``): a count of the window's messages, two
+    rows each. A re-run task cannot change it. The buffer is the newest k rows
+    by arrival, a top-k of which each task keeps only its own. Output: ``Time,
+    Model, Price, _arrival, _slot``.
     """
-    rows = message_rows(pred, arrival_col).where(is_future("Time", as_of))
+    rows = future_rows(pred, as_of, arrival_col, event_time_col)
     order = [F.col("_arrival").desc(), F.col("_slot").desc()]
-    appended = Observation("forecast_rows")
-    counted = model_long(rows).observe(appended, F.count(F.lit(1)).alias("n"))
-    path = fresh_dir(pred.sparkSession, "forecast-buffer")
-    counted.orderBy(*order).limit(FORECAST_MAX_ROWS).write.parquet(path)
-    k = forecast_buffer_rows(int(appended.get["n"]))
-    return pred.sparkSession.read.parquet(path).orderBy(*order).limit(k)
+    return model_long(rows).orderBy(*order).limit(forecast_buffer_rows(2 * rows.count()))
 
 
 def model_pivot(long: DataFrame) -> DataFrame:
@@ -167,7 +172,7 @@ def comparison_table(wide: DataFrame) -> DataFrame:
     )
 
 
-def model_comparison(pred: DataFrame, as_of: Time, arrival_col: str = "arrival") -> DataFrame:
+def model_comparison(pred: DataFrame, as_of: Time, arrival_col: str = "arrival", event_time_col: str | None = None) -> DataFrame:
     """Champion vs challenger over the forecast buffer."""
-    buf = forecast_buffer(pred, as_of, arrival_col)
+    buf = forecast_buffer(pred, as_of, arrival_col, event_time_col)
     return model_pivot(buf)

@@ -8,25 +8,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.functions.messages import decode, encode
 from gridcast.functions.signal import trade_signal
-from gridcast.functions.timefmt import parse_time, seconds_between
-from gridcast.jobs import silver_dates
-from gridcast.models.scoring import reading_features
-from gridcast.models.training import training_set
+from gridcast.functions.timefmt import seconds_between
+from gridcast.jobs import silver_dates, silver_job
+from gridcast.models.scoring import reading_features, scorable
+from gridcast.models.training import assembler, training_set
 from gridcast.operators import views
 from gridcast.operators.calendar import month_chunks
-from gridcast.operators.joins import hour_join, hourly_prices, price_series
+from gridcast.operators.joins import hour_join, hourly_prices, price_series, split_prices
 from gridcast.operators.quality import split_valid
 from gridcast.operators.selection import (
     area_filter,
     as_of_col,
     date_range,
-    is_fresh,
-    is_future,
     latest_valid,
     location_filter,
     peek,
@@ -35,10 +34,11 @@ from gridcast.operators.selection import (
 from gridcast.operators.readings import forecast_readings, live_readings, market_messages
 from gridcast.operators.series import flatten_series, upsample_hold, upsample_hold_sql
 from gridcast.plans import standins as S
-from gridcast.schemas import READING
+from gridcast.schemas import FEATURES, READING
 from gridcast.session import ensure_session_defaults, fresh_dir
-from gridcast.sources.bronze import document_month, land_raw, parse_live_docs, parse_weather_docs, read_weather_docs
+from gridcast.sources.bronze import document_tags, land_raw, parse_live_docs, parse_weather_docs, read_price_docs, read_weather_docs
 from gridcast.sources.silver import read_silver, write_silver_hourly
+from gridcast.streaming.scoring import parse_readings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +48,7 @@ RANGE_START, RANGE_END = "2024-01-10 00:00:00", "2024-01-13 00:00:00"
 SILVER_FROM, SILVER_TO = "2024-01-10", "2024-01-12"  # inclusive dates
 LOCATION = 7
 PRICE_AREAS = [S.PRICE_EVENT]
+PEEK_AREAS = ["7", "11"]
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,10 +58,24 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- C1, C2, C3: bronze -> silver -------------------------------------------
 
-def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C1 over the bronze documents, bad times set aside."""
-    docs = parse_weather_docs(S.weather_docs_text(_events(spark, sf_dir)))
-    good, _quarantine = split_valid(flatten_series(docs), ["time"])
+_BRONZE: dict[tuple[str, str], str] = {}
+
+
+def bronze_weather(spark: SparkSession, sf_dir: str) -> str:
+    """The weather documents of a data set, landed as files once per session (an input)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BRONZE:
+        path = fresh_dir(spark, "bronze-weather")
+        S.weather_docs_text(_events(spark, sf_dir)).select("value").write.text(path)
+        _BRONZE[key] = path
+    return _BRONZE[key]
+
+
+def weather_hourly(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """C1 over the bronze documents (S1); the stand-in has no bad times."""
+    docs = read_weather_docs(spark, bronze_weather(spark, sf_dir))
+    docs = docs.withColumn("site", F.concat_ws(",", F.col("latitude").cast("string"), F.col("longitude").cast("string")))
+    good, _quarantine = split_valid(flatten_series(docs, keep=keep), ["time"])
     return good
 
 
@@ -82,12 +97,38 @@ def q_upsample_sql(spark, sf_dir):
     return upsample_hold_sql(hourly, time_col="time").select("temperature", "wind_speed", "time_15min")
 
 
+def _silver_rows(silver: DataFrame, *keys: str) -> DataFrame:
+    return silver.select(*keys, "temperature", "wind_speed", "time_15min", F.col("date").cast("string").alias("date"))
+
+
 def q_silver_job(spark, sf_dir):
-    """Flatten, cluster the hourly rows by date, upsample, write date-partitioned Parquet, read it back."""
-    path = fresh_dir(spark, "silver")
-    write_silver_hourly(weather_hourly(spark, sf_dir).drop("time_str"), path, time_col="time")
-    silver = read_silver(spark, path)
-    return silver.select("temperature", "wind_speed", "time_15min", F.col("date").cast("string").alias("date"))
+    """C3 as the job runs it: flatten, cluster by date, upsample, write date-partitioned Parquet, read it back."""
+    return _silver_rows(silver_job(spark, bronze_weather(spark, sf_dir), fresh_dir(spark, "silver"), show_schema=False))
+
+
+def _site_bronze(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The weather documents of each site in a folder of their own."""
+    docs = S.weather_docs_text(_events(spark, sf_dir))
+    paths = [f"{fresh_dir(spark, 'bronze-site')}" for _ in S.SITES]
+    for site, path in zip(S.SITES, paths):
+        docs.where(F.col("site") == site).select("value").write.text(path)
+    return paths
+
+
+def q_silver_two_sites(spark, sf_dir):
+    """C3 run once per site into one table: the second run replaces only its own parts."""
+    silver = fresh_dir(spark, "silver")
+    for bronze in _site_bronze(spark, sf_dir):
+        out = silver_job(spark, bronze, silver, show_schema=False, replace="parts", keys=("site",))
+    return _silver_rows(out, "site")
+
+
+def q_silver_replace_all(spark, sf_dir):
+    """S4's default: the second run replaces the whole table."""
+    silver = fresh_dir(spark, "silver")
+    for bronze in _site_bronze(spark, sf_dir):
+        out = silver_job(spark, bronze, silver, show_schema=False)
+    return _silver_rows(out)
 
 
 _SILVER: dict[tuple[str, str], str] = {}
@@ -109,34 +150,54 @@ def q_silver_date_range(spark, sf_dir):
     return silver.select("temperature", "wind_speed", "time_15min", F.col("date").cast("string").alias("date"))
 
 
+def _land(docs: DataFrame, kind: str, base: str) -> None:
+    site, span = document_tags(kind)
+    land_raw(docs.select("value", F.lit(kind).alias("kind"), site.alias("site"), span.alias("chunk")), base)
+
+
 def q_landed_weather(spark, sf_dir):
-    """S11 then S1: land bronze documents by kind and month, read them back, flatten."""
+    """S11 then S1: land bronze documents by kind, site and range, read them back, flatten."""
     base = fresh_dir(spark, "bronze")
-    ev = _events(spark, sf_dir)
-    docs = S.weather_docs_text(ev)
-    landed = docs.select("value", F.lit("weather").alias("kind"), document_month("weather").alias("chunk"))
-    land_raw(landed, base)
+    _land(S.weather_docs_text(_events(spark, sf_dir)), "weather", base)
     back = read_weather_docs(spark, f"{base}/kind=weather")
     good, _quarantine = split_valid(flatten_series(back), ["time"])
     return good.select("time", "temperature", "wind_speed")
 
 
+def q_landed_two_ranges(spark, sf_dir):
+    """S11 twice within one month: odd days after even days, then the even days again."""
+    base = fresh_dir(spark, "bronze")
+    docs = S.weather_docs_text(_events(spark, sf_dir), part=F.to_date("ts").cast("string"))
+    odd = F.dayofmonth(F.col("part").cast("date")) % 2 == 1
+    for landed in (docs.where(~odd), docs.where(odd), docs.where(~odd)):
+        _land(landed, "weather", base)
+    good, _quarantine = split_valid(flatten_series(read_weather_docs(spark, f"{base}/kind=weather")), ["time"])
+    return good.select("time", "temperature", "wind_speed")
+
+
 def q_landed_prices(spark, sf_dir):
-    """S11 then S2: land price records by month, read with the fixed schema."""
+    """S11 then S2: land price records, read with the fixed schema, keep the last priced one."""
     base = fresh_dir(spark, "bronze")
     recs = S.price_records(_events(spark, sf_dir))
-    text = recs.select(F.to_json(F.struct("HourUTC", "SpotPriceEUR", "arrival")).alias("value"), F.lit("prices").alias("kind"))
-    text = text.withColumn("chunk", document_month("prices"))
-    land_raw(text, base)
+    _land(recs.select(F.to_json(F.struct("HourUTC", "SpotPriceEUR", "arrival")).alias("value")), "prices", base)
     raw = spark.read.schema("HourUTC string, SpotPriceEUR double, arrival long").json(f"{base}/kind=prices")
-    return hourly_prices(price_series(raw), arrival_col="arrival")
+    return hourly_prices(price_series(raw))
+
+
+def q_price_array_docs(spark, sf_dir):
+    """Price files that hold JSON arrays, through the reader; every record is a row."""
+    path = fresh_dir(spark, "price-arrays")
+    recs = S.price_records(_events(spark, sf_dir)).withColumn("chunk", F.floor(F.col("arrival") / S.DOC_READINGS))
+    docs = recs.groupBy("chunk").agg(F.collect_list(F.struct("HourUTC", "SpotPriceEUR")).alias("r"))
+    docs.select(F.to_json("r").alias("value")).write.text(path)
+    return price_series(read_price_docs(spark, path)).select("price_time", "label")
 
 
 # --- C4, J1: gold training set ------------------------------------------------
 
 def prices_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = price_series(S.price_records(_events(spark, sf_dir)))
-    return hourly_prices(raw, arrival_col="arrival")
+    return hourly_prices(raw)
 
 
 def q_hourly_prices(spark, sf_dir):
@@ -148,6 +209,20 @@ def q_hour_join(spark, sf_dir):
     return joined.select("temperature", "wind_speed", "label", "time_15min")
 
 
+def q_raw_hour_join(spark, sf_dir):
+    """J1 without de-duplication: a price time found twice fans out."""
+    priced, _quarantine = split_prices(price_series(S.price_records(_events(spark, sf_dir))))
+    joined = hour_join(weather_15min(spark, sf_dir), priced.select("price_time", "label"))
+    return joined.select("temperature", "wind_speed", "label", "time_15min")
+
+
+def q_training_set_by_site(spark, sf_dir):
+    """C4 with a key: readings join the prices of their own site."""
+    hourly = weather_hourly(spark, sf_dir, keep=("site",)).drop("time_str")
+    raw = price_series(S.price_records(_events(spark, sf_dir))).withColumn("site", S.site_of("arrival"))
+    return training_set(upsample_hold(hourly, time_col="time"), hourly_prices(raw, keys=("site",)), keys=("site",))
+
+
 def q_training_set(spark, sf_dir):
     return training_set(weather_15min(spark, sf_dir), prices_hourly(spark, sf_dir))
 
@@ -221,7 +296,21 @@ def q_location_filter(spark, sf_dir):
 
 
 def q_peek_one(spark, sf_dir):
-    return peek(S.market_records(_events(spark, sf_dir)), order_col="arrival")
+    return peek(S.market_records(_events(spark, sf_dir)), order_col="arrival", area_col="PriceArea", areas=PEEK_AREAS)
+
+
+def q_quarantined_messages(spark, sf_dir):
+    """F8: the messages that cannot be scored, each kept with its arrival."""
+    _good, bad = scorable(parse_readings(S.poisoned_messages(_events(spark, sf_dir))))
+    return bad.select("arrival", "value")
+
+
+def q_scorable_messages(spark, sf_dir):
+    """F8: the other half, with its features (what the models are given)."""
+    good, _bad = scorable(parse_readings(S.poisoned_messages(_events(spark, sf_dir))))
+    return assembler().transform(good).select("arrival", vector_to_array("features").alias("f")).select(
+        "arrival", *[F.col("f")[i].alias(name) for i, name in enumerate(FEATURES)]
+    )
 
 
 # --- X13, F5, C7-C9, P17, W2, A2 -------------------------------------------
@@ -237,35 +326,34 @@ def q_trade_signal(spark, sf_dir):
 
 
 def q_fresh_rows(spark, sf_dir):
-    pred = S.predictions(_events(spark, sf_dir)).withColumn("Time", parse_time("time"))
-    fresh = pred.where(is_fresh("Time", AS_OF))
-    return fresh.select("arrival", "Time", seconds_between("Time", as_of_col(AS_OF)).alias("seconds_from_now"))
+    fresh = views.fresh_rows(S.predictions(_events(spark, sf_dir)), AS_OF, event_time_col="event_ts")
+    return fresh.select(F.col("_arrival").alias("arrival"), "Time", seconds_between("Time", as_of_col(AS_OF)).alias("seconds_from_now"))
 
 
 def q_current_conditions(spark, sf_dir):
-    return views.current_conditions(S.predictions(_events(spark, sf_dir)), AS_OF)
+    return views.current_conditions(S.predictions(_events(spark, sf_dir)), AS_OF, event_time_col="event_ts")
 
 
 def q_live_series(spark, sf_dir):
-    return views.live_series(S.predictions(_events(spark, sf_dir)), AS_OF)
+    return views.live_series(S.predictions(_events(spark, sf_dir)), AS_OF, event_time_col="event_ts")
 
 
 def q_model_unpivot(spark, sf_dir):
-    rows = views.message_rows(S.predictions(_events(spark, sf_dir)), "arrival").where(is_future("Time", AS_OF))
+    rows = views.future_rows(S.predictions(_events(spark, sf_dir)), AS_OF, event_time_col="event_ts")
     return views.model_long(rows).select("Time", "Model", "Price", F.col("_arrival").alias("arrival"))
 
 
 def q_forecast_buffer(spark, sf_dir):
-    buf = views.forecast_buffer(S.predictions(_events(spark, sf_dir)), AS_OF)
+    buf = views.forecast_buffer(S.predictions(_events(spark, sf_dir)), AS_OF, event_time_col="event_ts")
     return buf.select("Time", "Model", "Price", F.col("_arrival").alias("arrival"))
 
 
 def q_model_comparison(spark, sf_dir):
-    return views.model_comparison(S.predictions(_events(spark, sf_dir)), AS_OF)
+    return views.model_comparison(S.predictions(_events(spark, sf_dir)), AS_OF, event_time_col="event_ts")
 
 
 def q_comparison_table(spark, sf_dir):
-    return views.comparison_table(views.model_comparison(S.predictions(_events(spark, sf_dir)), AS_OF))
+    return views.comparison_table(views.model_comparison(S.predictions(_events(spark, sf_dir)), AS_OF, event_time_col="event_ts"))
 
 
 def q_distinct_rows(spark, sf_dir):
@@ -289,7 +377,15 @@ QUERIES: dict[str, Query] = {
     "silver_job": q_silver_job,
     "silver_date_range": q_silver_date_range,
     "landed_weather": q_landed_weather,
+    "silver_two_sites": q_silver_two_sites,
+    "silver_replace_all": q_silver_replace_all,
+    "landed_two_ranges": q_landed_two_ranges,
     "landed_prices": q_landed_prices,
+    "price_array_docs": q_price_array_docs,
+    "raw_hour_join": q_raw_hour_join,
+    "training_set_by_site": q_training_set_by_site,
+    "quarantined_messages": q_quarantined_messages,
+    "scorable_messages": q_scorable_messages,
     "hourly_prices": q_hourly_prices,
     "hour_join": q_hour_join,
     "time_features": q_time_features,

@@ -13,7 +13,6 @@ from gridcast.jobs import score_job
 from gridcast.models.scoring import reading_features, scorable, score, score_dual
 from gridcast.models.training import fit_both, save_model, training_set
 from gridcast.operators import views
-from gridcast.operators.selection import is_future
 from gridcast.plans import standins as S
 from gridcast.plans.catalog import AS_OF, _events, prices_hourly, weather_15min
 from gridcast.schemas import READING
@@ -23,6 +22,7 @@ from gridcast.streaming import state
 from gridcast.streaming.runner import stage_files, stream_to_table
 
 STAGED_FILES = 5  # micro-batches the staged streams replay in
+DISTINCT_DELAY = "60 days"  # repeats of a pair within this time are one
 
 _MODEL_DIRS: dict[tuple[str, str], str] = {}
 _MODELS: dict[tuple[str, str], tuple[PipelineModel, PipelineModel]] = {}
@@ -99,15 +99,17 @@ def q_stream_features(spark, sf_dir):
 
 
 def q_stream_distinct(spark, sf_dir):
-    pairs = events_stream(spark, sf_dir).select("user_id", "event_type").dropDuplicates(["user_id", "event_type"])
-    return stream_to_table(pairs, spark, "distinct")
+    """A pair is kept as state for as long as the watermark allows, not for ever."""
+    pairs = events_stream(spark, sf_dir).select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    once = pairs.withWatermark("ts", DISTINCT_DELAY).dropDuplicatesWithinWatermark(["user_id", "event_type"])
+    return stream_to_table(once.select("user_id", "event_type"), spark, "distinct")
 
 
 def q_stream_union(spark, sf_dir):
     """Forecast and live readings share one stream, tagged by origin."""
     ev = events_stream(spark, sf_dir)
     forecast = S.readings(ev.where(F.col("event_type") == S.FORECAST_EVENT)).withColumn("source", F.lit(S.FORECAST_SOURCE))
-    live = S.readings(ev.where(F.col("event_type") == S.LIVE_EVENT)).withColumn("source", F.lit(S.LIVE_SOURCE))
+    live = S.readings(ev.where(F.col("event_type") != S.FORECAST_EVENT)).withColumn("source", F.lit(S.LIVE_SOURCE))
     return stream_to_table(forecast.unionByName(live), spark, "union")
 
 
@@ -121,14 +123,13 @@ def _run_state(spark, stream, merge_factory, name) -> DataFrame:
 
 def q_stream_last_100(spark, sf_dir):
     """The live buffer kept across micro-batches."""
-    pred = S.predictions(staged_events_stream(spark, sf_dir, "last100"))
+    pred = S.predictions(staged_events_stream(spark, sf_dir, "last100")).drop("event_ts")
     return _run_state(spark, pred, lambda d: state.keep_last(d, views.LIVE_CAP, "arrival"), "last100")
 
 
 def q_stream_forecast_buffer(spark, sf_dir):
     """The forecast buffer and its running count across micro-batches."""
-    rows = views.message_rows(S.predictions(staged_events_stream(spark, sf_dir, "forecast")), "arrival")
-    long = views.model_long(rows.where(is_future("Time", AS_OF)))
+    long = views.model_long(views.future_rows(S.predictions(staged_events_stream(spark, sf_dir, "forecast")), AS_OF))
     buf = _run_state(spark, long, lambda d: state.keep_forecast_buffer(d), "forecast")
     return buf.select("Time", "Model", "Price", F.col("_arrival").alias("arrival"))
 
@@ -149,8 +150,7 @@ def q_stream_live_series(spark, sf_dir):
 
 def q_stream_model_comparison(spark, sf_dir):
     """The forecast buffer kept across micro-batches, then the pivoted table."""
-    rows = views.message_rows(S.predictions(staged_events_stream(spark, sf_dir, "comparison")), "arrival")
-    long = views.model_long(rows.where(is_future("Time", AS_OF)))
+    long = views.model_long(views.future_rows(S.predictions(staged_events_stream(spark, sf_dir, "comparison")), AS_OF))
     buf = _run_state(spark, long, lambda d: state.keep_forecast_buffer(d), "comparison")
     return views.model_pivot(buf)
 

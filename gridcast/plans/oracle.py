@@ -13,20 +13,28 @@ _WIND = "cast(json_extract_string(props, '$.k') as double)"
 
 _WEATHER = f"""
 weather as (
-  select date_trunc('minute', ts) as time, value as temperature, {_WIND} as wind_speed
+  select date_trunc('minute', ts) as time, value as temperature, {_WIND} as wind_speed,
+         case when event_id % 2 = 0 then '55.0,12.5' else '56.0,9.5' end as site
   from events where event_type <> 'purchase'
 )"""
 
 _WEATHER_15 = _WEATHER + """,
 weather_15 as (
-  select temperature, wind_speed, time + to_minutes(m) as time_15min
+  select temperature, wind_speed, site, time + to_minutes(m) as time_15min
   from weather, unnest([0, 15, 30, 45]) as o(m)
 )"""
 
-_PRICES = """
+_RAW_PRICES = """
+raw_prices as (
+  select case when event_id % 50 = 0 then date_trunc('second', ts) else date_trunc('hour', ts) end as price_time,
+         case when event_id % 41 <> 0 then value end as label, event_id,
+         case when event_id % 2 = 0 then '55.0,12.5' else '56.0,9.5' end as site
+  from events where event_type = 'purchase'
+)"""
+
+_PRICES = _RAW_PRICES + """,
 prices as (
-  select date_trunc('hour', ts) as price_time, arg_max(value, event_id) as label
-  from events where event_type = 'purchase' group by 1
+  select price_time, arg_max(label, event_id) as label from raw_prices where label is not null group by 1
 )"""
 
 _MARKET = """
@@ -65,6 +73,39 @@ _SIGNAL = "case when {p} < 30 then 'BUY' when {p} > 80 then 'SELL' else 'HOLD' e
 
 ORACLE: dict[str, str] = {
     "landed_weather": f"with {_WEATHER} select time, temperature, wind_speed from weather",
+    "landed_two_ranges": f"with {_WEATHER} select time, temperature, wind_speed from weather",
+    "silver_two_sites": f"""with {_WEATHER_15}
+      select site, temperature, wind_speed, time_15min, strftime(time_15min, '%Y-%m-%d') as date from weather_15""",
+    "silver_replace_all": f"""with {_WEATHER_15}
+      select temperature, wind_speed, time_15min, strftime(time_15min, '%Y-%m-%d') as date from weather_15
+      where site = '56.0,9.5'""",
+    "price_array_docs": f"with {_RAW_PRICES} select price_time, label from raw_prices",
+    "raw_hour_join": f"""with {_WEATHER_15}, {_RAW_PRICES}
+      select w.temperature, w.wind_speed, p.label, w.time_15min
+      from weather_15 w join raw_prices p on date_trunc('hour', w.time_15min) = p.price_time where p.label is not null""",
+    "training_set_by_site": f"""with {_WEATHER_15}, {_RAW_PRICES},
+      prices as (select site, price_time, arg_max(label, event_id) as label from raw_prices where label is not null group by 1, 2)
+      select w.site, w.temperature, w.wind_speed, p.label, w.time_15min,
+             cast(hour(w.time_15min) as integer) as hour_of_day,
+             cast(dayofweek(w.time_15min) + 1 as integer) as day_of_week
+      from weather_15 w join prices p on date_trunc('hour', w.time_15min) = p.price_time and w.site = p.site""",
+    "quarantined_messages": f"""
+      with r as (
+        select event_id as i, case when event_id % 17 = 0 then 'yesterday' else strftime(ts, '%Y-%m-%dT%H:%M:%S') end as time,
+               value as temperature, {_WIND} as wind_speed,
+               case when event_type = 'view' then '7-day-forecast' else 'open-meteo-live' end as source
+        from events)
+      select i as arrival,
+             case when i % 7 = 0 then '{{"temperature": NaN, "wind_speed": 1.0, "time": "' || time || '"}}'
+                  when i % 19 = 0 then '{{"temperature": null, "wind_speed": 1.0, "time": "' || time || '"}}'
+                  when i % 11 = 0 then 'not json'
+                  when i % 13 = 0 then json_object('time', time, 'temperature', temperature)::varchar
+                  else json_object('time', time, 'temperature', temperature, 'wind_speed', wind_speed, 'source', source)::varchar end as value
+      from r where i % 7 = 0 or i % 19 = 0 or i % 11 = 0 or i % 13 = 0 or i % 17 = 0""",
+    "scorable_messages": f"""
+      select event_id as arrival, value as temperature, {_WIND} as wind_speed,
+             cast(hour(ts) as double) as hour_of_day, cast(dayofweek(ts) + 1 as double) as day_of_week
+      from events where event_id % 7 <> 0 and event_id % 19 <> 0 and event_id % 11 <> 0 and event_id % 13 <> 0 and event_id % 17 <> 0""",
     "landed_prices": f"with {_PRICES} select price_time, label from prices",
     "stream_features": """
       select event_id as arrival, strftime(ts, '%Y-%m-%dT%H:%M:%S') as time, date_trunc('second', ts) as ts,
@@ -74,7 +115,7 @@ ORACLE: dict[str, str] = {
     "stream_union": f"""
       select strftime(ts, '%Y-%m-%dT%H:%M:%S') as time, value as temperature, {_WIND} as wind_speed,
              case when event_type = 'view' then '7-day-forecast' else 'open-meteo-live' end as source, event_id as arrival
-      from events where event_type in ('view', 'click')""",
+      from events""",
     "stream_last_100": f"""
       select strftime(ts, '%Y-%m-%dT%H:%M:%S') as time, value as temperature, {_WIND} as wind_speed,
              value as price_rf, value * 1.5 as price_gbt, event_id as arrival
@@ -148,7 +189,7 @@ ORACLE: dict[str, str] = {
                   then json_object('TimeUTC', TimeUTC, 'PriceArea', PriceArea, 'arrival', arrival)
                   else json_object('TimeUTC', TimeUTC, 'PriceArea', PriceArea,
                                    'ImbalancePriceEUR', ImbalancePriceEUR, 'arrival', arrival) end::varchar as json
-      from market order by arrival limit 1""",
+      from market where PriceArea in ('7', '11') order by arrival limit 1""",
     "trade_signal": f"""with {_MARKET}
       select arrival, ImbalancePriceEUR,
              {_SIGNAL.format(p="coalesce(ImbalancePriceEUR, 0)")} as signal,

@@ -3,8 +3,9 @@
 ``events`` stands in for every energy data set (the real ones are not in the
 test data):
 
-* ``event_type = 'purchase'`` rows are price records: ``ts`` is the hour
-  stamp, ``value`` the price, ``event_id`` the arrival order;
+* ``event_type = 'purchase'`` rows are price records: the hour of ``ts`` is
+  the price time, ``value`` the price, ``event_id`` the arrival order; one in
+  50 keeps its off-hour time, one in 41 has no price;
 * all other rows are weather readings: ``ts`` is the time, ``value`` the
   temperature, and ``k`` of the ``props`` JSON the wind speed;
 * every row is also a live/forecast message and - with ``price_rf = value``
@@ -29,6 +30,7 @@ FORECAST_EVENT = "view"
 LIVE_EVENT = "click"
 GBT_FACTOR = 1.5
 DOC_READINGS = 24  # readings per bronze weather document
+SITES = ("55.0,12.5", "56.0,9.5")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,8 +49,14 @@ def weather_events(ev: DataFrame) -> DataFrame:
     return ev.where(F.col("event_type") != PRICE_EVENT)
 
 
-def weather_docs_text(ev: DataFrame, readings_per_doc: int = DOC_READINGS) -> DataFrame:
-    """Weather readings packed as bronze JSON documents (D1): ``chunk, value``.
+def site_of(col: str = "event_id"):
+    """Two sites, as the text of their coordinates."""
+    return F.element_at(F.array(*[F.lit(s) for s in SITES]), (F.col(col) % 2 + 1).cast("int"))
+
+
+def weather_docs_text(ev: DataFrame, readings_per_doc: int = DOC_READINGS, part=None) -> DataFrame:
+    """Weather readings packed as bronze JSON documents (D1): ``chunk, value``, one
+    document per ``part`` (a site, a day) at least.
 
     Consecutive arrivals form a document of at most ``readings_per_doc``
     readings, so no document grows with the data. Even documents carry the
@@ -57,6 +65,8 @@ def weather_docs_text(ev: DataFrame, readings_per_doc: int = DOC_READINGS) -> Da
     """
     rows = weather_events(ev).select(
         F.floor(F.col("event_id") / readings_per_doc).alias("chunk"),
+        site_of().alias("site"),
+        (F.lit("") if part is None else part).alias("part"),
         F.struct(
             F.col("event_id"),
             iso_text("ts", HOURLY_FORMAT).alias("time"),
@@ -64,7 +74,7 @@ def weather_docs_text(ev: DataFrame, readings_per_doc: int = DOC_READINGS) -> Da
             wind_of().alias("wind"),
         ).alias("r"),
     )
-    docs = rows.groupBy("chunk").agg(F.array_sort(F.collect_list("r")).alias("r"))
+    docs = rows.groupBy("chunk", "site", "part").agg(F.array_sort(F.collect_list("r")).alias("r"))
     old_name = F.col("chunk") % 2 == 0
     hourly = F.struct(
         F.col("r.time").alias("time"),
@@ -72,7 +82,9 @@ def weather_docs_text(ev: DataFrame, readings_per_doc: int = DOC_READINGS) -> Da
         F.when(old_name, F.col("r.wind")).alias("windspeed_10m"),
         F.when(~old_name, F.col("r.wind")).alias("wind_speed_10m"),
     )
-    return docs.select("chunk", F.to_json(F.struct(hourly.alias("hourly"))).alias("value"))
+    place = F.split("site", ",")
+    where = [place[0].cast("double").alias("latitude"), place[1].cast("double").alias("longitude")]
+    return docs.select("chunk", "site", "part", F.to_json(F.struct(*where, hourly.alias("hourly"))).alias("value"))
 
 
 def live_docs_text(ev: DataFrame) -> DataFrame:
@@ -92,9 +104,10 @@ def live_docs_text(ev: DataFrame) -> DataFrame:
 
 def price_records(ev: DataFrame) -> DataFrame:
     """Price records (D2) with their arrival: ``HourUTC, SpotPriceEUR, arrival``."""
+    at = F.when(F.col("event_id") % 50 == 0, F.col("ts")).otherwise(F.date_trunc("hour", "ts"))
     return ev.where(F.col("event_type") == PRICE_EVENT).select(
-        iso_text("ts", PRICE_FORMAT).alias("HourUTC"),
-        F.col("value").alias("SpotPriceEUR"),
+        iso_text(at, PRICE_FORMAT).alias("HourUTC"),
+        F.when(F.col("event_id") % 41 != 0, F.col("value")).alias("SpotPriceEUR"),
         F.col("event_id").alias("arrival"),
     )
 
@@ -111,8 +124,19 @@ def readings(ev: DataFrame) -> DataFrame:
     )
 
 
+def poisoned_messages(ev: DataFrame) -> DataFrame:
+    """Reading messages of which some are no use: not JSON, NaN, NULL, a bad time, a missing key."""
+    i = F.col("arrival")
+    r = readings(ev).withColumn("time", F.when(i % 17 == 0, F.lit("yesterday")).otherwise(F.col("time")))
+    whole = F.to_json(F.struct("time", "temperature", "wind_speed", "source"))
+    nan = F.concat(F.lit('{"temperature": NaN, "wind_speed": 1.0, "time": "'), F.col("time"), F.lit('"}'))
+    null = F.concat(F.lit('{"temperature": null, "wind_speed": 1.0, "time": "'), F.col("time"), F.lit('"}'))
+    value = F.when(i % 7 == 0, nan).when(i % 19 == 0, null).when(i % 11 == 0, F.lit("not json")).when(i % 13 == 0, F.to_json(F.struct("time", "temperature"))).otherwise(whole)
+    return r.select(value.alias("value"), "arrival")
+
+
 def predictions(ev: DataFrame) -> DataFrame:
-    """Scored messages (D10) with their arrival."""
+    """Scored messages (D10) with their arrival and the stored time theirs is cut from."""
     return ev.select(
         iso_text("ts", PRICE_FORMAT).alias("time"),
         F.col("value").alias("temperature"),
@@ -120,6 +144,7 @@ def predictions(ev: DataFrame) -> DataFrame:
         F.col("value").alias("price_rf"),
         (F.col("value") * F.lit(GBT_FACTOR)).alias("price_gbt"),
         F.col("event_id").alias("arrival"),
+        F.col("ts").alias("event_ts"),
     )
 
 

@@ -19,7 +19,9 @@ HOURLY = T.StructType(
         T.StructField("wind_speed_10m", T.ArrayType(T.DoubleType())),
     ]
 )
-WEATHER_DOC = T.StructType([T.StructField("hourly", HOURLY)])
+WEATHER_DOC = T.StructType(
+    [T.StructField("latitude", T.DoubleType()), T.StructField("longitude", T.DoubleType()), T.StructField("hourly", HOURLY)]
+)
 
 # Live weather document: one ``current`` struct of single readings.
 CURRENT = T.StructType(
@@ -36,6 +38,7 @@ PRICE_RECORD = T.StructType(
     [
         T.StructField("HourUTC", T.StringType()),
         T.StructField("SpotPriceEUR", T.DoubleType()),
+        T.StructField("PriceArea", T.StringType()),
     ]
 )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -82,9 +83,9 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A path under the cluster's shared checkpoint folder.
 
     The folder comes from the session (``spark.checkpoint.dir``). Only when
-    the session names none - a local test run - is a private temporary folder
-    set, so lineage cuts and written tables always land somewhere every
-    executor can read.
+    the session names none and runs on a local master (a test run) is a private
+    temporary folder set; on a cluster that would be a different disk on every
+    machine, so it is an error there.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
@@ -92,6 +93,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured:
             sc.setCheckpointDir(configured)
+        elif not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         else:
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="gridcast-ckpt-"))
         base = sc.getCheckpointDir()

@@ -38,40 +38,52 @@ def parse_live_docs(text: DataFrame, col: str = "value", keep: Sequence[str] = (
     return text.select(*keep, F.from_json(F.col(col), CURRENT_DOC).alias("_doc")).select(*keep, "_doc.*")
 
 
-def document_month(kind: str, col: str = "value") -> Column:
-    """The ``yyyy_MM`` chunk of a raw document, read from its own first time.
-
-    ``weather``: the first ``hourly.time``; ``prices``: ``HourUTC`` of the
-    first record of an array, or of a single record. NULL when the document
-    has no time (it then lands under the ``__HIVE_DEFAULT_PARTITION__`` chunk,
-    where a quality check finds it).
+def document_tags(kind: str, col: str = "value") -> tuple[Column, Column]:
+    """(site, range) of a raw document, read from the document itself.
+
+    The site is ``latitude,longitude`` of a weather document and the price areas
+    of a price document (``all`` when it names none). The range is the first
+    and last day the document holds, ``yyyy-MM-dd_yyyy-MM-dd``: the name under
+    which a request's answer is kept, so a document over two months is one
+    range. A document without times (a failed call kept as it came) has the
+    range ``none-`` and its own digest, and replaces no other.
     """
     value = F.col(col)
     if kind == "weather":
-        first = F.get_json_object(value, "$.hourly.time[0]")
+        doc = F.from_json(value, "latitude string, longitude string, hourly struct<time:array<string>>")
+        times = doc["hourly"]["time"]
+        site = F.concat_ws(",", doc["latitude"], doc["longitude"])
     elif kind == "prices":
-        first = F.coalesce(F.get_json_object(value, "$[0].HourUTC"), F.get_json_object(value, "$.HourUTC"))
+        records = F.from_json(value, "array<struct<HourUTC:string,PriceArea:string>>")
+        times = records["HourUTC"]
+        site = F.concat_ws("+", F.array_sort(F.array_distinct(records["PriceArea"])))
     else:
         raise ValueError(f"unknown document kind {kind!r}")
-    return F.regexp_replace(F.substring(first, 1, 7), "-", "_")
+    first, last = F.substring(F.array_min(times), 1, 10), F.substring(F.array_max(times), 1, 10)
+    span = F.coalesce(F.concat(first, F.lit("_"), last), F.concat(F.lit("none-"), F.sha2(value, 256)))
+    return F.when(F.coalesce(site, F.lit("")) == "", F.lit("all")).otherwise(site), span
+
+
+LANDING_KEYS = ("kind", "site", "chunk")
 
 
-def land_raw(docs: DataFrame, base: str, kind_col: str = "kind", chunk_col: str = "chunk", text_col: str = "value") -> None:
-    """Write raw JSON text under ``kind=.../chunk=...``.
+def land_raw(docs: DataFrame, base: str, text_col: str = "value") -> None:
+    """Write raw JSON text under ``kind=.../site=.../chunk=...``.
 
-    Dynamic partition overwrite replaces only the chunks present in ``docs``,
-    so re-landing one month leaves the others in place.
+    Dynamic partition overwrite replaces only the (kind, site, chunk) that
+    ``docs`` holds: landing a request's range again replaces its last answer,
+    and another range, month or site stays as it is.
     """
     (
-        docs.select(text_col, kind_col, chunk_col)
-        .hint("rebalance", kind_col, chunk_col)
+        docs.select(text_col, *LANDING_KEYS)
+        .hint("rebalance", *LANDING_KEYS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(kind_col, chunk_col)
+        .partitionBy(*LANDING_KEYS)
         .text(base)
     )
 
 
 def read_landed(spark: SparkSession, base: str) -> DataFrame:
-    """Landed text back with its ``kind`` and ``chunk`` partition columns."""
+    """Landed text back with its ``kind``, ``site`` and ``chunk`` partition columns."""
     return spark.read.option("basePath", base).text(base)

@@ -2,30 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.operators.series import upsample_hold
 
 
-def write_silver(df: DataFrame, path: str, time_col: str = "time_15min", by_date: bool = True) -> None:
-    """Parquet, whole-table overwrite, or per-date dynamic overwrite.
+def _writer(out: DataFrame, replace: str, keys: Sequence[str]):
+    if replace not in ("all", "parts"):
+        raise ValueError(f"replace must be 'all' or 'parts', not {replace!r}")
+    mode = "static" if replace == "all" else "dynamic"
+    return out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*keys, "date")
+
+
+def write_silver(
+    df: DataFrame, path: str, time_col: str = "time_15min", by_date: bool = True, replace: str = "all", keys: Sequence[str] = ()
+) -> None:
+    """Parquet, the whole table replaced (``replace="all"``), or only the
+    partitions written (``"parts"``).
 
-    With ``by_date`` the table is partitioned by the reading's date, so later
-    reads filtered on ``date`` prune files, and re-processing a day replaces
-    only that day. The ``rebalance`` hint clusters rows by date before the
-    write so each task writes few files, and lets AQE split a date holding a
-    large share of the rows over several tasks (and merge small ones).
+    With ``by_date`` the table is partitioned by ``keys`` (e.g. a site) and the
+    reading's date, so later reads filtered on them prune files, and a run with
+    ``"parts"`` replaces exactly the (key, date) parts it holds. The
+    ``rebalance`` hint clusters rows by part before the write so each task
+    writes few files, and lets AQE split a part holding a large share of the
+    rows over several tasks (and merge small ones).
     """
     if by_date:
         out = df.withColumn("date", F.to_date(time_col))
-        (
-            out.hint("rebalance", "date")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("date")
-            .parquet(path)
-        )
+        _writer(out.hint("rebalance", *keys, "date"), replace, keys).parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
 
@@ -36,6 +43,8 @@ def write_silver_hourly(
     time_col: str = "time",
     out_col: str = "time_15min",
     step_minutes: int = 15,
+    replace: str = "all",
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """C2 + S4 with the shuffle on the hourly rows.
 
@@ -46,15 +55,9 @@ def write_silver_hourly(
     15-minute time, so a reading whose quarter-hours cross midnight is filed
     under the right day. Returns the upsampled frame that was written.
     """
-    clustered = hourly.withColumn("_day", F.to_date(time_col)).hint("rebalance", "_day")
+    clustered = hourly.withColumn("_day", F.to_date(time_col)).hint("rebalance", *keys, "_day")
     out = upsample_hold(clustered, time_col=time_col, out_col=out_col, step_minutes=step_minutes).drop("_day")
-    (
-        out.withColumn("date", F.to_date(out_col))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
-        .parquet(path)
-    )
+    _writer(out.withColumn("date", F.to_date(out_col)), replace, keys).parquet(path)
     return out
 
 

@@ -18,6 +18,26 @@ from pyspark.sql import types as T
 from gridcast.operators.views import forecast_buffer_rows
 
 
+def run_dir(spark: SparkSession, state_dir: str) -> str:
+    """The state folder of the running streaming query: ``state_dir/run=<query id>``.
+    The id lives in the query's checkpoint, so a restart goes on with its own
+    state, and a query with a new checkpoint, whose batch ids start at 0 again,
+    starts its own beside it. Outside a query it is ``state_dir`` itself."""
+    run = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{state_dir}/run={run}" if run else state_dir
+
+
+def newest_run(spark: SparkSession, state_dir: str) -> str:
+    """The run folder last written to, or ``state_dir`` when there are none."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(state_dir)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    runs = [s for s in fs.listStatus(root) if s.getPath().getName().startswith("run=")] if fs.exists(root) else []
+    if not runs:
+        return state_dir
+    return max(runs, key=lambda s: (s.getModificationTime(), s.getPath().getName())).getPath().toString()
+
+
 def state_path(state_dir: str, batch_id: int) -> str:
     return f"{state_dir}/batch_id={batch_id}"
 
@@ -63,7 +83,8 @@ def prune_states(spark: SparkSession, state_dir: str, batch_id: int) -> None:
 
 
 def final_state(spark: SparkSession, state_dir: str) -> DataFrame:
-    """The state written by the newest committed micro-batch."""
+    """The state written by the newest committed micro-batch of the newest run."""
+    state_dir = newest_run(spark, state_dir)
     ids = committed_batches(spark, state_dir)
     if not ids:
         raise ValueError(f"no committed state under {state_dir}")
@@ -75,10 +96,11 @@ def keep_last(state_dir: str, cap: int, arrival_col: str) -> Callable[[DataFrame
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = latest_state(spark, state_dir, batch_id, batch.schema)
+        own = run_dir(spark, state_dir)
+        prev = latest_state(spark, own, batch_id, batch.schema)
         rows = batch if prev is None else prev.unionByName(batch)
-        rows.orderBy(F.col(arrival_col).desc()).limit(cap).write.mode("overwrite").parquet(state_path(state_dir, batch_id))
-        prune_states(spark, state_dir, batch_id)
+        rows.orderBy(F.col(arrival_col).desc()).limit(cap).write.mode("overwrite").parquet(state_path(own, batch_id))
+        prune_states(spark, own, batch_id)
 
     return merge
 
@@ -93,8 +115,9 @@ def keep_forecast_buffer(state_dir: str, arrival_col: str = "_arrival", slot_col
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        own = run_dir(spark, state_dir)
         schema = T.StructType([*batch.schema.fields, T.StructField("_appended", T.LongType())])
-        prev = latest_state(spark, state_dir, batch_id, schema)
+        prev = latest_state(spark, own, batch_id, schema)
         # Two actions read the batch (its size, then its newest rows): keep it
         # so the source is read once per micro-batch.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -105,8 +128,8 @@ def keep_forecast_buffer(state_dir: str, arrival_col: str = "_arrival", slot_col
             rows = batch if prev is None else prev.drop("_appended").unionByName(batch)
             k = forecast_buffer_rows(total)
             out = rows.orderBy(F.col(arrival_col).desc(), F.col(slot_col).desc()).limit(k)
-            out.withColumn("_appended", F.lit(total)).write.mode("overwrite").parquet(state_path(state_dir, batch_id))
-            prune_states(spark, state_dir, batch_id)
+            out.withColumn("_appended", F.lit(total)).write.mode("overwrite").parquet(state_path(own, batch_id))
+            prune_states(spark, own, batch_id)
         finally:
             batch.unpersist()
 

@@ -39,3 +39,11 @@ def test_pattern_and_specials(spark):
     df = spark.createDataFrame([(6.55,), (None,), (float("nan"),)], "x double")
     out = [r.t for r in df.select(py_format("€ %.2f", "x").alias("t")).collect()]
     assert out == ["€ 6.55", None, "€ nan"]
+
+
+def test_very_large_and_negative_zero(spark):
+    from gridcast.functions.display import fixed
+
+    values = [1e17, -1e17, 123456789012345680.0, -0.0, 0.0, -0.001, 2.0**53]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "x double").select(fixed("x", 2)).collect()]
+    assert got == ["%.2f" % v for v in values]

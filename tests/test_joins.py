@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from gridcast.operators.joins import hour_join, hourly_prices, price_series
+from gridcast.operators.joins import hour_join, hourly_prices, price_series, split_prices
 
 T = dt.datetime
 
@@ -27,15 +27,30 @@ def test_duplicate_hour_fans_out_unless_deduplicated(spark):
     w = readings(spark, [(T(2024, 1, 1, 10, 15), 1.0, 2.0)])
     p = prices(spark, [("2024-01-01T10:00:00", 30.0, 1), ("2024-01-01T10:00:00", 31.0, 2)])
     assert hour_join(w, p.select("price_time", "label")).count() == 2
-    one = hourly_prices(p, arrival_col="arrival")
+    one = hourly_prices(p)
     out = hour_join(w, one).collect()
     assert len(out) == 1 and out[0]["label"] == 31.0  # latest arrival wins
 
 
-def test_null_price_time_never_joins(spark):
-    p = prices(spark, [("garbage", 10.0, 1), ("2024-01-01T10:00:00", None, 2)])
-    one = hourly_prices(p, arrival_col="arrival").collect()
-    assert len(one) == 1 and one[0]["label"] is None
+def test_records_without_time_or_price_are_set_aside(spark):
+    p = prices(spark, [("garbage", 10.0, 1), ("2024-01-01T10:00:00", None, 2), ("2024-01-01T11:00:00", float("nan"), 3)])
+    assert hourly_prices(p).count() == 0
+    priced, unpriced = split_prices(p)
+    assert (priced.count(), unpriced.count()) == (0, 3)
+
+
+def test_missing_price_never_replaces_one_and_off_hour_times_join_nothing(spark):
+    p = prices(spark, [("2024-01-01T10:00:00", 10.0, 1), ("2024-01-01T10:00:00", None, 2), ("2024-01-01T11:30:00", 20.0, 3)])
+    one = {r.price_time: r.label for r in hourly_prices(p).collect()}
+    assert one == {T(2024, 1, 1, 10): 10.0, T(2024, 1, 1, 11, 30): 20.0}
+    w = readings(spark, [(T(2024, 1, 1, h, 30), 1.0, 2.0) for h in (10, 11)])
+    assert [r.label for r in hour_join(w, hourly_prices(p)).collect()] == [10.0]
+
+
+def test_later_file_wins_before_position(spark):
+    rows = [(T(2024, 1, 1, 10), 1.0, 5, 9), (T(2024, 1, 1, 10), 2.0, 7, 1), (T(2024, 1, 1, 10), 3.0, 7, 2)]
+    p = spark.createDataFrame(rows, "price_time timestamp, label double, landed long, position long")
+    assert [r.label for r in hourly_prices(p, arrival_cols=("landed", "position")).collect()] == [3.0]
 
 
 def test_price_side_broadcast_only_under_bound(spark):

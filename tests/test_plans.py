@@ -76,3 +76,10 @@ def test_silver_date_range_prunes_partitions(spark):
     p = plan(spark, "silver_date_range")
     assert "PartitionFilters: [isnotnull(date)" in p
     assert "2024-01-10" in p and "2024-01-12" in p
+
+
+def test_serving_windows_reach_the_scan(spark):
+    for name in ("fresh_rows", "current_conditions", "live_series"):
+        text = plan(spark, name)
+        assert "GreaterThan(ts,2024-01-1" in text and "LessThan(ts,2024-01-1" in text, name
+    assert "GreaterThan(ts,2024-01-15" in plan(spark, "model_unpivot")

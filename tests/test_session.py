@@ -39,3 +39,25 @@ def test_run_concurrently_keeps_order_and_raises(spark):
         pass
     else:
         raise AssertionError("error not raised")
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    import pytest
+
+    from gridcast.session import shared_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())

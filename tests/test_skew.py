@@ -71,7 +71,7 @@ def test_hot_hour_prices_combined_map_side(spark):
     raw = spark.createDataFrame(rows, "HourUTC string, SpotPriceEUR double, arrival long").repartition(8)
     from gridcast.operators.joins import price_series
 
-    one = hourly_prices(price_series(raw), arrival_col="arrival")
+    one = hourly_prices(price_series(raw))
     got = {r.price_time.strftime("%Y-%m-%dT%H:%M:%S"): r.label for r in one.collect()}
     want = {}
     for h, v, a in sorted(rows, key=lambda r: r[2]):
