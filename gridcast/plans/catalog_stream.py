@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from gridcast.functions.messages import decode
 from gridcast.jobs import score_job
-from gridcast.models.scoring import reading_features, scorable, score, score_dual
-from gridcast.models.training import fit_both, save_model, training_set
+from gridcast.models.scoring import load_model, reading_features, scorable, score, score_dual
+from gridcast.models.training import fit_both, fit_ready, save_model, training_set
 from gridcast.operators import views
 from gridcast.plans import standins as S
 from gridcast.plans.catalog import AS_OF, _events, prices_hourly, weather_15min
@@ -45,6 +45,32 @@ def fitted_models(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, Pipe
     return _MODELS[key]
 
 
+def q_fit_models(spark, sf_dir):
+    """Both fits and saves (the scoring queries after it find them done)."""
+    rf, gbt = fitted_models(spark, sf_dir)
+    rows = fit_ready(training_set(weather_15min(spark, sf_dir), prices_hourly(spark, sf_dir))).count()
+    sizes = [(name, model.stages[-1].getNumTrees, rows) for name, model in (("rf", rf), ("gbt", gbt))]
+    return spark.createDataFrame(sizes, "model string, trees long, train_rows long")
+
+
+def q_dual_score_checks(spark, sf_dir):
+    """Every reading with what must hold of its two prices: the forest's
+    lies between the smallest and largest label, and the saved models, loaded
+    again, give the same."""
+    rf, gbt = fitted_models(spark, sf_dir)
+    base = _MODEL_DIRS[(spark.sparkContext.applicationId, sf_dir)]
+    again = [load_model(f"{base}/{kind}") for kind in ("rf", "gbt")]
+    labels = prices_hourly(spark, sf_dir).agg(F.min("label"), F.max("label")).first()
+    out = score_dual(_scorable_readings(spark, sf_dir), rf, gbt)
+    out = score(again[1], score(again[0], out, "rf_again"), "gbt_again")
+    return out.select(
+        "arrival", "time", "temperature", "wind_speed",
+        F.col("price_rf").between(labels[0] - 1e-9, labels[1] + 1e-9).alias("rf_in_range"),
+        (F.col("price_rf") == F.col("rf_again")).alias("rf_reloads"),
+        (F.col("price_gbt") == F.col("gbt_again")).alias("gbt_reloads"),
+    )
+
+
 def _scorable_readings(spark, sf_dir) -> DataFrame:
     good, _quarantine = scorable(S.readings(_events(spark, sf_dir)))
     return good
@@ -184,6 +210,8 @@ def q_published_messages(spark, sf_dir):
 
 
 STREAM_QUERIES = {
+    "fit_models": q_fit_models,
+    "dual_score_checks": q_dual_score_checks,
     "rf_predict": q_rf_predict,
     "gbt_predict": q_gbt_predict,
     "dual_score": q_dual_score,

@@ -111,6 +111,14 @@ ORACLE: dict[str, str] = {
       select event_id as arrival, strftime(ts, '%Y-%m-%dT%H:%M:%S') as time, date_trunc('second', ts) as ts,
              cast(hour(ts) as integer) as hour_of_day, cast(dayofweek(ts) + 1 as integer) as day_of_week
       from events""",
+    "fit_models": f"""with {_WEATHER_15}, {_PRICES},
+      n as (select count(*) as train_rows from weather_15 w join prices p on date_trunc('hour', w.time_15min) = p.price_time
+            where w.temperature is not null and w.wind_speed is not null)
+      select model, cast(20 as bigint) as trees, train_rows from (values ('rf'), ('gbt')) m(model), n""",
+    "dual_score_checks": f"""
+      select event_id as arrival, strftime(ts, '%Y-%m-%dT%H:%M:%S') as time, value as temperature, {_WIND} as wind_speed,
+             true as rf_in_range, true as rf_reloads, true as gbt_reloads
+      from events""",
     "stream_distinct": "select distinct user_id, event_type from events",
     "stream_union": f"""
       select strftime(ts, '%Y-%m-%dT%H:%M:%S') as time, value as temperature, {_WIND} as wind_speed,
