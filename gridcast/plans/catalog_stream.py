@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridcast.functions.messages import decode
-from gridcast.jobs import score_job
+from gridcast.jobs import score_job, serve_job
 from gridcast.models.scoring import load_model, reading_features, scorable, score, score_dual
 from gridcast.models.training import fit_both, fit_ready, save_model, training_set
 from gridcast.operators import views
@@ -209,7 +209,25 @@ def q_published_messages(spark, sf_dir):
     return back.select("m.arrival", "m.time", "m.temperature", "m.wind_speed", "m.source")
 
 
+def q_serving_views(spark, sf_dir):
+    """The serving job over JSON prediction messages in several micro-batches:
+    its three views in one table."""
+    base = fresh_dir(spark, "serving")
+    pred = S.predictions(_events(spark, sf_dir)).drop("event_ts")
+    inbox = stage_files(pred.select(F.to_json(F.struct(*pred.columns)).alias("value"), "arrival"), spark, "predictions", STAGED_FILES, "arrival", fmt="text")
+    serve_job(
+        spark, f"{base}/state", f"{base}/checkpoint", "files", inbox=inbox, max_per_trigger=1,
+        sequence=T.StructField("arrival", T.LongType()), as_of=AS_OF, available_now=True,
+    )
+    shown = state.read_views(spark, f"{base}/state")
+    tile = shown["current_conditions"].select(F.lit("now").alias("view"), "Time", F.col("price").alias("Price"))
+    live = shown["live_series"].select(F.lit("live").alias("view"), "Time", "Price")
+    models = [shown["model_comparison"].select(F.lit(m).alias("view"), "Time", F.col(f"`{m}`").alias("Price")) for m in (views.RF_LABEL, views.GBT_LABEL)]
+    return tile.unionByName(live).unionByName(models[0]).unionByName(models[1])
+
+
 STREAM_QUERIES = {
+    "serving_views": q_serving_views,
     "fit_models": q_fit_models,
     "dual_score_checks": q_dual_score_checks,
     "rf_predict": q_rf_predict,

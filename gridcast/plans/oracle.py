@@ -250,3 +250,10 @@ ORACLE: dict[str, str] = {
 ORACLE["stream_current_conditions"] = ORACLE["current_conditions"]
 ORACLE["stream_live_series"] = ORACLE["live_series"]
 ORACLE["stream_model_comparison"] = ORACLE["model_comparison"]
+
+ORACLE["serving_views"] = f"""
+  with now_ as ({ORACLE["current_conditions"]}), live_ as ({ORACLE["live_series"]}), models_ as ({ORACLE["model_comparison"]})
+  select 'now' as "view", Time, price as Price from now_
+  union all select 'live', Time, Price from live_
+  union all select 'Random Forest (Champion)', Time, "Random Forest (Champion)" from models_
+  union all select 'Gradient Boost (Challenger)', Time, "Gradient Boost (Challenger)" from models_"""

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridcast.operators import views
+from gridcast.operators.selection import Time
 from gridcast.operators.views import forecast_buffer_rows
 
 
@@ -136,6 +138,36 @@ def keep_forecast_buffer(state_dir: str, arrival_col: str = "_arrival", slot_col
     return merge
 
 
+def keep_views(state_dir: str, as_of: Time, arrival_col: str) -> Callable[[DataFrame, int], None]:
+    """The consumer's three views over prediction messages as one state (C7, C8, C9):
+    the last fresh message, the live buffer and the forecast buffer, each in its
+    folder, from one decoded micro-batch. ``as_of`` is a time or an ingest stamp
+    column of the messages."""
+    tiles = keep_last(f"{state_dir}/tiles", 1, "_arrival")
+    live = keep_last(f"{state_dir}/live", views.LIVE_CAP, "_arrival")
+    forecast = keep_forecast_buffer(f"{state_dir}/forecast")
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            tiles(views.fresh_rows(batch, as_of, arrival_col), batch_id)
+            live(views.today_rows(batch, as_of, arrival_col), batch_id)
+            forecast(views.model_long(views.future_rows(batch, as_of, arrival_col)), batch_id)
+        finally:
+            batch.unpersist()
+
+    return merge
+
+
+def read_views(spark: SparkSession, state_dir: str) -> dict[str, DataFrame]:
+    """The three views as the newest committed states show them."""
+    return {
+        "current_conditions": views.conditions_tile(final_state(spark, f"{state_dir}/tiles")),
+        "live_series": views.live_view(final_state(spark, f"{state_dir}/live")),
+        "model_comparison": views.model_pivot(final_state(spark, f"{state_dir}/forecast")),
+    }
+
+
 def run_stateful(stream: DataFrame, spark: SparkSession, state_dir: str, checkpoint: str, merge: Callable[[DataFrame, int], None]) -> None:
     query = (
         stream.writeStream.foreachBatch(merge)
