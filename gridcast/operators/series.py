@@ -73,28 +73,21 @@ def upsample_hold_sql(
     step_minutes: int = 15,
     period_minutes: int = 60,
 ) -> DataFrame:
-    """C2 written as Spark SQL over a temporary view.
-
-    Same result and the same plan as ``upsample_hold`` (Catalyst folds the
-    offset array and keeps the Generate narrow); for callers who keep their
-    transforms as SQL text. The view gets a fresh name per call, so
-    concurrent jobs in one session do not overwrite each other's view, and
-    is dropped once the query is analysed.
+    """C2 written as Spark SQL over a temporary view (S10, P6), for callers who keep
+    their transforms as SQL text.
+
+    A reading holds at every step of its period: the steps are a sequence of
+    timestamps from the reading's time, exploded (a narrow Generate). Readings
+    need a time; ``split_valid`` sets the others aside before. The view gets a
+    fresh name per call, so concurrent jobs in one session do not overwrite
+    each other's view, and is dropped once the query is analysed.
     """
-    view = f"readings_hourly_{uuid.uuid4().hex}"
+    last = hold_offsets(step_minutes, period_minutes)[-1]
+    view = f"readings_{uuid.uuid4().hex}"
     df.createOrReplaceTempView(view)
-    offsets = ", ".join(str(o) for o in hold_offsets(step_minutes, period_minutes))
-    others = ", ".join(f"`{c}`" for c in df.columns if c != time_col)
-    lead = f"{others}, " if others else ""
-    out = df.sparkSession.sql(
-        f"""
-        SELECT {lead}base_time + make_interval(0, 0, 0, 0, 0, minute_offset, 0) AS `{out_col}`
-        FROM (
-          SELECT {lead}`{time_col}` AS base_time, explode(array({offsets})) AS minute_offset
-          FROM {view}
-        )
-        """
-    )
+    held = f"sequence(`{time_col}`, `{time_col}` + INTERVAL '{last}' MINUTE, INTERVAL '{step_minutes}' MINUTE)"
+    columns = [f"`{c}`" for c in df.columns if c != time_col] + [f"explode({held}) AS `{out_col}`"]
+    out = df.sparkSession.sql(f"SELECT {', '.join(columns)} FROM {view}")
     # The result is already analysed against the view's plan: drop the name so
     # a long-running session does not collect one view per call.
     df.sparkSession.catalog.dropTempView(view)
