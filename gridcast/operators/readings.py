@@ -14,9 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridcast.functions.messages import decode
 from gridcast.functions.timefmt import PRICE_FORMAT, epoch_seconds, iso_text
 from gridcast.operators.selection import latest_valid
 from gridcast.operators.series import flatten_series
+from gridcast.schemas import MARKET_RECORD
 
 # The source tags the two weather producers put on a message.
 FORECAST_SOURCE = "7-day-forecast"
@@ -72,6 +74,19 @@ def with_fetch_stamp(df: DataFrame, at: str | Column | None = None, col: str = "
     return df.withColumn(col, epoch_seconds(when))
 
 
+def parse_market_records(text: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Market records held as JSON text: the fields the operators look at, and
+    the whole record as it came (``record``), so its other fields ride along."""
+    parsed = text.select(*keep, decode(col, MARKET_RECORD).alias("m"), F.col(col).cast("string").alias("record"))
+    return parsed.select(*keep, "m.*", "record")
+
+
+def market_payload() -> Column:
+    """P12 on the text: the record with ``fetched_at`` added as its last field."""
+    head = F.rtrim(F.col("record"))
+    return F.concat(F.left(head, F.length(head) - 1), F.lit(',"fetched_at":'), F.col("fetched_at").cast("decimal(20,6)").cast("string"), F.lit("}"))
+
+
 def market_messages(
     records: DataFrame,
     time_col: str = "TimeUTC",

@@ -31,7 +31,7 @@ from gridcast.operators.selection import (
     peek,
     sort_by,
 )
-from gridcast.operators.readings import forecast_readings, live_readings, market_messages
+from gridcast.operators.readings import forecast_readings, live_readings, market_messages, market_payload, parse_market_records
 from gridcast.operators.series import flatten_series, upsample_hold, upsample_hold_sql
 from gridcast.plans import standins as S
 from gridcast.schemas import FEATURES, READING
@@ -268,6 +268,14 @@ def q_market_messages(spark, sf_dir):
     return market_messages(market, tie_col="arrival", at=as_of_col(AS_OF))
 
 
+def q_market_payloads(spark, sf_dir):
+    """Market records as JSON text, decoded, picked and sent on with their other fields."""
+    text = S.market_records_text(_events(spark, sf_dir))
+    best = market_messages(parse_market_records(text, keep=["arrival"]), tie_col="arrival", at=as_of_col(AS_OF))
+    sent = best.select(F.from_json(market_payload(), "PriceArea string, TimeUTC string, ImbalancePriceEUR double, note string, fetched_at double").alias("m"))
+    return sent.select("m.*")
+
+
 # --- C6, F1-F4, T1-T5, S15 --------------------------------------------------
 
 def q_latest_valid(spark, sf_dir):
@@ -394,6 +402,7 @@ QUERIES: dict[str, Query] = {
     "forecast_messages": q_forecast_messages,
     "live_messages": q_live_messages,
     "market_messages": q_market_messages,
+    "market_payloads": q_market_payloads,
     "latest_valid": q_latest_valid,
     "latest_valid_by_area": q_latest_valid_by_area,
     "area_filter_sort": q_area_filter_sort,

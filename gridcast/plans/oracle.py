@@ -257,3 +257,6 @@ ORACLE["serving_views"] = f"""
   union all select 'live', Time, Price from live_
   union all select 'Random Forest (Champion)', Time, "Random Forest (Champion)" from models_
   union all select 'Gradient Boost (Challenger)', Time, "Gradient Boost (Challenger)" from models_"""
+ORACLE["market_payloads"] = f"""
+  with m as ({ORACLE["market_messages"]})
+  select PriceArea, TimeUTC, ImbalancePriceEUR, 'n' || arrival as note, fetched_at from m"""

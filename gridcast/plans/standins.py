@@ -161,3 +161,9 @@ def market_records(ev: DataFrame) -> DataFrame:
         price.alias("ImbalancePriceEUR"),
         F.col("event_id").alias("arrival"),
     )
+
+
+def market_records_text(ev: DataFrame) -> DataFrame:
+    """Market price records as JSON text with a field the operators do not know: ``value, arrival``."""
+    records = market_records(ev).withColumn("note", F.concat(F.lit("n"), F.col("arrival").cast("string")))
+    return records.select(F.to_json(F.struct("TimeUTC", "PriceArea", "ImbalancePriceEUR", "note")).alias("value"), "arrival")

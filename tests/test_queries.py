@@ -4,11 +4,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from gridcast.plans.catalog import QUERIES
+from gridcast.plans.catalog_stream import STREAM_QUERIES
 from scripts.check_oracle import TABLES, norm_frame
 
 SF = "/root/testdata/sf0.001"
-ORACLE = entry.oracle_sql()
-ROWS_ONLY = sorted(set(entry.queries()) - set(ORACLE))
+NAMES = {**QUERIES, **STREAM_QUERIES}  # the training-data queries have tests of their own
+ORACLE = {name: sql for name, sql in entry.oracle_sql().items() if name in NAMES}
+ROWS_ONLY = sorted(set(NAMES) - set(ORACLE))
 
 
 @pytest.fixture(scope="module")
