@@ -201,7 +201,8 @@ STAR = "kind int, sig long, band int, a long, b long, n long, need int"
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Signatures held by several documents, bucket by bucket (rows come sorted by
     bucket). Kind 0: centre a, holder b, number of signatures n, the holder's
-    need. Kind 1: holder b of a signature of three or more holders."""
+    need. Kind 1: holder b of a signature of three or more holders; signatures
+    with the same holders have one key, so they fall together."""
 
     def emit(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         sigs, ids, need, band = (np.concatenate([_unplanes(r[i], t) for r in rows]) for i, t in enumerate((np.uint64, np.int64, np.uint16, np.uint8)))
@@ -238,7 +239,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
         yield batch(0, np.zeros(len(pick), np.uint64), band[pick], centre[pick], ids[pick], count, need[pick])
         if more.any():
-            yield batch(1, sigs[more], band[more], centre[more], ids[more], run_size[more], need[more])
+            yield batch(1, holders[run][more], band[more], centre[more], ids[more], run_size[more], need[more])
 
     open_bucket, held = None, []
     for b in batches:
@@ -443,8 +444,8 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     live = staged(live.join(rep_of, "id").select("band", "id", "rep", F.col("n").alias("size")), "jaccard-live")
 
     # Holders of a signature that three or more share, and their smallest live one.
-    holders = shared.where("kind = 1").select("sig", "band", F.col("b").alias("id")).join(live, ["band", "id"]).select("sig", "rep", "size").distinct()
-    centres = holders.groupBy("sig").agg(F.min(F.struct("rep", "size")).alias("c"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    holders = shared.where("kind = 1").select("sig", "band", F.col("b").alias("id")).distinct().join(live, ["band", "id"]).select("sig", "rep", "size")
+    centres = holders.groupBy("sig").agg(F.min(F.struct("rep", "size")).alias("c"), F.max("rep").alias("last")).where("c.rep < last")
     centres = centres.select("sig", F.col("c.rep").alias("a"), F.col("c.size").alias("sa"))
     holders = staged(holders.join(centres, "sig").where("rep <> a").select("sig", "a", "sa", F.col("rep").alias("b"), F.col("size").alias("sb")), "jaccard-holders")
 
