@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.session import fresh_dir
@@ -13,6 +13,8 @@ from gridcast.session import fresh_dir
 # rows of a timestamp and a double (about 14 MB).
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+# Bytes in memory that a byte of a compressed Parquet file is counted as.
+UNPACKED = 4
 
 
 def row_width(df: DataFrame) -> int:
@@ -20,14 +22,21 @@ def row_width(df: DataFrame) -> int:
     return int(df._jdf.schema().defaultSize())
 
 
+def written_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files under ``path`` (they are compressed)."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return int(root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(root).getLength())
+
+
 def bounded_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
 ) -> tuple[DataFrame, int]:
     """Write ``df`` to the shared folder, counting it on the way, and read it back.
 
     Returns ``(side, rows)``: ``side`` carries a broadcast hint only when
-    ``rows <= max_rows`` and ``rows * row_width <= max_bytes``; otherwise it
-    is left to a shuffle join (with AQE's skew split). One job both writes
+    ``rows <= max_rows`` and neither the schema's width times the rows nor the
+    written files, unpacked, exceed ``max_bytes`` (wide strings show in the
+    files, not in the schema's width); otherwise it is left to a shuffle join (with AQE's skew split). One job both writes
     and counts (an observed metric of the write). The written table cuts the
     lineage, so the join reads the stored rows instead of computing the side
     again, and a lost executor does not force a recompute.
@@ -38,5 +47,6 @@ def bounded_broadcast(
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     rows = int(seen.get["rows"])
     cut = spark.read.schema(df.schema).parquet(path)
-    small = rows <= max_rows and rows * row_width(cut) <= max_bytes
+    size = max(rows * row_width(cut), UNPACKED * written_bytes(spark, path))
+    small = rows <= max_rows and size <= max_bytes
     return (F.broadcast(cut) if small else cut), rows

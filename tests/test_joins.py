@@ -78,14 +78,15 @@ def test_join_per_area_key(spark):
 def test_broadcast_also_bounded_in_bytes(spark):
     from gridcast.operators.sizing import bounded_broadcast, row_width
 
-    side = spark.createDataFrame([(i, "x" * 10) for i in range(50)], "k long, s string")
+    n = 50_000
+    side = spark.range(n, numPartitions=2).selectExpr("id AS k", "'xxxxxxxxxx' AS s")
     assert row_width(side) == 8 + 20
-    _, rows = bounded_broadcast(side, max_rows=1000, max_bytes=50 * 28)
-    assert rows == 50
+    _, rows = bounded_broadcast(side, max_rows=n, max_bytes=n * 28)
+    assert rows == n
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        fits, _ = bounded_broadcast(side, max_rows=1000, max_bytes=50 * 28)
-        too_wide, _ = bounded_broadcast(side, max_rows=1000, max_bytes=50 * 28 - 1)
+        fits, _ = bounded_broadcast(side, max_rows=n, max_bytes=n * 28)
+        too_wide, _ = bounded_broadcast(side, max_rows=n, max_bytes=n * 28 - 1)
         left = spark.range(10).withColumnRenamed("id", "k")
         assert "BroadcastHashJoin" in left.join(fits, "k")._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in left.join(too_wide, "k")._jdf.queryExecution().executedPlan().toString()
@@ -116,3 +117,16 @@ def test_unpivot_then_pivot_round_trip(spark):
     wide = spark.createDataFrame(rows, "Time timestamp, price_rf double, price_gbt double, _arrival long")
     back = model_pivot(model_long(wide)).collect()
     assert [(r.Time, r[RF_LABEL], r[GBT_LABEL]) for r in back] == [(t, rf, gbt) for t, rf, gbt, _ in rows]
+
+
+def test_wide_strings_count_by_their_files(spark):
+    import random
+
+    from gridcast.operators.sizing import bounded_broadcast
+
+    rng = random.Random(0)
+    wide = spark.createDataFrame([(i, "".join(rng.choices("0123456789abcdef", k=20_000))) for i in range(20)], "k int, s string")
+    side, rows = bounded_broadcast(wide, max_bytes=100_000)
+    assert rows == 20 and "broadcast" not in side._jdf.queryExecution().analyzed().toString().lower()
+    side, _ = bounded_broadcast(wide, max_bytes=10_000_000)
+    assert "broadcast" in side._jdf.queryExecution().analyzed().toString().lower()
