@@ -103,6 +103,3 @@ def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
-
-def mixed(col: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(col), F.lit(buckets))
