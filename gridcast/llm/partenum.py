@@ -305,7 +305,8 @@ def _compare(p: int, q: int):
 class _Apart:
     """A member by what sets it apart from the centre: D, and how many of D's
     elements in a common order must be looked at when it is the one with the
-    smaller D, or (not linked with the centre) the larger."""
+    smaller D, or the larger. Of two members in different components one at
+    most is linked with the centre, but that may be either of them."""
 
     def __init__(self, node: int, label: int, elements: np.ndarray, centre: np.ndarray, p: int, q: int):
         self.node, self.label, self.elements, self.size = node, label, elements, len(elements)
@@ -313,11 +314,14 @@ class _Apart:
         self.d = np.concatenate([mix(extra), mix(missing)])
         both = self.size - len(extra)
         most = self.size * (q - p) // p  # elements in which it can differ from a similar set
-        # The larger one is not linked, so it is at least this far from the centre.
+        # A similar set that is not linked is at least this far from the centre. If
+        # the larger one is linked, this one is not, and no nearer than that itself.
         least = (p * self.size + q * len(centre)) * (q - p) // (q * (q + p)) + 1
         share = max(1, -(-(len(self.d) + max(len(self.d), least) - most) // 2))
         self.small = max(0, len(self.d) - share + 1)
-        self.large = 0 if q * both >= p * (len(centre) + len(extra)) else min(len(self.d), most + 1)
+        linked = q * both >= p * (len(centre) + len(extra))
+        # A linked one is the larger only beside one that is not linked.
+        self.large = 0 if linked and len(self.d) < least else min(len(self.d), most + 1)
 
 
 def _links_inside(members: list[_Apart], p: int, q: int) -> list[tuple[int, int]]:

@@ -3,6 +3,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gridcast.llm import partenum
@@ -69,6 +70,37 @@ def test_members_that_only_meet_beside_their_centre_are_linked(spark, monkeypatc
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(given)
 
 
+def near_copies_that_cover(centre, x, y):
+    """The centre with, each time, the content that x and y have in one partition."""
+    bands, out = Bands(80, 100), []
+    coded = {w: next(partenum.shingle_sets(pa.array([w]), 1))[0] for w in {*centre, *x, *y}}
+    band = len(y).bit_length() - 1
+    seed = partenum.mix(np.array([band + 1], np.uint64) * partenum._SECOND)
+    part = {w: int((partenum.mix(np.array([h]) ^ seed) % np.uint64(bands.parts(band)))[0]) for w, h in coded.items()}
+    inside = lambda words, n: {w for w in words if part[w] == n}
+    for n in sorted(set(part.values())):
+        if inside(x, n) and inside(x, n) == inside(y, n) != inside(centre, n):
+            out.append((len(out), [w for w in centre if part[w] != n] + sorted(inside(x, n))))
+    return out
+
+
+@pytest.mark.parametrize("at_once", [512, 16])
+def test_a_longer_linked_member_is_compared_with_a_shorter_one(spark, monkeypatch, at_once):
+    """x is near y only, y also near the centre and further from it in elements;
+    near copies with smaller ids hold every signature that x and y share."""
+    monkeypatch.setattr(partenum, "COMPARED", at_once)
+    centre = [f"p{i}" for i in range(1000)]
+    x = centre[165:] + [f"e{i}" for i in range(65)]
+    y = centre[66:] + [f"e{i}" for i in range(166)]
+    given = near_copies_that_cover(centre, x, y) + [(5000, centre), (6000, x), (6001, y)]
+    sets = {i: set(s) for i, s in given}
+    similar = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    assert similar(sets[6000], sets[6001]) and not any(similar(sets[6000], s) for i, s in sets.items() if i < 6000)
+    assert len(given) > 60 and all(similar(sets[0], s) for i, s in sets.items() if i != 6000)
+    got = jaccard_join(documents(spark, [(i, " ".join(s)) for i, s in given]), words=1).collect()
+    assert {r.component_id for r in got} == {0}
+
+
 def test_similar_sets_share_as_many_signatures_as_promised():
     bands, rng = Bands(80, 100), np.random.default_rng(0)
     for _ in range(300):
