@@ -7,8 +7,9 @@ Boosted trees on format and context features score the proposals. Their labels
 are weak: 1 for a proposal that meets a base span of its kind, 0 for one that
 meets a base match whose check fails or a base span of another kind; what meets
 neither is unlabelled, and counts as 0 with a part of the weight. Per kind, the
-lowest score from which held-out proposals reach the wanted precision is the
-threshold above which a proposal is added. Base spans always stay.
+lowest score from which the proposals the trees were not fitted on (all of
+them) reach the wanted precision is the threshold above which a proposal is
+added. Base spans always stay.
 """
 
 from __future__ import annotations
@@ -54,12 +55,14 @@ NEEDS = {
 }
 BEFORE, AFTER = 24, 16
 
-# Proposals the trees are fitted on, at most (about), and their size.
+# Proposals the trees are fitted on, at most (about), as many of each kind;
+# and the size of the trees.
 SAMPLE_ROWS, TREES, DEPTH, LEAF = 20_000, 12, 3, 10
 # Weight of an unlabelled proposal beside a labelled one.
 UNLABELLED = 0.5
-# One sampled proposal in so many sets the thresholds; the precision asked of
-# an added span there, and the proposals it must rest on.
+# One proposal in so many is never fitted on, nor is what the sample leaves out:
+# these set the thresholds. The precision asked of an added span there, and the
+# proposals it must rest on.
 CALIBRATE, PRECISION, SUPPORT, BINS = 4, 0.98, 20, 1000
 
 
@@ -175,26 +178,26 @@ def _thresholds(scored: DataFrame) -> dict[int, float]:
 def added_spans(proposals: DataFrame) -> DataFrame:
     """Proposals (with their features and label) the calibrated trees accept."""
     names = list(features())
-    total = proposals.count()
+    sizes = {r["kind_id"]: r["count"] for r in proposals.groupBy("kind_id").count().collect()}  # a row per kind
     draw = F.pmod(F.xxhash64("uid", "kind", "start"), F.lit(1 << 20))
-    sample = proposals.where(draw < int(min(1.0, SAMPLE_ROWS / max(1, total)) * (1 << 20)))
-    fold = F.pmod(F.xxhash64("start", "uid", "kind"), F.lit(CALIBRATE))
+    share = lambda n: int(min(1.0, SAMPLE_ROWS / len(sizes) / n) * (1 << 20))
+    drawn = reduce(lambda a, b: a | b, [(F.col("kind_id") == kind) & (draw < share(n)) for kind, n in sizes.items()], F.lit(False))
+    fitted = drawn & (F.pmod(F.xxhash64("start", "uid", "kind"), F.lit(CALIBRATE)) > 0)
     row = VectorAssembler(inputCols=names, outputCol="x")
     # The sample is bounded: a few partitions keep the tree jobs short.
-    sample = staged(row.transform(sample).select("kind_id", "label", "weight", "x", fold.alias("fold")).coalesce(2), "pii-sample")
-    classes = sample.where("fold > 0").agg(F.min("label"), F.max("label")).first()
+    sample = staged(row.transform(proposals.where(fitted)).select("kind_id", "label", "weight", "x").coalesce(2), "pii-sample")
+    classes = sample.agg(F.min("label"), F.max("label")).first()
     if classes[0] is None or classes[0] == classes[1]:
         return proposals.limit(0).select("uid", "kind_id", "start", "stop")
-    model = GBTClassifier(featuresCol="x", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, minInstancesPerNode=LEAF, stepSize=0.3, seed=0).fit(sample.where("fold > 0"))
+    model = GBTClassifier(featuresCol="x", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, minInstancesPerNode=LEAF, stepSize=0.3, seed=0).fit(sample)
 
-    def score(df: DataFrame) -> DataFrame:
-        return model.transform(df).withColumn("p", vector_to_array("probability")[1])
-
-    limits = _thresholds(score(sample.where("fold = 0")).select(F.col("kind_id").alias("kind"), "p", "label", "weight"))
+    scored = model.transform(row.transform(proposals)).withColumn("p", vector_to_array("probability")[1])
+    scored = staged(scored.select("uid", "kind_id", "start", "stop", "label", "weight", "p", fitted.alias("fitted")), "pii-scored")
+    limits = _thresholds(scored.where("NOT fitted").withColumnRenamed("kind_id", "kind"))
     if not limits:
         return proposals.limit(0).select("uid", "kind_id", "start", "stop")
     accepted = reduce(lambda a, b: a | b, [(F.col("kind_id") == kind) & (F.floor(F.col("p") * BINS) / BINS >= least) for kind, least in limits.items()])
-    return score(row.transform(proposals.where("label = 0"))).where(accepted).select("uid", "kind_id", "start", "stop")
+    return scored.where("label = 0").where(accepted).select("uid", "kind_id", "start", "stop")
 
 
 def find_personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

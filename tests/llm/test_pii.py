@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+from gridcast.llm import pii
 from gridcast.llm.pii import find_personal_data
 from tests.llm.data import documents, rows
 
@@ -60,6 +61,18 @@ def test_proposals_like_base_spans_are_added(spark):
     assert all(got[1000 + i].spans == "" for i in range(150))
 
 
+def test_a_rare_kind_has_its_threshold_from_all_proposals(spark, monkeypatch):
+    """Card-like digit groups outnumber addresses by far more than the sample holds."""
+    monkeypatch.setattr(pii, "SAMPLE_ROWS", 600)
+    bad = [str(n) for n in range(7 * 10**15, 7 * 10**15 + 6000) if not luhn(str(n))][:5000]
+    given = [(i, " x ".join(bad[20 * i : 20 * i + 20])) for i in range(250)]
+    given += [(1000 + i, f"the server at 10.{i % 250}.7.{i % 99} went down") for i in range(300)]
+    given += [(2000 + i, f"the server at 10. {i}.7.9 went down") for i in range(2)]
+    got = check(spark, given)
+    assert all(got[2000 + i].spans.startswith("ip:") for i in range(2))
+    assert not any(got[i].spans for i in range(250))
+
+
 def test_awkward_rows(spark):
     got = find_personal_data(documents(spark)).collect()
     assert len(got) == len(rows()) and {r.base_sha256 for r in got if r.doc_id in (1, 2)} == {hashlib.sha256(b"").hexdigest()}
