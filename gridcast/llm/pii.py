@@ -40,16 +40,18 @@ BASE = {
 }
 # Wider formats of the proposals.
 _DOT = r"(?:\.|\x20?[\[(]dot[\])]\x20?|\x20dot\x20)"
+_AT = r"(?:\x20?[\[(]at[\])]\x20?|\x20at\x20)"
+_POINT = r"(?:\x20?\.\x20?|\[\.\])"
 BROAD = {
-    "email": "(?i)" + _LOCAL + r"(?:@|\x20?[\[(]at[\])]\x20?|\x20at\x20)[A-Za-z0-9-]++(?:" + _DOT + r"[A-Za-z0-9-]++)++",
-    "ip": _DIGITS + r"(?:(?:\x20?\.\x20?|\[\.\])[0-9]++){3}+",
+    "email": "(?i)" + _LOCAL + r"(?:@|" + _AT + r")[A-Za-z0-9-]++(?:" + _DOT + r"[A-Za-z0-9-]++)++",
+    "ip": _DIGITS + r"(?:" + _POINT + r"[0-9]++){3}+",
     "card": r"(?:\G|(?<![0-9]))[0-9](?:[\x20./-]{0,2}+[0-9]){12,18}+(?![0-9])",
     "phone": r"[+(]?(?:\G|(?<![0-9]))[0-9](?:[\x20().-]{0,3}+[0-9]){6,14}+(?![0-9])",
 }
 # A text without this cannot match the pattern: a cheap test first.
 NEEDS = {
-    "email": lambda t, broad: t.contains("@") | (t.rlike(r"(?i)[\[(]at[\])]|\x20dot\x20") if broad else F.lit(False)),
-    "ip": lambda t, broad: t.rlike(r"[0-9][\x20\]]?\.?[\x20\]]?[0-9]"),
+    "email": lambda t, broad: t.contains("@") | (t.rlike("(?i)" + _AT + "[A-Za-z0-9-]++" + _DOT) if broad else F.lit(False)),
+    "ip": lambda t, broad: t.rlike("[0-9]" + _POINT + "[0-9]"),
     "card": lambda t, broad: t.rlike("[0-9][^0-9]?[^0-9]?[0-9]"),
     "phone": lambda t, broad: t.rlike("[0-9][^0-9]{0,3}[0-9]") if broad else t.contains("+"),
 }

@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from gridcast.llm import pii
 from gridcast.llm.pii import find_personal_data
 from tests.llm.data import documents, rows
@@ -73,6 +75,17 @@ def test_a_rare_kind_has_its_threshold_from_all_proposals(spark, monkeypatch):
     assert not any(got[i].spans for i in range(250))
 
 
+def test_the_cheap_test_drops_no_match(spark, monkeypatch):
+    given = ["write to jane at example.com", "jane at example[dot]com", "jane AT example dot com", "jane [at] example.com", "jane(at)example(dot)com", "jane@example dot com", "a@b.c"]
+    given += ["8[.]8[.]8[.]8", "1 . 1 . 1 . 1", "1. 2. 3. 4", "1 .2 .3 .4", "1.2.3.4", "1[.]1.1 .1", "+1 (234) 555-1234", "4111/1111 - 1111.1111", "at a. b", ""]
+    docs = spark.createDataFrame([(t,) for t in given], "text string")
+    of = lambda: [r.found for r in docs.select(pii.found_spans(docs.text).alias("found")).collect()]
+    with_tests = of()
+    monkeypatch.setattr(pii, "NEEDS", {kind: lambda t, broad: F.lit(True) for kind in pii.KINDS})
+    assert with_tests == of()
+    assert all(any(not f.base for f in found) for found in with_tests[:-2])
+
+
 def test_awkward_rows(spark):
     got = find_personal_data(documents(spark)).collect()
     assert len(got) == len(rows()) and {r.base_sha256 for r in got if r.doc_id in (1, 2)} == {hashlib.sha256(b"").hexdigest()}
