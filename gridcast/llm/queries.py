@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import licenses
+from gridcast.llm import licenses, oracles
 from gridcast.llm.common import table
+from gridcast.llm.conversations import repair_report
+from gridcast.llm.decontamination import contamination_report
 from gridcast.llm.dedup import content_sort
 from gridcast.llm.knn import top_inner_products
+from gridcast.llm.manifest import manifest_report
 from gridcast.llm.mixing import mix_sources
 from gridcast.llm.packing import pack
 from gridcast.llm.partenum import jaccard_join
@@ -65,6 +68,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(table(spark, sf_dir, "conversations"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_report(table(spark, sf_dir, "documents"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 OP5_SQL = """
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
@@ -115,6 +130,9 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_decontamination": op13_decontamination,
 }
 
-ORACLE = {"op5_mixing": OP5_SQL, "op8_exact_dedup": OP8_SQL, "op9_licenses": licenses.oracle_sql()}
+ORACLE = {"op5_mixing": OP5_SQL, "op8_exact_dedup": OP8_SQL, "op9_licenses": licenses.oracle_sql(), "op11_conversation_repair": oracles.OP11, "op12_merkle_manifest": oracles.OP12, "op13_decontamination": oracles.OP13}
