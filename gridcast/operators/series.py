@@ -15,6 +15,16 @@ def _empty(kind: str) -> Column:
     return F.array().cast(f"array<{kind}>")
 
 
+def hourly_arrays() -> Column:
+    """P2 on a document's ``hourly`` struct: (time_str, temperature, wind_speed) by position."""
+    h = F.col("hourly")
+    return F.arrays_zip(
+        F.coalesce(h["time"], _empty("string")).alias("time_str"),
+        F.coalesce(h["temperature_2m"], _empty("double")).alias("temperature"),
+        F.coalesce(h["wind_speed_10m"], h["windspeed_10m"], _empty("double")).alias("wind_speed"),
+    )
+
+
 def flatten_series(docs: DataFrame, keep: Sequence[str] = (), time_format: str = HOURLY_FORMAT) -> DataFrame:
     """One row per position of the parallel ``hourly`` arrays.
 
@@ -25,13 +35,7 @@ def flatten_series(docs: DataFrame, keep: Sequence[str] = (), time_format: str =
     no ``hourly`` struct yields no rows. ``time`` is NULL when ``time_str``
     does not parse - route such rows with ``split_valid``.
     """
-    h = F.col("hourly")
-    zipped = F.arrays_zip(
-        F.coalesce(h["time"], _empty("string")).alias("time_str"),
-        F.coalesce(h["temperature_2m"], _empty("double")).alias("temperature"),
-        F.coalesce(h["wind_speed_10m"], h["windspeed_10m"], _empty("double")).alias("wind_speed"),
-    )
-    rows = docs.select(*keep, F.explode(zipped).alias("_r"))
+    rows = docs.select(*keep, F.explode(hourly_arrays()).alias("_r"))
     return rows.select(
         *keep,
         F.col("_r.time_str").alias("time_str"),

@@ -10,6 +10,8 @@ are deterministic however the rows are partitioned.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,9 +70,10 @@ def fresh_rows(pred: DataFrame, as_of: Time, arrival_col: str = "arrival", event
     return message_rows(pred, arrival_col, as_of, FRESH, event_time_col)
 
 
-def conditions_tile(last: DataFrame) -> DataFrame:
+def conditions_tile(last: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """C7's display from the chosen message (``Time, price_rf, wind_speed, temperature``)."""
     tile = last.select(
+        *keep,
         "Time",
         F.col("price_rf").alias("price"),
         "wind_speed",

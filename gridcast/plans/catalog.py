@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gridcast.functions.messages import decode, encode
 from gridcast.functions.signal import trade_signal
 from gridcast.functions.timefmt import seconds_between
-from gridcast.jobs import silver_dates, silver_job
+from gridcast.jobs import load_prices, silver_dates, silver_job
 from gridcast.models.scoring import reading_features, scorable
 from gridcast.models.training import assembler, training_set
 from gridcast.operators import views
@@ -28,6 +28,7 @@ from gridcast.operators.selection import (
     date_range,
     latest_valid,
     location_filter,
+    newest,
     peek,
     sort_by,
 )
@@ -36,7 +37,9 @@ from gridcast.operators.series import flatten_series, upsample_hold, upsample_ho
 from gridcast.plans import standins as S
 from gridcast.schemas import FEATURES, READING
 from gridcast.session import ensure_session_defaults, fresh_dir
-from gridcast.sources.bronze import document_tags, land_raw, parse_live_docs, parse_weather_docs, read_price_docs, read_weather_docs
+from gridcast.operators.ordering import with_position
+from gridcast.sources.bronze import document_tags, land_raw, land_version, parse_live_docs, parse_weather_docs, read_price_docs, read_versions, read_weather_docs
+from gridcast.sources.bucketed import bucketed_hour_join, write_by_hour
 from gridcast.sources.silver import read_silver, write_silver_hourly
 from gridcast.streaming.scoring import parse_readings
 
@@ -47,6 +50,7 @@ AS_OF = "2024-01-15 12:00:00"  # "now" of the static serving views
 RANGE_START, RANGE_END = "2024-01-10 00:00:00", "2024-01-13 00:00:00"
 SILVER_FROM, SILVER_TO = "2024-01-10", "2024-01-12"  # inclusive dates
 LOCATION = 7
+BUCKETS = 8
 PRICE_AREAS = [S.PRICE_EVENT]
 PEEK_AREAS = ["7", "11"]
 
@@ -193,6 +197,65 @@ def q_price_array_docs(spark, sf_dir):
     return price_series(read_price_docs(spark, path)).select("price_time", "label")
 
 
+def q_rejected_documents(spark, sf_dir):
+    """F8 on S1: raw text of the lines that the silver job cannot use, after running it twice."""
+    base = fresh_dir(spark, "poisoned-weather")
+    events = _events(spark, sf_dir)
+    S.weather_docs_text(events).select("value").unionByName(S.broken_docs(events)).write.text(f"{base}/bronze")
+    for _ in range(2):
+        silver_job(spark, f"{base}/bronze", f"{base}/silver", quarantine=f"{base}/bad", show_schema=False)
+    return spark.read.parquet(f"{base}/bad/documents").select("value")
+
+
+def q_rejected_readings(spark, sf_dir):
+    """B2 on S1: readings whose time does not parse, and readings of documents read in part."""
+    base = fresh_dir(spark, "poisoned-weather")
+    S.broken_times(_events(spark, sf_dir)).write.text(f"{base}/bronze")
+    silver_job(spark, f"{base}/bronze", f"{base}/silver", quarantine=f"{base}/bad", show_schema=False)
+    return spark.read.parquet(f"{base}/bad/readings").select("time_str", "temperature", "wind_speed")
+
+
+def q_rejected_prices(spark, sf_dir):
+    """F8 on S2: price lines that are no JSON and records without a price, after loading twice."""
+    base = fresh_dir(spark, "poisoned-prices")
+    events = _events(spark, sf_dir)
+    records = S.price_records(events).select(F.to_json(F.array(F.struct("HourUTC", "SpotPriceEUR"))).alias("value"))
+    records.unionByName(S.broken_docs(events)).write.text(f"{base}/bronze")
+    for _ in range(2):
+        load_prices(spark, f"{base}/bronze", f"{base}/bad", "one")
+    text = spark.read.parquet(f"{base}/bad/price_documents").select("value", F.lit("document").alias("kind"))
+    return text.unionByName(spark.read.parquet(f"{base}/bad/prices").select(F.col("HourUTC").alias("value"), F.lit("record").alias("kind")))
+
+
+def q_silver_merged_parts(spark, sf_dir):
+    """Two files for the same days, one of them with readings of the other; the last landed wins."""
+    base = fresh_dir(spark, "silver-merge")
+    events = _events(spark, sf_dir)
+    for i in range(2):
+        # File times differ by what the second run begins after the first has ended.
+        S.weather_docs_text(events.where(F.col("event_id") % 3 != i)).select("value").write.text(f"{base}/bronze{i}")
+        silver_job(spark, f"{base}/bronze{i}", f"{base}/silver", show_schema=False, replace="merge", keys=("site",))
+    return _silver_rows(read_silver(spark, f"{base}/silver"), "site")
+
+
+def q_landed_versions(spark, sf_dir):
+    """Landings that show all at once. The second replaces half of the days;
+    the third, of all days, stops before its manifest and changes nothing."""
+    base = fresh_dir(spark, "bronze-versions")
+    docs = S.weather_docs_text(_events(spark, sf_dir), part=F.to_date("ts").cast("string"))
+    site, span = document_tags("weather")
+    tagged = docs.select("value", "part", F.lit("weather").alias("kind"), site.alias("site"), span.alias("chunk"))
+    stale = F.regexp_replace("value", '"temperature_2m":\\[', '"temperature_2m":[-99,')
+    odd = F.dayofmonth(F.col("part").cast("date")) % 2 == 1
+    land_version(tagged.withColumn("value", F.when(odd, stale).otherwise(F.col("value"))), base)
+    land_version(tagged.where(odd), base)
+    unfinished = tagged.withColumn("value", stale).drop("part")
+    unfinished.write.partitionBy("kind", "site", "chunk").text(f"{base}/data/landing=99999999999999999999-unfinished")
+    back = parse_weather_docs(read_versions(spark, base))
+    good, _quarantine = split_valid(flatten_series(back), ["time"])
+    return good.select("time", "temperature", "wind_speed")
+
+
 # --- C4, J1: gold training set ------------------------------------------------
 
 def prices_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,6 +279,16 @@ def q_raw_hour_join(spark, sf_dir):
     return joined.select("temperature", "wind_speed", "label", "time_15min")
 
 
+def q_bucketed_hour_join(spark, sf_dir):
+    """J1 above the broadcast bound: both sides written by hour, joined without a shuffle."""
+    base = fresh_dir(spark, "by-hour")
+    tag = base.rsplit("/", 1)[1]
+    priced, _quarantine = split_prices(price_series(S.price_records(_events(spark, sf_dir))))
+    write_by_hour(weather_15min(spark, sf_dir), f"readings_{tag}", f"{base}/readings", "time_15min", BUCKETS)
+    write_by_hour(priced.select("price_time", "label"), f"prices_{tag}", f"{base}/prices", "price_time", BUCKETS)
+    return bucketed_hour_join(spark, f"readings_{tag}", f"prices_{tag}").select("temperature", "wind_speed", "label", "time_15min")
+
+
 def q_training_set_by_site(spark, sf_dir):
     """C4 with a key: readings join the prices of their own site."""
     hourly = weather_hourly(spark, sf_dir, keep=("site",)).drop("time_str")
@@ -295,6 +368,23 @@ def q_area_filter_sort(spark, sf_dir):
     return sort_by(picked, "ts", "event_id")
 
 
+def q_ordered_prices(spark, sf_dir):
+    """The place of each price record in the order of its time."""
+    picked = area_filter(_events(spark, sf_dir), "event_type", PRICE_AREAS).select("ts", "value", "event_id")
+    return with_position(picked, ["ts", "event_id"])
+
+
+def q_ordered_comparison(spark, sf_dir):
+    """The rows of the comparison table with their place by time."""
+    table = views.model_comparison(S.predictions(_events(spark, sf_dir)), AS_OF, event_time_col="event_ts")
+    return with_position(table, ["Time"])
+
+
+def q_unlimited(spark, sf_dir):
+    """T5: a limit of 0 is no limit."""
+    return newest(S.market_records(_events(spark, sf_dir)), "TimeUTC", 0).select("TimeUTC", "PriceArea", "ImbalancePriceEUR", "arrival")
+
+
 def q_date_range(spark, sf_dir):
     return date_range(_events(spark, sf_dir), "ts", RANGE_START, RANGE_END).select("event_id", "ts", "value")
 
@@ -385,6 +475,15 @@ QUERIES: dict[str, Query] = {
     "silver_job": q_silver_job,
     "silver_date_range": q_silver_date_range,
     "landed_weather": q_landed_weather,
+    "landed_versions": q_landed_versions,
+    "rejected_documents": q_rejected_documents,
+    "rejected_readings": q_rejected_readings,
+    "rejected_prices": q_rejected_prices,
+    "silver_merged_parts": q_silver_merged_parts,
+    "bucketed_hour_join": q_bucketed_hour_join,
+    "ordered_prices": q_ordered_prices,
+    "ordered_comparison": q_ordered_comparison,
+    "unlimited": q_unlimited,
     "silver_two_sites": q_silver_two_sites,
     "silver_replace_all": q_silver_replace_all,
     "landed_two_ranges": q_landed_two_ranges,

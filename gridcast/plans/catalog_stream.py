@@ -19,7 +19,9 @@ from gridcast.schemas import READING
 from gridcast.session import fresh_dir, run_concurrently
 from gridcast.sources.messages import publish
 from gridcast.streaming import state
-from gridcast.streaming.runner import stage_files, stream_to_table
+from gridcast.streaming.progress import read_progress
+from gridcast.streaming.runner import run_available, stage_files, stream_to_table
+from gridcast.streaming.tiles import TILE, read_tiles, run_tiles, site_tiles
 
 STAGED_FILES = 5  # micro-batches the staged streams replay in
 DISTINCT_DELAY = "60 days"  # repeats of a pair within this time are one
@@ -226,7 +228,80 @@ def q_serving_views(spark, sf_dir):
     return tile.unionByName(live).unionByName(models[0]).unionByName(models[1])
 
 
+def q_served_quarantine(spark, sf_dir):
+    """F8 on S13: prediction messages the serving job cannot use, as they came."""
+    base = fresh_dir(spark, "serving-bad")
+    pred = S.poisoned_predictions(_events(spark, sf_dir))
+    inbox = stage_files(pred, spark, "bad-predictions", STAGED_FILES, "arrival", fmt="text")
+    serve_job(
+        spark, f"{base}/state", f"{base}/checkpoint", "files", inbox=inbox, max_per_trigger=1,
+        sequence=T.StructField("arrival", T.LongType()), as_of=AS_OF, quarantine=f"{base}/bad", available_now=True,
+    )
+    return spark.read.text(f"{base}/bad").select("value")
+
+
+def _in_two_parts(spark: SparkSession, df: DataFrame, order: str, name: str, run) -> None:
+    """Replay ``df`` in five files: two, a stop, three more. ``run(inbox)`` runs what is there."""
+    staged = stage_files(df, spark, name, STAGED_FILES, order)
+    inbox = fresh_dir(spark, f"{name}-inbox")
+    rows = spark.read.schema(df.schema).parquet(staged)
+    cut = rows.agg(F.expr(f"percentile_approx({order}, 0.4)")).first()[0]
+    for files, part in ((2, rows.where(F.col(order) <= cut)), (STAGED_FILES - 2, rows.where(F.col(order) > cut))):
+        part.repartitionByRange(files, order).sortWithinPartitions(order).write.mode("append").parquet(inbox)
+        run(inbox)
+
+
+def q_stream_site_tiles(spark, sf_dir):
+    """The tile of every site in the state store, over five micro-batches and a restart."""
+    base = fresh_dir(spark, "site-tiles")
+    pred = S.predictions(_events(spark, sf_dir)).drop("event_ts").withColumn("site", S.site_name("arrival"))
+
+    def run(inbox: str) -> None:
+        stream = spark.readStream.schema(pred.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+        run_tiles(site_tiles(stream, AS_OF, delay="60 days"), f"{base}/tiles", f"{base}/checkpoint")
+
+    _in_two_parts(spark, pred, "arrival", "tiles-messages", run)
+    tiles = read_tiles(spark, f"{base}/tiles")
+    shown = views.conditions_tile(tiles.select(*TILE, "site"), keep=["site"])
+    return shown.select("site", "Time", "price", "wind_speed", "temperature", "signal")
+
+
+def q_stream_restarted(spark, sf_dir):
+    """A stream stopped after two of five batches and resumed on its checkpoint;
+    a last run that finds nothing new adds nothing."""
+    base = fresh_dir(spark, "restarted")
+    readings = S.readings(_events(spark, sf_dir))
+
+    def run(inbox: str) -> None:
+        for _ in range(2):
+            stream = spark.readStream.schema(readings.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+            run_available(reading_features(stream), spark, "restarted", base=base)
+
+    _in_two_parts(spark, readings, "arrival", "restarted", run)
+    return spark.read.parquet(f"{base}/out").select("arrival", "time", "ts", "hour_of_day", "day_of_week")
+
+
+def q_stream_message_counts(spark, sf_dir):
+    """The scoring job's counts of five micro-batches, summed, and the rows of its outputs."""
+    fitted_models(spark, sf_dir)
+    base = fresh_dir(spark, "counted")
+    inbox = stage_files(S.poisoned_messages(_events(spark, sf_dir)), spark, "counted", STAGED_FILES, "arrival", fmt="text")
+    score_job(
+        spark, _MODEL_DIRS[(spark.sparkContext.applicationId, sf_dir)], f"{base}/checkpoint", source="files", sink="files", inbox=inbox,
+        outbox=f"{base}/out", quarantine=f"{base}/bad", available_now=True, max_per_trigger=1, progress=f"{base}/progress",
+    )
+    counts = read_progress(spark, f"{base}/progress")
+    sums = counts.agg(F.count(F.lit(1)).alias("batches"), *[F.sum(c).alias(c) for c in ("received", "scored", "quarantined")])
+    sent = spark.read.text(f"{base}/out").agg(F.count(F.lit(1)).alias("sent"))
+    kept = spark.read.text(f"{base}/bad").agg(F.count(F.lit(1)).alias("kept"))
+    return sums.crossJoin(sent).crossJoin(kept)  # one row each
+
+
 STREAM_QUERIES = {
+    "served_quarantine": q_served_quarantine,
+    "stream_site_tiles": q_stream_site_tiles,
+    "stream_restarted": q_stream_restarted,
+    "stream_message_counts": q_stream_message_counts,
     "serving_views": q_serving_views,
     "fit_models": q_fit_models,
     "dual_score_checks": q_dual_score_checks,

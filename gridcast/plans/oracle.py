@@ -71,7 +71,61 @@ buffer as (
 
 _SIGNAL = "case when {p} < 30 then 'BUY' when {p} > 80 then 'SELL' else 'HOLD' end"
 
+_BROKEN = """
+broken as (
+  select case when event_id % 2 = 0 then '[{"HourUTC": "2024-01-0' || event_id else '{"error": true, "id": ' || event_id || ', "hourly": ' end as value
+  from events where event_id % 97 = 0
+)"""
+
 ORACLE: dict[str, str] = {
+    "landed_versions": f"with {_WEATHER} select time, temperature, wind_speed from weather",
+    "rejected_documents": f"with {_BROKEN} select value from broken",
+    "rejected_readings": f"""
+      select 'day ' || event_id as time_str, value as temperature, {_WIND} as wind_speed
+      from events where event_type <> 'purchase' and event_id % 13 = 0""",
+    "rejected_prices": f"""with {_BROKEN}, {_RAW_PRICES}
+      select value, 'document' as kind from broken
+      union all select strftime(price_time, '%Y-%m-%dT%H:%M:%S') as value, 'record' as kind from raw_prices where label is null""",
+    "silver_merged_parts": f"""with {_WEATHER.replace("select date_trunc", "select event_id, date_trunc")},
+      files as (
+        select *, i as landed from weather, (values (0), (1)) f(i) where event_id % 3 <> i
+      ), rows as (
+        select landed, site, temperature, wind_speed, time + to_minutes(m) as time_15min from files, unnest([0, 15, 30, 45]) as o(m)
+      )
+      select site, temperature, wind_speed, time_15min, strftime(time_15min, '%Y-%m-%d') as date from rows
+      qualify row_number() over (partition by site, time_15min order by landed desc, temperature desc, wind_speed desc) = 1""",
+    "bucketed_hour_join": f"""with {_WEATHER_15}, {_RAW_PRICES}
+      select w.temperature, w.wind_speed, p.label, w.time_15min
+      from weather_15 w join raw_prices p on date_trunc('hour', w.time_15min) = p.price_time where p.label is not null""",
+    "ordered_prices": """
+      select ts, value, event_id, row_number() over (order by ts, event_id) as position from events where event_type = 'purchase'""",
+    "ordered_comparison": f"""with {_BUFFER}, wide as (
+      select Time,
+             arg_max(Price, arrival) filter (where Model = 'Random Forest (Champion)') as "Random Forest (Champion)",
+             arg_max(Price, arrival) filter (where Model = 'Gradient Boost (Challenger)') as "Gradient Boost (Challenger)",
+             strftime(Time, '%a %d') as Label
+      from buffer group by Time)
+      select *, row_number() over (order by Time) as position from wide""",
+    "unlimited": f"with {_MARKET} select TimeUTC, PriceArea, ImbalancePriceEUR, arrival from market",
+    "served_quarantine": """
+      select case when event_id % 11 = 0 then 'not json ' || event_id
+                  when event_id % 17 = 0 then json_object('time', 'yesterday', 'price_rf', value, 'arrival', event_id)::varchar
+                  else json_object('price_rf', value, 'arrival', event_id)::varchar end as value
+      from events where event_id % 11 = 0 or event_id % 17 = 0 or event_id % 23 = 0""",
+    "stream_site_tiles": f"""with {_PRED},
+      last as (
+        select 'site' || (arrival % 40) as site, * from pred where abs(d_us) < 7200000000
+        qualify row_number() over (partition by arrival % 40 order by arrival desc) = 1
+      )
+      select site, Time, price_rf as price, wind_speed, temperature, {_SIGNAL.format(p="price_rf")} as signal from last""",
+    "stream_restarted": """
+      select event_id as arrival, strftime(ts, '%Y-%m-%dT%H:%M:%S') as time, date_trunc('second', ts) as ts,
+             cast(hour(ts) as integer) as hour_of_day, cast(dayofweek(ts) + 1 as integer) as day_of_week
+      from events""",
+    "stream_message_counts": """
+      with m as (select event_id % 7 = 0 or event_id % 19 = 0 or event_id % 11 = 0 or event_id % 13 = 0 or event_id % 17 = 0 as bad from events)
+      select cast(5 as bigint) as batches, count(*) as received, count(*) filter (not bad) as scored, count(*) filter (bad) as quarantined,
+             count(*) filter (not bad) as sent, count(*) filter (bad) as kept from m""",
     "landed_weather": f"with {_WEATHER} select time, temperature, wind_speed from weather",
     "landed_two_ranges": f"with {_WEATHER} select time, temperature, wind_speed from weather",
     "silver_two_sites": f"""with {_WEATHER_15}

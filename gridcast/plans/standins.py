@@ -87,6 +87,23 @@ def weather_docs_text(ev: DataFrame, readings_per_doc: int = DOC_READINGS, part=
     return docs.select("chunk", "site", "part", F.to_json(F.struct(*where, hourly.alias("hourly"))).alias("value"))
 
 
+def broken_docs(ev: DataFrame) -> DataFrame:
+    """Lines that no bronze reader can use, among the events: text that is cut off
+    and, for every other one, the answer of a failed call."""
+    i = F.col("event_id")
+    cut = F.concat(F.lit('[{"HourUTC": "2024-01-0'), i.cast("string"))
+    failed = F.concat(F.lit('{"error": true, "id": '), i.cast("string"), F.lit(', "hourly": '))
+    return ev.where(i % 97 == 0).select(F.when(i % 2 == 0, cut).otherwise(failed).alias("value"))
+
+
+def broken_times(ev: DataFrame) -> DataFrame:
+    """Weather documents of one reading; the time of every 13th does not parse."""
+    rows = weather_events(ev)
+    time = F.when(F.col("event_id") % 13 == 0, F.concat(F.lit("day "), F.col("event_id").cast("string"))).otherwise(iso_text("ts", HOURLY_FORMAT))
+    hourly = F.struct(F.array(time).alias("time"), F.array("value").alias("temperature_2m"), F.array(wind_of()).alias("windspeed_10m"))
+    return rows.select(F.to_json(F.struct(F.lit(55.0).alias("latitude"), F.lit(12.5).alias("longitude"), hourly.alias("hourly"))).alias("value"))
+
+
 def live_docs_text(ev: DataFrame) -> DataFrame:
     """Every event as a live weather document (a ``current`` struct), with the
     time it was fetched (``ts``) and its arrival: ``arrival, fetched, value``."""
@@ -148,6 +165,19 @@ def predictions(ev: DataFrame) -> DataFrame:
     )
 
 
+def poisoned_predictions(ev: DataFrame) -> DataFrame:
+    """Prediction messages as text; some are not JSON, some have no usable time."""
+    i = F.col("arrival")
+    p = predictions(ev).drop("event_ts").withColumn("time", F.when(i % 17 == 0, F.lit("yesterday")).when(i % 23 != 0, F.col("time")))
+    whole = F.to_json(F.struct("time", "price_rf", "arrival"))
+    return p.select(F.when(i % 11 == 0, F.concat(F.lit("not json "), i.cast("string"))).otherwise(whole).alias("value"), "arrival")
+
+
+def site_name(col: str = "event_id"):
+    """One of 40 sites."""
+    return F.concat(F.lit("site"), (F.col(col) % 40).cast("string"))
+
+
 def market_records(ev: DataFrame) -> DataFrame:
     """Market price records (D9): ``TimeUTC, PriceArea, ImbalancePriceEUR, arrival``.
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridcast.operators.sizing import bounded_broadcast
 from gridcast.schemas import CURRENT_DOC, PRICE_RECORD, WEATHER_DOC
 
 
@@ -65,6 +68,7 @@ def document_tags(kind: str, col: str = "value") -> tuple[Column, Column]:
 
 
 LANDING_KEYS = ("kind", "site", "chunk")
+LANDED = "value string, kind string, site string, chunk string"
 
 
 def land_raw(docs: DataFrame, base: str, text_col: str = "value") -> None:
@@ -84,6 +88,47 @@ def land_raw(docs: DataFrame, base: str, text_col: str = "value") -> None:
     )
 
 
+def land_version(docs: DataFrame, base: str, text_col: str = "value") -> str:
+    """S11 that shows all at once: the documents go to a folder of their own,
+    ``base/data/landing=<id>``, and the ranges they replace to a manifest,
+    written last. Readers follow complete manifests only (``read_versions``), so
+    a landing that stops half-way, or is still running, changes no answer.
+    Ids sort by the time they were given. Returns the landing's id."""
+    spark = docs.sparkSession
+    landing = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    data = f"{base}/data/landing={landing}"
+    docs.select(text_col, *LANDING_KEYS).hint("rebalance", *LANDING_KEYS).write.partitionBy(*LANDING_KEYS).text(data)
+    commit_version(spark, base, landing)
+    return landing
+
+
+def commit_version(spark: SparkSession, base: str, landing: str) -> None:
+    """Write the manifest of a landing: the ranges that its folder holds."""
+    path = f"{base}/data/landing={landing}"
+    ranges = spark.read.schema(LANDED).option("basePath", path).text(path).select(*LANDING_KEYS).distinct()
+    ranges.coalesce(1).write.mode("overwrite").parquet(f"{base}/manifests/landing={landing}")
+
+
+def read_versions(spark: SparkSession, base: str) -> DataFrame:
+    """Text of each range's newest complete landing, with its range columns.
+
+    Manifests hold a row per range and landing, not per document; they are
+    reduced to the newest landing of each range, and a checked broadcast of that
+    prunes the folders of older landings before they are listed for reading."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(f"{base}/manifests")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = [s.getPath() for s in fs.listStatus(root) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))] if fs.exists(root) else []
+    kinds = ", ".join(f"{k} string" for k in LANDING_KEYS)
+    if not done:
+        return spark.createDataFrame([], f"value string, {kinds}")
+    manifests = spark.read.schema(f"{kinds}, landing string").option("basePath", f"{base}/manifests").parquet(*[p.toString() for p in done])
+    newest, _ = bounded_broadcast(manifests.groupBy(*LANDING_KEYS).agg(F.max("landing").alias("landing")))
+    folders = [f"{base}/data/{p.getName()}" for p in done]
+    data = spark.read.schema(f"value string, landing string, {kinds}").option("basePath", f"{base}/data").text(folders)
+    return data.join(newest, ["landing", *LANDING_KEYS], "left_semi").select("value", *LANDING_KEYS)
+
+
 def read_landed(spark: SparkSession, base: str) -> DataFrame:
     """Landed text back with its ``kind``, ``site`` and ``chunk`` partition columns."""
     return spark.read.option("basePath", base).text(base)

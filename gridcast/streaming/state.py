@@ -142,7 +142,8 @@ def keep_views(state_dir: str, as_of: Time, arrival_col: str) -> Callable[[DataF
     """The consumer's three views over prediction messages as one state (C7, C8, C9):
     the last fresh message, the live buffer and the forecast buffer, each in its
     folder, from one decoded micro-batch. ``as_of`` is a time or an ingest stamp
-    column of the messages."""
+    column of the messages. A manifest that names the batch's three folders is
+    written last: readers follow it, so they never see views of two batches."""
     tiles = keep_last(f"{state_dir}/tiles", 1, "_arrival")
     live = keep_last(f"{state_dir}/live", views.LIVE_CAP, "_arrival")
     forecast = keep_forecast_buffer(f"{state_dir}/forecast")
@@ -153,18 +154,35 @@ def keep_views(state_dir: str, as_of: Time, arrival_col: str) -> Callable[[DataF
             tiles(views.fresh_rows(batch, as_of, arrival_col), batch_id)
             live(views.today_rows(batch, as_of, arrival_col), batch_id)
             forecast(views.model_long(views.future_rows(batch, as_of, arrival_col)), batch_id)
+            commit_views(batch.sparkSession, state_dir, batch_id)
         finally:
             batch.unpersist()
 
     return merge
 
 
+VIEWS = ("tiles", "live", "forecast")
+
+
+def commit_views(spark: SparkSession, state_dir: str, batch_id: int) -> None:
+    """Write the manifest of a batch: the folders of its three states."""
+    folders = [(name, state_path(run_dir(spark, f"{state_dir}/{name}"), batch_id)) for name in VIEWS]
+    own = run_dir(spark, f"{state_dir}/commits")
+    spark.createDataFrame(folders, "view string, folder string").coalesce(1).write.mode("overwrite").parquet(state_path(own, batch_id))
+    prune_states(spark, own, batch_id)
+
+
 def read_views(spark: SparkSession, state_dir: str) -> dict[str, DataFrame]:
-    """The three views as the newest committed states show them."""
+    """The three views of the newest batch whose manifest is complete.
+
+    The states a manifest names stay until two later batches are written, so a
+    reader that began before a batch can end during it."""
+    folders = {r.view: r.folder for r in final_state(spark, f"{state_dir}/commits").collect()}  # three rows
+    state = {name: spark.read.parquet(folders[name]) for name in VIEWS}
     return {
-        "current_conditions": views.conditions_tile(final_state(spark, f"{state_dir}/tiles")),
-        "live_series": views.live_view(final_state(spark, f"{state_dir}/live")),
-        "model_comparison": views.model_pivot(final_state(spark, f"{state_dir}/forecast")),
+        "current_conditions": views.conditions_tile(state["tiles"]),
+        "live_series": views.live_view(state["live"]),
+        "model_comparison": views.model_pivot(state["forecast"]),
     }
 
 
