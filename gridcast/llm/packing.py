@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import gapless_rank, staged, text_slices
+from gridcast.llm.common import gapless_rank, staged, text_slices, tidy
 
 # Lengths are rounded up to a multiple of this in the program (not in the data).
 UNIT = 8
@@ -32,9 +32,10 @@ CELLS = 256
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str):
-    """Byte-level BPE of a ``tokenizers`` file as text -> ids, special strings
-    being ordinary text. tiktoken runs the file's own vocabulary, several times
-    faster; a text it refuses goes to ``tokenizers`` itself."""
+    """Byte-level BPE of a ``tokenizers`` file as text -> ids, as that library gives
+    them. tiktoken runs the file's own vocabulary, several times faster; a text
+    that holds a special string, or that tiktoken refuses, goes to ``tokenizers``
+    itself."""
     import tiktoken
 
     # The byte alphabet of byte-level BPE: printable bytes stand for themselves,
@@ -43,7 +44,7 @@ def encoder(path: str):
     alphabet = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))}
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    special = {t["content"] for t in spec.get("added_tokens", [])}
+    special = sorted({t["content"] for t in spec.get("added_tokens", [])})
     ranks = {bytes(alphabet[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
     pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
     fast = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
@@ -53,11 +54,11 @@ def encoder(path: str):
     def slow():
         from tokenizers import Tokenizer
 
-        whole = Tokenizer.from_file(path)
-        whole.encode_special_tokens = True
-        return whole
+        return Tokenizer.from_file(path)
 
     def encode(text: str) -> np.ndarray:
+        if any(s in text for s in special):
+            return np.array(slow().encode(text, add_special_tokens=False).ids, np.uint32)
         try:
             return fast.encode_to_numpy(text, disallowed_special=())
         except BaseException as e:  # noqa: BLE001 - the Rust side panics with its own class
@@ -109,6 +110,25 @@ def _knapsack(value: np.ndarray, room: int) -> tuple[float, np.ndarray]:
     return float(best[room]), pattern
 
 
+def _inverse(matrix: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan elimination. A linear algebra library's own threads can hang in
+    a driver that has forked; the matrices here have a row per length class."""
+    n = len(matrix)
+    both = np.hstack([matrix, np.eye(n)])
+    for i in range(n):
+        best = i + int(np.argmax(np.abs(both[i:, i])))
+        both[[i, best]] = both[[best, i]]
+        both[i] /= both[i, i]
+        factors = both[:, i].copy()
+        factors[i] = 0
+        both -= factors[:, None] * both[i]
+    return both[:, n:]
+
+
+def _times(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    return (matrix * vector).sum(1)
+
+
 def cutting_stock(demand: np.ndarray, room: int) -> list[tuple[int, np.ndarray]]:
     """(times, pattern) that hold exactly ``demand[c]`` pieces of class c + 1,
     whose width is c + 1, in few sequences of width ``room``."""
@@ -117,17 +137,17 @@ def cutting_stock(demand: np.ndarray, room: int) -> list[tuple[int, np.ndarray]]
         return []
     m, need = len(classes), demand[classes].astype(float)
     basis = np.diag(np.array([room // (c + 1) for c in classes], float))
-    inverse = np.linalg.inv(basis)
+    inverse = _inverse(basis)
     for step in range(COLUMNS):
-        amount = inverse @ need
+        amount = _times(inverse, need)
         price = inverse.sum(0)
         value = np.full(len(demand), -1.0)
         value[classes] = price
         best, column = _knapsack(np.maximum(value, 0), room)
         column = np.where(value > 0, column, 0)[classes].astype(float)
-        if best <= 1 + 1e-9 or amount.sum() - (price @ need) / max(best, 1) <= max(0.5, GAP * amount.sum()):
+        if best <= 1 + 1e-9 or amount.sum() - (price * need).sum() / max(best, 1) <= max(0.5, GAP * amount.sum()):
             break
-        move = inverse @ column
+        move = _times(inverse, column)
         up = move > 1e-9
         if not up.any():
             break
@@ -136,12 +156,12 @@ def cutting_stock(demand: np.ndarray, room: int) -> list[tuple[int, np.ndarray]]
         out = int(np.argmin(ratio))
         basis[:, out] = column
         if step % 64 == 63:
-            inverse = np.linalg.inv(basis)
+            inverse = _inverse(basis)
         else:
             pivot = inverse[out] / move[out]
             inverse = inverse - np.outer(move, pivot)
             inverse[out] = pivot
-    amount = np.linalg.solve(basis, need)
+    amount = _times(_inverse(basis), need)
     left, made = demand.copy(), []
 
     def use(times: int, pattern: np.ndarray) -> None:
@@ -177,7 +197,7 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
     """
     spark = df.sparkSession
     source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    pieces = source.mapInArrow(_pieces(tokenizer, size, with_ids), PIECES)
+    pieces = source.mapInArrow(tidy(_pieces(tokenizer, size, with_ids)), PIECES)
     whole = F.col("length") == size
     pieces = staged(pieces.withColumn("class", F.when(whole, 0).otherwise(F.ceil(F.col("length") / UNIT)).cast("int")), "pack-pieces")
 

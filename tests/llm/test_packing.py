@@ -12,9 +12,7 @@ from tests.llm.data import documents, rows
 def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(byte_bpe_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(byte_bpe_path())
 
 
 @pytest.mark.parametrize("text", ["", " ", "Hello  world\n\n it's 1234 déjà-vu", "　日本語 <|endoftext|> \t\t x", "a" * 3000, " " * 500 + "x", "!!!???'s 're"])
