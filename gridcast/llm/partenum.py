@@ -26,7 +26,7 @@ elements of D, where d = (|x| + |y|) (1 - g) / (1 + g). Were t not positive,
 both would be linked with the centre already. A prefix filter on the small sets
 D, rarest elements of the group first, names the pairs that are left to compare:
 no link between components is lost, and a group of near copies is not compared
-pair by pair. A centre's members are filtered in one task up to ``COMPARED`` of
+pair by pair. A centre's members are filtered in one task up to ``COMPARED`` elements of
 them; for more, the elements are counted, ranked and joined by Spark.
 """
 
@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import hash_strings, mix, shuffle_width, split_words, staged, text_slices
+from gridcast.llm.common import hash_strings, mix, shuffle_width, split_words, staged, text_slices, tidy
 from gridcast.llm.components import components
 from gridcast.operators.sizing import bounded_broadcast
 
@@ -50,8 +50,10 @@ from gridcast.operators.sizing import bounded_broadcast
 PAIR_BANDS, PAIR_PARTS = 4, 1024
 # Signature rows are packed by bucket; more buckets than tasks evens them out.
 BUCKETS_PER_TASK = 4
-# Members of one centre that one task takes at once.
-COMPARED = 512
+# Elements of the members of one centre that one task takes at once (32 MB).
+COMPARED = 4 << 20
+# Rounds in which a set is compared with one centre only.
+ROUNDS = 2
 
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
@@ -265,7 +267,7 @@ def _set_rows(words: int):
 
 def _by_centre(batches) -> Iterator[tuple[int, int, np.ndarray, list[tuple[int, int, np.ndarray]]]]:
     """(centre, number of groups, its set, [(member, label, its set)]) for each group of
-    at most about ``COMPARED`` members; rows come sorted by (centre, salt), the
+    about ``COMPARED`` elements; rows come sorted by (centre, salt), the
     centre's own set first in each group."""
     group, centre, members = None, None, []
     for batch in batches:
@@ -385,9 +387,10 @@ def _apart_rows(p: int, q: int):
 
 def _with_centres(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Sets of the members (b, with a label) of every centre (a), dealt by centre. A
-    centre's set is sent once per ``COMPARED`` members, so a centre of very many
-    members is many groups."""
-    groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / COMPARED).alias("salts"))
+    centre's set is sent once per ``COMPARED`` elements of its members, so a centre
+    of very many or very large members is many groups, and a task holds no more."""
+    sizes = sets.select(F.col("rep").alias("b"), (F.length("elements") / 8).cast("long").alias("size"))
+    groups = pairs.join(sizes, "b").groupBy("a").agg(F.ceil(F.sum("size") / COMPARED).alias("salts"))
     members = pairs.join(groups, "a").select(F.col("a").alias("centre"), F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"), "salts", F.lit(False).alias("own"), F.col("b").alias("rep"), "label")
     owns = groups.select(F.col("a").alias("centre"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), "salts", F.lit(True).alias("own"), F.col("a").alias("rep"), F.lit(None).cast("long").alias("label"))
     rows = members.unionByName(owns).join(sets, "rep").select("centre", "salt", "salts", "own", "rep", "label", "elements")
@@ -397,13 +400,13 @@ def _with_centres(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _verify(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar."""
     rows = _with_centres(pairs.withColumn("label", F.lit(None).cast("long")), sets)
-    return staged(rows.mapInArrow(_compare(p, q), "a long, b long"), "jaccard-links")
+    return staged(rows.mapInArrow(tidy(_compare(p, q)), "a long, b long"), "jaccard-links")
 
 
 def _links_beside_centres(groups: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     """Links between members of one centre in different components; ``groups``:
     centre a, member b, the member's component label."""
-    rows = staged(_with_centres(groups, sets).mapInArrow(_apart_rows(p, q), APART), "jaccard-apart")
+    rows = staged(_with_centres(groups, sets).mapInArrow(tidy(_apart_rows(p, q)), APART), "jaccard-apart")
     links = rows.where("kind = 0").select("a", "b")
     big = rows.where("kind = 1")
     if big.isEmpty():
@@ -434,14 +437,14 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = df.sparkSession
     bands = Bands(p, q)
     source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sets = staged(source.mapInArrow(_describe(words), "id long, n long, node binary"), "jaccard-sets")
+    sets = staged(source.mapInArrow(tidy(_describe(words)), "id long, n long, node binary"), "jaccard-sets")
     classes = sets.where("n > 0 AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"))
     classes = staged(classes, "jaccard-classes")
     rep_of = sets.where("n > 0").join(classes.select("node", "rep"), "node").select("id", "rep", "n")
 
     width = shuffle_width(spark)
-    packed = source.mapInArrow(_signature_rows(words, bands, width * BUCKETS_PER_TASK), "bucket int, sigs binary, ids binary, need binary, band binary")
-    shared = staged(packed.repartition(width, "bucket").sortWithinPartitions("bucket").mapInArrow(_shared, STAR), "jaccard-shared")
+    packed = source.mapInArrow(tidy(_signature_rows(words, bands, width * BUCKETS_PER_TASK)), "bucket int, sigs binary, ids binary, need binary, band binary")
+    shared = staged(packed.repartition(width, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_shared), STAR), "jaccard-shared")
     stars = shared.where("kind = 0").select("band", "a", "b", "n", "need")
     # A document that shares fewer signatures than a partner would share has none.
     live = stars.groupBy("band", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need")).where("n >= need").select("band", F.col("b").alias("id"))
@@ -455,17 +458,31 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     a_end = live.select("band", F.col("id").alias("a"), F.col("rep").alias("ra"), F.col("size").alias("sa"))
     b_end = live.select("band", F.col("id").alias("b"), F.col("rep").alias("rb"), F.col("size").alias("sb"))
-    direct = stars.where("a <> b").join(a_end, ["band", "a"]).join(b_end, ["band", "b"]).where("ra <> rb")
+    # A pair meets in many buckets: once is enough.
+    met = stars.where("a <> b").select("band", "a", "b").distinct()
+    direct = met.join(a_end, ["band", "a"]).join(b_end, ["band", "b"]).where("ra <> rb")
     direct = direct.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"), "sa", "sb")
     sized = (F.col("sa") * q >= F.col("sb") * p) & (F.col("sb") * q >= F.col("sa") * p)
     pairs = staged(direct.unionByName(holders.select("a", "b", "sa", "sb")).where(sized).select("a", "b").distinct(), "jaccard-pairs")
 
     # The sets of live documents; the list of them is broadcast only if it is small.
     wanted, _ = bounded_broadcast(live.select(F.col("rep").alias("id")).distinct())
-    elements = staged(source.join(wanted, "id").mapInArrow(_set_rows(words), "rep long, elements binary").dropDuplicates(["rep"]), "jaccard-elements")
-
-    links = _verify(pairs, elements, p, q)
-    first = staged(components(links), "jaccard-components")
+    elements = staged(source.join(wanted, "id").mapInArrow(tidy(_set_rows(words)), "rep long, elements binary").dropDuplicates(["rep"]), "jaccard-elements")
+
+    # First each set beside one centre, the smallest it has met, then beside the
+    # smallest of another component; only what then still lies in two components
+    # is compared pair by pair. Pairs within a component add nothing to it.
+    links, first, rest = None, None, pairs
+    for turn in range(ROUNDS + 1):
+        if first is not None:
+            label = first.select(F.col("node").alias("a"), F.col("component").alias("la"))
+            rest = rest.join(tried, ["a", "b"], "left_anti").join(label, "a", "left").withColumn("la", F.coalesce("la", "a"))
+            rest = rest.join(label.toDF("b", "lb"), "b", "left").where("la <> coalesce(lb, b)").select("a", "b")
+            rest = staged(rest, "jaccard-rest")
+        tried = rest if turn == ROUNDS else rest.groupBy("b").agg(F.min("a").alias("a"))
+        found = _verify(tried, elements, p, q)
+        links = found if links is None else links.unionByName(found)
+        first = staged(components(links), "jaccard-components")
 
     # Signatures whose holders lie in different components, by centre.
     side = first.select(F.col("node").alias("b"), F.col("component").alias("label"))

@@ -52,10 +52,10 @@ def test_random_edits_match_brute_force(spark):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(given)
 
 
-@pytest.mark.parametrize("at_once", [512, 3])
+@pytest.mark.parametrize("at_once", [4 << 20, 300])
 def test_members_that_only_meet_beside_their_centre_are_linked(spark, monkeypatch, at_once):
     """Signature holders whose smallest id is similar to none of them; with few
-    members per task, the elements are joined by Spark."""
+    elements per task, the elements are joined by Spark."""
     monkeypatch.setattr(partenum, "COMPARED", at_once)
     rng = random.Random(9)
     base = [f"p{i}" for i in range(100)]
@@ -84,7 +84,7 @@ def near_copies_that_cover(centre, x, y):
     return out
 
 
-@pytest.mark.parametrize("at_once", [512, 16])
+@pytest.mark.parametrize("at_once", [4 << 20, 16_000])
 def test_a_longer_linked_member_is_compared_with_a_shorter_one(spark, monkeypatch, at_once):
     """x is near y only, y also near the centre and further from it in elements;
     near copies with smaller ids hold every signature that x and y share."""
@@ -132,7 +132,7 @@ def test_empty_table(spark):
 
 
 def test_group_of_near_copies_in_many_parts_matches_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(partenum, "COMPARED", 4)
+    monkeypatch.setattr(partenum, "COMPARED", 400)
     rng = random.Random(5)
     base = [f"p{i}" for i in range(90)]
     given = []
