@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import bound_batches, shuffle_width, staged
+from gridcast.llm.common import bound_batches, shuffle_width, staged, tidy
 
 # Costs and names of the edits, roles by initial, ASCII white space.
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 2, 3, 2, 1
@@ -298,7 +298,7 @@ def audit_conversations(rows: DataFrame, conv_col: str = "conv_id", turn_col: st
     clean = _clean(rows, conv_col, turn_col, role_col, text_col)
     bare = F.rtrim(F.col("text"), F.lit(SPACES))
     light = clean.select("conv", "turn", "role", F.unhex("digest").alias("digest"), (bare == "").alias("blank"), F.right(bare, F.lit(1)).isin(".", "!", "?").alias("ended"))
-    return _ordered(light, ["turn", "role", "digest"]).mapInArrow(_audits, AUDIT)
+    return _ordered(light, ["turn", "role", "digest"]).mapInArrow(tidy(_audits), AUDIT)
 
 
 def _beside(rows: DataFrame, audits: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col: str) -> DataFrame:
@@ -309,12 +309,12 @@ def _beside(rows: DataFrame, audits: DataFrame, conv_col: str, turn_col: str, ro
 
 def repaired_rows(rows: DataFrame, audits: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """``conv``, ``position``, ``role``, ``text`` of the repaired conversations."""
-    return _beside(rows, audits, conv_col, turn_col, role_col, text_col).mapInArrow(_apply(True), "conv long, position long, role string, text string")
+    return _beside(rows, audits, conv_col, turn_col, role_col, text_col).mapInArrow(tidy(_apply(True)), "conv long, position long, role string, text string")
 
 
 def repaired_digests(rows: DataFrame, audits: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """``conv``, ``repaired_sha256``: SHA-256 of the ``role:text`` lines, joined by newlines."""
-    return _beside(rows, audits, conv_col, turn_col, role_col, text_col).mapInArrow(_apply(False), "conv long, repaired_sha256 string")
+    return _beside(rows, audits, conv_col, turn_col, role_col, text_col).mapInArrow(tidy(_apply(False)), "conv long, repaired_sha256 string")
 
 
 def damaged(conversations: DataFrame) -> DataFrame:

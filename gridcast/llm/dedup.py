@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridcast.llm.common import shuffle_width, staged
+from gridcast.llm.common import shuffle_width, staged, tidy
 
 # Characters of the text in the range key. The digest that follows splits
 # texts with a longer common beginning, and keeps the sampled splitters small
@@ -147,7 +147,7 @@ def content_sort(
     )
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    rows = staged(ranged.mapInArrow(_runs(keep == "smallest", names, to_arrow_schema(out)), out), "content-runs")
+    rows = staged(ranged.mapInArrow(tidy(_runs(keep == "smallest", names, to_arrow_schema(out))), out), "content-runs")
     same = Window.partitionBy("edge_text")
     pick = F.min if keep == "smallest" else F.max
     # Two rows per partition at most: a bound that does not follow the rows.

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import shuffle_width, staged
+from gridcast.llm.common import shuffle_width, staged, tidy
 
 # Rows per shard and per leaf, and queries searched in one group: what one
 # task holds is a shard and a group.
@@ -202,7 +202,7 @@ def top_inner_products(df: DataFrame, id_col: str = "vec_id", vector_col: str =
     shards = vectors.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / SHARD_ROWS).cast("int").alias("shards"))
     placed = vectors.join(F.broadcast(shards), "dim").withColumn("shard", F.pmod(F.xxhash64("uid"), F.col("shards")).cast("int"))
     built = placed.select("dim", "shard", "uid", "vec_id", "v").repartition(width, "dim", "shard").sortWithinPartitions("dim", "shard")
-    built = staged(built.mapInArrow(_build(k, every), ROW), "knn-trees")
+    built = staged(built.mapInArrow(tidy(_build(k, every)), ROW), "knn-trees")
 
     trees, queries, hits = (built.where(F.col("kind") == code) for code in KINDS.values())
     # Queries in groups of bounded size; every group visits every other shard.
@@ -214,6 +214,6 @@ def top_inner_products(df: DataFrame, id_col: str = "vec_id", vector_col: str =
     )
     hosts = trees.join(F.broadcast(groups), "dim").withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).drop("groups")
     visits = asked.unionByName(hosts).repartition(width, "dim", "shard", "group").sortWithinPartitions("dim", "shard", "group", "kind")
-    found = hits.unionByName(visits.mapInArrow(_visit(k), ROW))
+    found = hits.unionByName(visits.mapInArrow(tidy(_visit(k)), ROW))
     ranked = Window.partitionBy("uid").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

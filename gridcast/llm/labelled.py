@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import hash_strings, mix, split_words, text_slices
+from gridcast.llm.common import hash_strings, mix, split_words, text_slices, tidy
 
 # Size of the hashed term space.
 TERM_BITS = 20
@@ -115,8 +115,8 @@ def fit_in_one_task(sample: DataFrame, terms: Callable, train: Callable[[list[np
             y.append(batch.column("label").to_numpy(zero_copy_only=False))
         yield pa.RecordBatch.from_arrays([pa.array([train(x, np.concatenate(y) if y else np.empty(0, np.int32))], pa.binary())], ["model"])
 
-    rows = sample.mapInArrow(featurise, "id long, label int, terms binary")
-    model = rows.repartition(1).sortWithinPartitions("id", "label").mapInArrow(fit, "model binary").first()
+    rows = sample.mapInArrow(tidy(featurise), "id long, label int, terms binary")
+    model = rows.repartition(1).sortWithinPartitions("id", "label").mapInArrow(tidy(fit), "model binary").first()
     return bytes(model["model"]) if model else train([], np.empty(0, np.int32))  # no rows, no task
 
 
@@ -132,4 +132,4 @@ def scored(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], id_col: str
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(score(batch.column("text")), pa.float64())], [*keep, "score"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in named.select(*keep).schema)
-    return named.mapInArrow(run, f"{schema}, score double")
+    return named.mapInArrow(tidy(run), f"{schema}, score double")

@@ -1,7 +1,11 @@
+import zlib
 from collections import Counter
 
+import numpy as np
+
 from tests.llm.data import documents, rows
 from tests.llm.test_mixing import brute as brute_mix
+from tests.llm.test_packing import tokenizer
 from tests.llm.test_partenum import brute as brute_join
 
 
@@ -37,6 +41,32 @@ def test_stages_against_brute_force(spark, tmp_dir):
     assert Counter(r.doc_id for r in after) == +want
     pieces = cp.STAGES[-1][1](spark, docs, tmp_dir).collect()
     assert Counter(p.doc_id for p in pieces if p.start == 0) == Counter(r.doc_id for r in docs.collect())
+    # Every token id lies in one piece, every piece in a sequence without gaps.
+    encoded = tokenizer()
+    tokens = Counter()
+    for r in docs.collect():
+        ids = encoded.encode(r.text or "", add_special_tokens=False).ids + [0]
+        tokens.update((r.doc_id, a, len(ids), tuple(ids[a : a + 1024])) for a in range(0, len(ids), 1024))
+    assert Counter((p.doc_id, p.start, p.doc_tokens, tuple(np.frombuffer(p.ids, "<u4").tolist())) for p in pieces) == tokens
+    assert all(p.ids_crc32 == zlib.crc32(p.ids) and p.length * 4 == len(p.ids) for p in pieces)
+    sequences = {}
+    for p in pieces:
+        sequences.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    for own in sequences.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    # No worse than filling one sequence after another, first fit, longest first.
+    room = []
+    for p in sorted(pieces, key=lambda p: -p.length):
+        k = next((k for k, left in enumerate(room) if left >= p.length), None)
+        if k is None:
+            room.append(1024 - p.length)
+        else:
+            room[k] -= p.length
+    assert len(sequences) <= 1.1 * len(room) + 1
 
 
 def test_run_and_registration(spark):
@@ -45,6 +75,6 @@ def test_run_and_registration(spark):
 
     assert [n for n, _ in cp.STAGES] == ["toxicity", "exact_dedup", "jaccard_join", "mixing", "packing"]
     names = set(entry.queries())
-    assert {"pipeline"} | {n.split("_")[0] for n in names if n.startswith("op")} == {"pipeline", *(f"op{i}" for i in range(1, 11))}
+    assert {"pipeline"} | {n.split("_")[0] for n in names if n.startswith("op")} == {"pipeline", *(f"op{i}" for i in range(1, 14))}
     out = entry.queries()["pipeline"](spark, "/root/testdata/sf0.001")
-    assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and out.count() > 0
+    assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"] and out.count() > 0
