@@ -3,6 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next stage's ``docs``. All but the
 last return the columns of ``documents``; the last returns the packed pieces.
+Nulls, empty and very long texts, ties, repeated rows and empty tables are taken
+as each stage's operator states them: an empty table gives no rows at any stage.
 """
 
 from __future__ import annotations
@@ -42,8 +44,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all rows in sequences of 1024 token ids."""
-    return pack(docs, byte_bpe_path(), size=1024)
+    """Pieces of all rows, with their token ids, in sequences of 1024."""
+    return pack(docs, byte_bpe_path(), size=1024, with_ids=True)
 
 
 STAGES = [
