@@ -18,53 +18,87 @@ from gridcast.llm.labelled import TERM_BITS, calibration_rows, distinct_terms, f
 
 # Labelled rows the model is fitted on, at most (about).
 SAMPLE_ROWS = 32_768
-# Terms kept: those whose chi-square with the label is significant at 0.001,
-# the strongest first.
-CHI2_LEAST, TERMS_MOST, TEXTS_LEAST = 10.83, 4096, 3
-FACTORS, EPOCHS, BATCH, RATE, L2 = 8, 40, 256, 0.1, 1e-4
+# Terms kept: those in TEXTS_LEAST rows whose chi-square with the label is significant
+# at 0.001, and those in one of PAIRED rows that tell nothing alone but together with
+# another such term, at 0.001 over all of their pairs.
+CHI2_LEAST, TEXTS_LEAST, PAIRED, LEVEL = 10.83, 3, 20, 0.001
+FACTORS, EPOCHS, BATCH, RATE, L2, SPREAD = 8, 40, 256, 0.1, 1e-4, 0.02
+# Rows and columns of one block of the pair counts.
+BLOCK = 1024
 
 
 def _terms(texts: pa.Array):
     return unigrams(*letter_words(texts))
 
 
-def _chi_square(x: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    size, n, pos = 1 << TERM_BITS, len(y), float((y == 1).sum())
-    seen = np.zeros(size)
-    hits = np.zeros(size)
-    for terms, label in zip(x, y):
-        seen[terms] += 1
-        if label == 1:
-            hits[terms] += 1
+def _chi_square(seen: np.ndarray, hits: np.ndarray, n: int, pos: int) -> np.ndarray:
+    """Of presence (in ``seen`` rows, ``hits`` of them with label 1) and label."""
+    seen, hits = seen.astype(float), hits.astype(float)
     cells = ((hits, seen * pos / n), (seen - hits, seen * (n - pos) / n), (pos - hits, (n - seen) * pos / n), (n - pos - seen + hits, (n - seen) * (n - pos) / n))
-    return seen, sum(np.divide((o - e) ** 2, e, out=np.zeros(size), where=e > 0) for o, e in cells)
+    return sum(np.divide((o - e) ** 2, e, out=np.zeros(seen.shape), where=e > 0) for o, e in cells)
 
 
-def _margin(rows: list[np.ndarray], bias: float, w: np.ndarray, v: np.ndarray) -> np.ndarray:
-    return np.array([bias + w[r].sum() + 0.5 * float((v[r].sum(0) ** 2 - (v[r] ** 2).sum(0)).sum()) for r in rows])
+def _telling_pairs(rows: list[np.ndarray], y: np.ndarray, m: int) -> np.ndarray:
+    """Which of ``m`` terms tell the label together with another of them: counts
+    of the rows that hold both, a block of terms against all others at a time."""
+    n, pos = len(y), int((y == 1).sum())
+    least = 2 * np.log(max(m, 2) ** 2 / (2 * LEVEL))  # bounds the tail of one degree of freedom from above
+    told = np.zeros(m, bool)
+    for a in range(0, m, BLOCK):
+        both = np.zeros((2, min(BLOCK, m - a), m), np.float32)
+        for r in range(0, n, BLOCK):
+            part = rows[r : r + BLOCK]
+            held = np.zeros((len(part), m), np.float32)
+            held[_flat(part)] = 1
+            own = held[:, a : a + BLOCK]
+            both[0] += own.T @ held
+            both[1] += own.T @ (held * (y[r : r + BLOCK] == 1)[:, None])
+        for i, (seen, hits) in enumerate(zip(*both)):
+            strong = (_chi_square(seen, hits, n, pos) >= least) & (seen >= TEXTS_LEAST)
+            strong[a + i] = False
+            told |= strong
+            told[a + i] |= strong.any()
+    return told
+
+
+def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, term) of every term of the rows."""
+    return np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate(rows) if rows else np.empty(0, np.int64)
+
+
+def _margin(row: np.ndarray, term: np.ndarray, n: int, bias: float, w: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Score before the link, and the factor sums of every row; ``v`` has a line per factor."""
+    sums = np.stack([np.bincount(row, line[term], n) for line in v])
+    return bias + np.bincount(row, (w - 0.5 * (v**2).sum(0))[term], n) + 0.5 * (sums**2).sum(0), sums
 
 
 def _descend(rows: list[np.ndarray], y: np.ndarray, m: int, bias: float) -> tuple[float, np.ndarray, np.ndarray]:
-    """Minibatch AdaGrad on the log loss."""
+    """Minibatch AdaGrad on the log loss; a step touches only the terms of its rows."""
     rng = np.random.default_rng(0)
-    w, v = np.zeros(m), rng.normal(0, 0.01, (m, FACTORS))
-    gb, gw, gv = 1e-2, np.full(m, 1e-2), np.full((m, FACTORS), 1e-2)
+    w, v = np.zeros(m), rng.normal(0, SPREAD, (FACTORS, m))
+    gb, gw, gv = 1e-2, np.full(m, 1e-2), np.full((FACTORS, m), 1e-2)
+    place = np.zeros(m, np.int64)
     for _ in range(EPOCHS):
         order = rng.permutation(len(y))
         for a in range(0, len(y), BATCH):
             pick = order[a : a + BATCH]
-            d = np.zeros((len(pick), m))
-            for r, p in enumerate(pick):
-                d[r, rows[p]] = 1
-            s = d @ v
-            z = bias + d @ w + 0.5 * ((s**2).sum(1) - d @ (v**2).sum(1))
+            row, term = _flat([rows[p] for p in pick])
+            seen = np.zeros(m, bool)
+            seen[term] = True
+            met = np.flatnonzero(seen)
+            place[met] = np.arange(len(met))
+            term, own_w, own_v = place[term], w[met], v[:, met]
+            z, sums = _margin(row, term, len(pick), bias, own_w, own_v)
             g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - (y[pick] == 1)) / len(pick)
-            push = d.T @ g
-            db, dw, dv = g.sum(), push + L2 * w, d.T @ (g[:, None] * s) - push[:, None] * v + L2 * v
-            gb, gw, gv = gb + db**2, gw + dw**2, gv + dv**2
+            push = np.bincount(term, g[row], len(met))
+            cross = np.stack([np.bincount(term, line[row], len(met)) for line in g * sums])
+            db, dw, dv = g.sum(), push + L2 * own_w, cross - push * own_v + L2 * own_v
+            gb += db**2
+            gw[met] += dw**2
+            gv[:, met] += dv**2
             bias -= RATE * db / np.sqrt(gb)
-            w -= RATE * dw / np.sqrt(gw)
-            v -= RATE * dv / np.sqrt(gv)
+            w[met] -= RATE * dw / np.sqrt(gw[met])
+            v[:, met] -= RATE * dv / np.sqrt(gv[:, met])
     return bias, w, v
 
 
@@ -73,11 +107,13 @@ def _fit(x: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, float, np.ndar
     n, pos = len(y), int((y == 1).sum())
     bias, terms = float(np.log((pos + 1) / (n - pos + 1))), np.empty(0, np.int64)
     if 0 < pos < n:
-        seen, chi2 = _chi_square(x, y)
-        able = np.flatnonzero((chi2 >= CHI2_LEAST) & (seen >= TEXTS_LEAST))
-        terms = np.sort(able[np.argsort(-chi2[able], kind="stable")][:TERMS_MOST])
+        row, term = _flat(x)
+        seen = np.bincount(term, minlength=1 << TERM_BITS)
+        alone = (_chi_square(seen, np.bincount(term, (y == 1)[row], 1 << TERM_BITS), n, pos) >= CHI2_LEAST) & (seen >= TEXTS_LEAST)
+        often = np.flatnonzero(~alone & (seen >= max(TEXTS_LEAST, n / PAIRED)))
+        terms = np.union1d(np.flatnonzero(alone), often[_telling_pairs(_known(often, x), y, len(often))])
     if not len(terms):
-        return terms, bias, np.empty(0), np.empty((0, FACTORS))
+        return terms, bias, np.empty(0), np.empty((FACTORS, 0))
     return terms, *_descend(_known(terms, x), y, len(terms), bias)
 
 
@@ -95,7 +131,8 @@ def train_fm(x: list[np.ndarray], y: np.ndarray) -> bytes:
     if len(np.unique(y[tested])) == 2:
         terms, bias, w, v = _fit([t for t, out in zip(x, tested) if not out], y[~tested])
         if len(terms):
-            slope, offset = platt(_margin(_known(terms, [t for t, out in zip(x, tested) if out]), bias, w, v), y[tested])
+            row, term = _flat(_known(terms, [t for t, out in zip(x, tested) if out]))
+            slope, offset = platt(_margin(row, term, int(tested.sum()), bias, w, v)[0], y[tested])
     return pickle.dumps((*_fit(x, y), slope, offset))
 
 
@@ -110,10 +147,7 @@ def fm_scorer(model: bytes):
         z = np.full(len(texts), bias)
         if known.any():
             doc, term = distinct_terms(doc[known], term[known])
-            place = np.searchsorted(terms, term)
-            z += np.bincount(doc, w[place] - 0.5 * (v[place] ** 2).sum(1), len(texts))
-            for f in range(v.shape[1]):
-                z += 0.5 * np.bincount(doc, v[place, f], len(texts)) ** 2
+            z, _ = _margin(doc, np.searchsorted(terms, term), len(texts), bias, w, v)
         return 1 / (1 + np.exp(-np.clip(slope * z + offset, -30, 30)))
 
     return score

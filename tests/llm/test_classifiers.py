@@ -1,10 +1,12 @@
+import pickle
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gridcast.llm.quality import dual_coordinate_descent, quality_scores
-from gridcast.llm.toxicity import toxicity_scores
+from gridcast.llm.toxicity import _terms, fm_scorer, toxicity_scores, train_fm
 from tests.llm.data import documents, rows, words
 
 
@@ -46,6 +48,35 @@ def test_pairs_that_single_weights_miss(spark):
     check(got, spark.createDataFrame(labels, "doc_id long, toxic int"), "toxic")
 
 
+def test_pairs_of_words_that_tell_nothing_alone(spark):
+    """Label 1 where exactly one of two words occurs: each is as frequent under both labels."""
+    rng = random.Random(2)
+    given, labels = [], []
+    for i in range(1500):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        given.append((i, " ".join(words(6, i) + ["alpha"] * a + ["omega"] * b)))
+        labels.append((i, int(a != b)))
+    got = toxicity_scores(documents(spark, given), spark.createDataFrame(labels, "doc_id long, toxic int"), threshold=0.5).collect()
+    check(got, spark.createDataFrame(labels, "doc_id long, toxic int"), "toxic")
+
+
+def test_scores_equal_a_double_loop_over_pairs():
+    rng = random.Random(3)
+    texts = [" ".join(words(20, i) + ["vile"] * (i % 3 == 0)) for i in range(300)] + ["", "nothing known"]
+    x = [np.unique(_terms(pa.array([t]))[1]) for t in texts]
+    model = train_fm(x, np.array([int(i % 3 == 0 and rng.random() < 0.9) for i in range(302)]))
+    terms, bias, w, v, slope, offset = pickle.loads(model)
+    place = {t: i for i, t in enumerate(terms.tolist())}
+    assert place
+    for t, got in zip(x, fm_scorer(model)(pa.array(texts))):
+        own = [place[k] for k in t.tolist() if k in place]
+        z = bias + sum(w[i] for i in own)
+        for k, i in enumerate(own):
+            for j in own[k + 1 :]:
+                z += sum(v[f, i] * v[f, j] for f in range(len(v)))
+        assert got == pytest.approx(1 / (1 + np.exp(-(slope * z + offset))), abs=1e-9)
+
+
 def test_quality_on_held_out_rows(spark):
     def junk(rng, text):
         text[:] = [w + rng.choice(["%%%", "###", "!!"]) for w in text]
