@@ -2,10 +2,13 @@
 
 Groups of equal texts are ordered by digest. The smallest capacity with which
 a greedy pass needs no more than the given number of shards is found by binary
-search; the greedy cuts at that capacity are the shard borders. The driver
+search. Greedy cuts would leave the last shards small, so within that capacity
+two more binary searches make the smallest shard as large as the blocks allow,
+then the largest one (but for single blocks above it) as small. The driver
 never holds a row per group: it searches over blocks of digests (one Spark
-aggregate), and only blocks in which a border can still lie are split further,
-level by level, until they are single groups.
+aggregate), and only blocks in which a greedy border can still lie are split
+further, level by level, until they are single groups; so are blocks that are
+coarse beside a shard.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from itertools import accumulate
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +26,8 @@ from gridcast.llm.common import gapless_rank, staged
 # then split 16 ** STEP ways.
 FIRST, STEP, DIGITS = 4, 2, 64
 CELLS = 64
+# A block of several groups larger than a mean shard's part of this is split.
+PARTS = 64
 
 
 def _chain(ends: list[int], capacity: int, shards: int, slack: bool) -> list[int]:
@@ -53,8 +59,9 @@ def _smallest(ends: list[int], low: int, high: int, shards: int, slack: bool) ->
 def minimax_cuts(groups: DataFrame, shards: int) -> list[str]:
     """Digests at which shards 1, 2, ... begin; ``groups``: digest, bytes (stored).
 
-    Exact: every block in which any greedy border can fall for any capacity
-    still possible is split down to single groups before the last search.
+    The capacity is exact: every block in which any greedy border can fall for
+    any capacity still possible is split down to single groups before the last
+    search. The cuts within it are the evenest ones at borders of blocks.
     """
     width = FIRST
     block = F.substring("digest", 1, width)
@@ -72,9 +79,9 @@ def minimax_cuts(groups: DataFrame, shards: int) -> list[str]:
         # and the furthest at the largest one.
         spans = list(zip(_chain_low(ends, low, shards), _chain(ends, high, shards, slack=True)))
         open_blocks = [
-            b for b, end in zip(blocks, ends) if b[3] > 1 and any(end > a and end - b[1] < z for a, z in spans)
+            b for b, end in zip(blocks, ends) if b[3] > 1 and (b[1] * shards * PARTS > total or any(end > a and end - b[1] < z for a, z in spans))
         ]
-        if low == high and not open_blocks or not open_blocks or width >= DIGITS:
+        if not open_blocks or width >= DIGITS:
             break
         width = min(DIGITS, width + STEP)
         wanted = groups.sparkSession.createDataFrame([(b[0],) for b in open_blocks], "block string")
@@ -90,8 +97,43 @@ def minimax_cuts(groups: DataFrame, shards: int) -> list[str]:
         blocks = sorted([b for b in blocks if b[0] not in split] + [(r["block"], r["bytes"], r["most"], r["n"]) for r in finer])
     ends = list(accumulate(b[1] for b in blocks))
     best = _smallest(ends, floor, total, shards, slack=False)
-    starts = {end: blocks[i + 1][0] for i, end in enumerate(ends[:-1])}
-    return [starts[c] for c in _chain(ends, best, shards, slack=False) if c in starts]
+    return [blocks[i][0] for i in _even(ends, best, shards)]
+
+
+def _reach(at: np.ndarray, shards: int, low: int, high: int, most: int) -> list[np.ndarray]:
+    """Per number of shards, the borders at which so many can end: each holds
+    ``low`` to ``high`` bytes, or is one block of ``low`` to ``most``."""
+    first, last = np.searchsorted(at, at - high, "left"), np.searchsorted(at, at - low, "right")
+    single = np.diff(at)
+    alone = (single >= low) & (single <= most)
+    found = [np.arange(len(at)) == 0]
+    for _ in range(shards):
+        before = np.concatenate([[0], np.cumsum(found[-1])])
+        here = before[np.maximum(first, last)] > before[first]
+        here[1:] |= alone & found[-1][:-1]
+        found.append(here)
+    return found
+
+
+def _even(ends: list[int], capacity: int, shards: int) -> list[int]:
+    """First blocks of shards 1, 2, ...: none is empty (with fewer blocks than
+    shards, the last shards are left out)."""
+    at, shards = np.array([0, *ends], np.int64), min(shards, len(ends))
+    low, high = 1, ends[-1] // shards
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if _reach(at, shards, mid, capacity, capacity)[-1][-1] else (low, mid - 1)
+    least, most = low, capacity
+    while least < most:
+        mid = (least + most) // 2
+        least, most = (least, mid) if _reach(at, shards, low, mid, capacity)[-1][-1] else (mid + 1, most)
+    found, cuts, i = _reach(at, shards, low, most, capacity), [], len(ends)
+    for j in range(shards - 1, 0, -1):
+        size = at[i] - at[:i]
+        able = np.flatnonzero(found[j][:i] & (((size >= low) & (size <= most)) | ((np.arange(i) == i - 1) & (size >= low) & (size <= capacity))))
+        i = int(able[np.argmin(np.abs(at[able] * (j + 1) - at[i] * j))])
+        cuts.append(i)
+    return cuts[::-1]
 
 
 def _chain_low(ends: list[int], capacity: int, shards: int) -> list[int]:

@@ -1,10 +1,12 @@
 import hashlib
+import random
 import zlib
 from collections import defaultdict
+from itertools import accumulate, combinations
 
 from gridcast.llm import sharding
-from gridcast.llm.sharding import minimax_cuts, shard_rows
-from tests.llm.data import documents, rows
+from gridcast.llm.sharding import _even, minimax_cuts, shard_rows
+from tests.llm.data import documents, rows, words
 
 
 def greedy(sizes, capacity):
@@ -58,6 +60,42 @@ def test_one_hot_group_and_empty_table(spark):
     assert shard_rows(documents(spark, [])).count() == 0
 
 
+def most_even(sizes, shards, capacity):
+    """Largest smallest shard, and with it the smallest largest one beside single groups, over all partitions within the capacity."""
+    found = []
+    for cuts in combinations(range(1, len(sizes)), shards - 1):
+        parts = [sizes[a:z] for a, z in zip((0, *cuts), (*cuts, len(sizes)))]
+        if max(map(sum, parts)) <= capacity:
+            found.append((min(map(sum, parts)), [sum(p) for p in parts if len(p) > 1], parts))
+    low = max(f[0] for f in found)
+    return low, min(max([low, *f[1]]) for f in found if f[0] == low)
+
+
+def test_cuts_are_the_evenest_within_the_capacity():
+    rng = random.Random(4)
+    for _ in range(60):
+        sizes = [rng.choice([rng.randrange(1, 9), rng.randrange(1, 60)]) for _ in range(rng.randrange(3, 11))]
+        shards = rng.randrange(1, len(sizes) + 1)
+        capacity = smallest(sizes, shards)
+        cuts = _even(list(accumulate(sizes)), capacity, shards)
+        parts = [sizes[a:z] for a, z in zip((0, *cuts), (*cuts, len(sizes)))]
+        low, most = most_even(sizes, shards, capacity)
+        assert len(parts) == shards and max(map(sum, parts)) == capacity
+        assert min(map(sum, parts)) == low and max([low, *(sum(p) for p in parts if len(p) > 1)]) <= max(low, most)
+    assert _even([5, 9], 5, 6) == [1]
+
+
+def test_a_hot_text_leaves_no_shard_empty(spark):
+    given = [(i, "same" * 9) for i in range(400)] + [(1000 + i, " ".join(words(6, i))) for i in range(800)]
+    got = shard_rows(documents(spark, given), shards=40).collect()
+    sums = defaultdict(int)
+    for r in got:
+        sums[r.shard] += r["size"]
+    rest = sorted(sums.values())[:-1]
+    assert sorted(sums) == list(range(40)) and max(sums.values()) == 400 * 52
+    assert rest[-1] < 1.25 * rest[0]
+
+
 def test_cuts_of_known_sizes(spark):
     groups = spark.createDataFrame([(f"{i:064x}", s) for i, s in enumerate([7, 2, 5, 10, 8])], "digest string, bytes long")
     assert [int(c, 16) for c in minimax_cuts(groups, 2)] == [3]
