@@ -3,13 +3,17 @@
 Base spans are exact format matches (e-mail, IP, card with a valid check sum,
 phone). Broader generators propose further spans: spelled-out or bracketed
 e-mail and IP separators, digit groups without a plus or a valid check sum.
-Boosted trees on format and context features score the proposals. Their labels
-are weak: 1 for a proposal that meets a base span of its kind, 0 for one that
-meets a base match whose check fails or a base span of another kind; what meets
-neither is unlabelled, and counts as 0 with a part of the weight. Per kind, the
-lowest score from which the proposals the trees were not fitted on (all of
-them) reach the wanted precision is the threshold above which a proposal is
-added. Base spans always stay.
+Boosted trees on format and context features score the proposals. They learn
+what a base span would look like in the wider formats: each base span is
+rewritten into one of them, in its own context, with label 1; a base match whose
+check fails is rewritten likewise, with label 0, and so counts a proposal that
+meets one, or a base span of another kind. Proposals that meet no base match are
+unlabelled: they count as 0, with at most a tenth of the weight of the positives
+of their kind together, however many they are. Equal ones in equal context count once, so
+copies change nothing. A threshold per kind, at least even odds, is the lowest score from which
+the labelled rows that the trees were not fitted on reach the wanted precision;
+unlabelled proposals above it are added. A kind without base spans adds none.
+Base spans always stay.
 """
 
 from __future__ import annotations
@@ -57,15 +61,25 @@ NEEDS = {
 }
 BEFORE, AFTER = 24, 16
 
-# Proposals the trees are fitted on, at most (about), as many of each kind;
+# Rows the trees are fitted on, at most (about), as many of each kind and class;
 # and the size of the trees.
-SAMPLE_ROWS, TREES, DEPTH, LEAF = 20_000, 12, 3, 10
-# Weight of an unlabelled proposal beside a labelled one.
-UNLABELLED = 0.5
-# One proposal in so many is never fitted on, nor is what the sample leaves out:
-# these set the thresholds. The precision asked of an added span there, and the
-# proposals it must rest on.
-CALIBRATE, PRECISION, SUPPORT, BINS = 4, 0.98, 20, 1000
+SAMPLE_ROWS, TREES, DEPTH, LEAF = 20_000, 12, 4, 5
+# Weight of a kind's unlabelled proposals together, at most, in proportion where they
+# are fewer than its positives; positives, and negatives, have 1.
+UNLABELLED = 0.1
+# One row in so many is never fitted on, nor is what the sample leaves out: these
+# set the thresholds. The precision asked of an added span there.
+CALIBRATE, PRECISION, BINS = 4, 0.98, 1000
+POSITIVE, NEGATIVE, OPEN = 1, 0, 2
+# How base spans are rewritten: what stands for the at sign and the dots of an
+# address, between the parts of an IP, the groups of a card, those of a phone number.
+REWRITE = {
+    "at": (" at ", " [at] ", "[at]", "(at)", " (at) ", "@"),
+    "dot": (" dot ", " [dot] ", "[dot]", "(dot)", " (dot) ", "."),
+    "point": ("[.]", " . ", ". ", " ."),
+    "group": (".", "/", " - ", "  ", "-", " "),
+    "space": ("", ".", " ", "-"),
+}
 
 
 def _let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -131,6 +145,25 @@ def valid(kind: Column, match: Column) -> Column:
     )
 
 
+def rewritten(kind: Column, match: Column) -> Column:
+    """A base match in a wider format, picked by its own hash."""
+    pick = lambda name, salt: F.get(F.array(*[F.lit(w) for w in REWRITE[name]]), F.pmod(F.xxhash64(match, F.lit(salt)), F.lit(len(REWRITE[name]))).cast("int"))
+    local, host = F.substring_index(match, "@", 1), F.substring_index(match, "@", -1)
+    bare = F.ltrim(F.regexp_replace(match, r"\+", ""))
+    between = pick("space", 1)
+    return (
+        F.when(kind == 0, F.concat(local, pick("at", 1), F.replace(host, F.lit("."), pick("dot", 2))))
+        .when(kind == 1, F.replace(match, F.lit("."), pick("point", 1)))
+        .when(kind == 2, F.regexp_replace(_digits(match), F.lit("([0-9]{4})(?=[0-9])"), F.concat(F.lit("$1"), pick("group", 1))))
+        .otherwise(F.when(between == "", bare).otherwise(F.regexp_replace(bare, F.lit("[^0-9]+"), between)))
+    )
+
+
+def proposed(kind: Column, match: Column) -> Column:
+    """Whether all of ``match`` is in its kind's wider format."""
+    return reduce(lambda other, i: F.when(kind == i, match.rlike(r"\A(?:" + BROAD[KINDS[i]] + r")\z")).otherwise(other), range(len(KINDS)), F.lit(False))
+
+
 CONTEXT = {
     "says_phone": r"(?i)phone|tel|call|mobile|fax",
     "says_card": r"(?i)card|visa|credit|account|iban",
@@ -141,22 +174,23 @@ CONTEXT = {
 
 
 def features() -> dict[str, Column]:
-    """Format and context of a proposal; none of them is a base check."""
+    """Format and context of a proposal, and whether its digits make sense as its
+    kind. What stands between the parts is not told: a corpus has ways to write
+    it that no rewriting thinks of."""
     m, before, after = F.col("match"), F.col("before"), F.col("after")
-    count = lambda pattern: F.regexp_count(m, F.lit(pattern))
+    address = F.regexp_replace(F.regexp_replace(m, "(?i)" + _AT, "@"), "(?i)" + _DOT, ".")
+    plain = F.when(F.col("kind") == 0, address).when(F.col("kind") == 1, F.regexp_replace(m, "[^0-9]+", ".")).otherwise(m)
+    count = lambda pattern: F.regexp_count(plain, F.lit(pattern))
     edge = lambda c: F.when(F.length(c) == 0, 0).when(c.rlike(r"\A\s\z"), 1).when(c.rlike(r"\A\p{L}\z"), 2).when(c.rlike(r"\A[0-9]\z"), 3).otherwise(4)
     given = {
         "kind": F.col("kind"),
-        "length": F.length(m),
+        "sense": valid(F.col("kind"), plain),
         "digits": count("[0-9]"),
         "letters": count("[A-Za-z]"),
-        "blanks": count(r"\x20"),
-        "dashes": count("-"),
-        "dots": count(r"\."),
-        "signs": count("[@+()]"),
-        "groups": count("[0-9]+"),
-        "first_digit": F.coalesce(F.regexp_extract(m, "[0-9]", 0).try_cast("int"), F.lit(-1)),
-        "first_group": F.length(F.regexp_extract(m, "[0-9]+", 0)),
+        "groups": count("[A-Za-z0-9]+"),
+        "first_digit": F.coalesce(F.regexp_extract(plain, "[0-9]", 0).try_cast("int"), F.lit(-1)),
+        "first_group": F.length(F.regexp_extract(plain, "[A-Za-z0-9]+", 0)),
+        "last_group": F.length(F.regexp_extract(plain, r"[A-Za-z0-9]+\z", 0)),
         "left": edge(F.right(before, F.lit(1))),
         "right": edge(F.left(after, F.lit(1))),
         **{name: before.rlike(pattern) for name, pattern in CONTEXT.items()},
@@ -165,41 +199,59 @@ def features() -> dict[str, Column]:
 
 
 def _thresholds(scored: DataFrame) -> dict[int, float]:
-    """Per kind the lowest score bin from which the held-out proposals reach PRECISION."""
-    bins = scored.groupBy("kind", F.floor(F.col("p") * BINS).alias("bin")).agg(F.sum(F.col("label") * F.col("weight")).alias("hits"), F.sum("weight").alias("n")).collect()
+    """Per kind the lowest score bin, from even odds on, above which its labelled rows keep PRECISION."""
+    bins = scored.where(F.col("class") != OPEN).groupBy("kind", "class", F.floor(F.col("p") * BINS).alias("bin")).count().collect()  # at most a row per kind, class and bin
     chosen: dict[int, float] = {}
     for kind in range(len(KINDS)):
-        hits = n = 0
-        for row in sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["bin"]):  # at most BINS + 1 rows
-            hits, n = hits + row["hits"], n + row["n"]
-            if n >= SUPPORT and hits >= PRECISION * n:
-                chosen[kind] = row["bin"] / BINS
+        own = [r for r in bins if r["kind"] == kind]
+        of = {c: sum(r["count"] for r in own if r["class"] == c) for c in (POSITIVE, NEGATIVE)}
+        right = wrong = 0.0
+        least = BINS // 2
+        for row in sorted((r for r in own if 2 * r["bin"] >= BINS), key=lambda r: (-r["bin"], -r["class"])):
+            if row["class"] == POSITIVE:
+                right += row["count"] / of[POSITIVE]
+            else:
+                wrong += row["count"] / of[NEGATIVE]
+                if right < PRECISION * (right + wrong):  # from here down it is not precise enough
+                    least = row["bin"] + 1
+                    break
+        chosen[kind] = least / BINS
     return chosen
 
 
-def added_spans(proposals: DataFrame) -> DataFrame:
-    """Proposals (with their features and label) the calibrated trees accept."""
+def added_spans(rows: DataFrame) -> DataFrame:
+    """Open proposals the calibrated trees accept; ``rows``: proposals and rewritten
+    base matches with their features and class."""
     names = list(features())
-    sizes = {r["kind_id"]: r["count"] for r in proposals.groupBy("kind_id").count().collect()}  # a row per kind
-    draw = F.pmod(F.xxhash64("uid", "kind", "start"), F.lit(1 << 20))
-    share = lambda n: int(min(1.0, SAMPLE_ROWS / len(sizes) / n) * (1 << 20))
-    drawn = reduce(lambda a, b: a | b, [(F.col("kind_id") == kind) & (draw < share(n)) for kind, n in sizes.items()], F.lit(False))
-    fitted = drawn & (F.pmod(F.xxhash64("start", "uid", "kind"), F.lit(CALIBRATE)) > 0)
+    kinds = rows.where(F.col("class") == POSITIVE).select("kind_id").distinct().collect()  # a row per kind
+    none = rows.limit(0).select("uid", "kind_id", "start", "stop")
+    if not kinds:
+        return none
+    able = rows.where(F.col("kind_id").isin([r["kind_id"] for r in kinds]))
+    different = staged(able.groupBy("class", F.col("key").alias("draw"), *names).agg(F.count(F.lit(1)).alias("copies")), "pii-different")
+    sizes = {(r["kind"], r["class"]): r["count"] for r in different.groupBy("kind", "class").count().collect()}  # a row per kind and class
+    share = lambda n: min(1.0, SAMPLE_ROWS / len(sizes) / n)
+    of = lambda value: reduce(lambda other, k: F.when((F.col("kind") == k[0]) & (F.col("class") == k[1]), value(k)).otherwise(other), sizes, F.lit(0.0))
+    drawn = F.pmod(F.col("draw"), F.lit(1 << 20)) < of(lambda k: F.lit(share(sizes[k]) * (1 << 20)))
+    fitted = drawn & (F.pmod(F.shiftrightunsigned("draw", 20), F.lit(CALIBRATE)) > 0)
+    beside = lambda k: UNLABELLED * min(1.0, sizes[k] / sizes.get((k[0], POSITIVE), sizes[k])) if k[1] == OPEN else 1.0
+    total = lambda k: beside(k) * SAMPLE_ROWS / len(sizes)
+    weight = of(lambda k: F.lit(total(k) / (sizes[k] * share(sizes[k]))))
     row = VectorAssembler(inputCols=names, outputCol="x")
-    # The sample is bounded: a few partitions keep the tree jobs short.
-    sample = staged(row.transform(proposals.where(fitted)).select("kind_id", "label", "weight", "x").coalesce(2), "pii-sample")
+    # The sample is bounded: a few partitions keep the tree jobs short. Its order, and so the trees, come from the rows.
+    sample = row.transform(different.where(fitted)).select("draw", (F.col("class") == POSITIVE).cast("int").alias("label"), weight.alias("weight"), "x")
+    sample = staged(sample.repartition(2, "draw").sortWithinPartitions("draw").drop("draw"), "pii-sample")
     classes = sample.agg(F.min("label"), F.max("label")).first()
     if classes[0] is None or classes[0] == classes[1]:
-        return proposals.limit(0).select("uid", "kind_id", "start", "stop")
+        return none
     model = GBTClassifier(featuresCol="x", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, minInstancesPerNode=LEAF, stepSize=0.3, seed=0).fit(sample)
 
-    scored = model.transform(row.transform(proposals)).withColumn("p", vector_to_array("probability")[1])
-    scored = staged(scored.select("uid", "kind_id", "start", "stop", "label", "weight", "p", fitted.alias("fitted")), "pii-scored")
-    limits = _thresholds(scored.where("NOT fitted").withColumnRenamed("kind_id", "kind"))
+    score = lambda df: model.transform(row.transform(df)).withColumn("p", vector_to_array("probability")[1])
+    limits = _thresholds(score(different.where(~fitted)))
     if not limits:
-        return proposals.limit(0).select("uid", "kind_id", "start", "stop")
+        return none
     accepted = reduce(lambda a, b: a | b, [(F.col("kind_id") == kind) & (F.floor(F.col("p") * BINS) / BINS >= least) for kind, least in limits.items()])
-    return scored.where("label = 0").where(accepted).select("uid", "kind_id", "start", "stop")
+    return score(able.where(F.col("class") == OPEN)).where(accepted).select("uid", "kind_id", "start", "stop")
 
 
 def find_personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -228,15 +280,20 @@ def find_personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         onward = F.min(F.when(those, F.col("start"))).over(by_start.rowsBetween(Window.currentRow, Window.unboundedFollowing))
         return F.coalesce(upto > F.col("start"), F.lit(False)) | F.coalesce(onward < F.col("stop"), F.lit(False))
 
-    good, failed = F.col("good"), F.col("base") & ~F.col("good")
+    good = F.col("good")
+    # Any two digits match the card's base pattern: what has fewer than a card's says nothing.
+    failed = F.col("base") & ~good & ((F.col("kind_id") != 2) | (F.length(_digits(F.col("match"))) >= 13))
     rows = rows.withColumn("hit", meets(good, ["uid", "kind_id"])).withColumn("miss", meets(failed, ["uid", "kind_id"])).withColumn("any", meets(good, ["uid"]))
-    label, told = F.col("hit").cast("int").alias("label"), F.col("hit") | F.col("miss") | F.col("any")
-    weight = F.when(told, 1.0).otherwise(UNLABELLED).alias("weight")
-    rows = rows.where(good | ~F.col("base")).withColumn("kind", F.col("kind_id"))
-    rows = staged(rows.select("uid", "kind_id", "base", "start", "stop", label, weight, *features().values()), "pii-spans")
-
-    base = rows.where("base").select("uid", "kind_id", "start", "stop", F.lit(True).alias("base"))
-    added = added_spans(rows.where("NOT base")).withColumn("base", F.lit(False))
+    rows = staged(rows.where(F.col("good") | failed | ~F.col("base")), "pii-matches")
+    kind, own = F.col("kind_id").alias("kind"), ["uid", "kind_id", "start", "stop"]
+    learned = rows.where("base").select(*own, kind, rewritten(F.col("kind_id"), F.col("match")).alias("match"), "before", "after", F.when(good, POSITIVE).otherwise(NEGATIVE).alias("class"))
+    learned = learned.where(proposed(F.col("kind"), F.col("match")))
+    real = rows.where("NOT base AND NOT hit").select(*own, kind, "match", "before", "after", F.when(F.col("miss") | F.col("any"), NEGATIVE).otherwise(OPEN).alias("class"))
+    key = F.xxhash64("class", "kind", "match", "before", "after").alias("key")
+    proposals = staged(learned.unionByName(real).select(*own, "class", key, *features().values()), "pii-spans")
+
+    base = rows.where("good").select(*own, F.lit(True).alias("base"))
+    added = added_spans(proposals).withColumn("base", F.lit(False))
     listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", F.get(F.array(*[F.lit(k) for k in KINDS]), s["kind_id"]), s["start"], s["stop"])), ",")
     per_doc = base.unionByName(added).groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("kind_id", "start", "stop", "base"))).alias("all"))
     per_doc = per_doc.withColumn("kept", F.filter("all", lambda s: s["base"]))

@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from gridcast.llm import pii
@@ -75,6 +76,31 @@ def test_a_rare_kind_has_its_threshold_from_all_proposals(spark, monkeypatch):
     assert not any(got[i].spans for i in range(250))
 
 
+def card(n):
+    head = f"4{n:014d}"
+    return head + next(str(c) for c in range(10) if luhn(head + str(c)))
+
+
+@pytest.mark.parametrize("planted", [60, 3000])
+def test_planted_spans_are_added_however_many_and_look_alikes_left(spark, planted):
+    plain = ["write to u{0}@host{1}.example.com today", "the server at 10.{1}.7.{1} went down", "my card {2} was lost", "call +49 30 {3} now"]
+    wider = ["write to u{0} [at] host{1} dot example dot com today", "the server at 10[.]{1}[.]8[.]{1} went down", "my card {4} was lost", "call 49 30 {3} now"]
+    clean = ["version {0} . 400 . 7 . 999 of it", "order {5} is late", "it looks at nothing in {1} of {0} parts", "built 2024-01-{1}"]
+    bad = lambda n: card(n)[:-1] + str((int(card(n)[-1]) + 1) % 10)
+    fill = lambda t, n: t.format(n, n % 90 + 10, card(7919 * n), 5550000 + n, "/".join(card(104729 * n)[k : k + 4] for k in range(0, 16, 4)), "/".join(bad(n)[k : k + 4] for k in range(0, 16, 4)))
+    given = [(n, fill(plain[n % 4], n)) for n in range(1200)]
+    given += [(10_000 + n, fill(wider[n % 4], n)) for n in range(planted)]
+    given += [(20_000 + n, fill(clean[n % 4], n)) for n in range(800)]
+    got = check(spark, given)
+    for k, kind in enumerate(pii.KINDS):
+        found = [kind in got[10_000 + n].spans for n in range(planted) if n % 4 == k]
+        assert sum(found) >= 0.9 * len(found), kind
+    assert sum(got[20_000 + n].spans != "" for n in range(800)) <= 8
+    if planted == 60:
+        again = find_personal_data(documents(spark, given[::-1], partitions=7)).collect()
+        assert {r.doc_id: r.spans for r in again} == {i: r.spans for i, r in got.items()}
+
+
 def test_the_cheap_test_drops_no_match(spark, monkeypatch):
     given = ["write to jane at example.com", "jane at example[dot]com", "jane AT example dot com", "jane [at] example.com", "jane(at)example(dot)com", "jane@example dot com", "a@b.c"]
     given += ["8[.]8[.]8[.]8", "1 . 1 . 1 . 1", "1. 2. 3. 4", "1 .2 .3 .4", "1.2.3.4", "1[.]1.1 .1", "+1 (234) 555-1234", "4111/1111 - 1111.1111", "at a. b", ""]
