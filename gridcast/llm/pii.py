@@ -188,7 +188,8 @@ def features() -> dict[str, Column]:
         "digits": count("[0-9]"),
         "letters": count("[A-Za-z]"),
         "groups": count("[A-Za-z0-9]+"),
-        "first_digit": F.coalesce(F.regexp_extract(plain, "[0-9]", 0).try_cast("int"), F.lit(-1)),
+        # Issuers and countries have their first digits; in an address they say nothing.
+        "first_digit": F.when(F.col("kind") >= 2, F.regexp_extract(plain, "[0-9]", 0).try_cast("int")).otherwise(-1),
         "first_group": F.length(F.regexp_extract(plain, "[A-Za-z0-9]+", 0)),
         "last_group": F.length(F.regexp_extract(plain, r"[A-Za-z0-9]+\z", 0)),
         "left": edge(F.right(before, F.lit(1))),
