@@ -72,10 +72,11 @@ def windows(hashes: Column) -> Column:
 
 
 def band_values(df: DataFrame, hashes: list[Column]) -> DataFrame:
-    """``df`` once per band, with ``value``: the least hash of its shingles (null: none)
-    under the band's hash function, which the band's number seeds."""
+    """``df`` once per band, with ``value``: the least hash of its shingles under the
+    band's hash function, which the band's number seeds. The first shingle is
+    never null; a null one counts as the first again."""
     per_band = df.withColumn("band", F.explode(F.array(*[F.lit(b) for b in range(BANDS)])))
-    return per_band.withColumn("value", F.least(*[F.when(h.isNotNull(), F.xxhash64(h, F.col("band"))) for h in hashes])).drop("band")
+    return per_band.withColumn("value", F.least(*[F.xxhash64(F.coalesce(h, hashes[0]), F.col("band")) for h in hashes])).drop("band")
 
 
 def _plain(text: str) -> list[str]:
@@ -114,7 +115,7 @@ def template_bands(spark: SparkSession, templates: list[tuple[str, str]]) -> Dat
     rows = spark.createDataFrame(template_rows(templates), "template int, license string, text string, phrases array<struct<bit:int,words:string>>")
     runs = rows.select(shingle_hashes(word_list(F.col("text"))).alias("h"), F.explode(F.sequence(F.lit(1), F.lit(STEP))).alias("n"))
     runs = runs.select("h", "n", F.explode(F.sequence(F.lit(0), F.size("h") - 1)).alias("at"))
-    return band_values(runs, [F.when(F.col("n") > j, F.get("h", F.col("at") + j)) for j in range(STEP)]).select("value").where("value IS NOT NULL").distinct()
+    return band_values(runs, [F.when(F.col("n") > j, F.get("h", F.col("at") + j)) for j in range(STEP)]).select("value").distinct()
 
 
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] | None = None, percent: int = 80) -> DataFrame:
