@@ -1,9 +1,12 @@
 """Exact top-k inner products with one KD-tree per shard.
 
-Vectors are dealt to shards by a hash of the row; each shard's tree is built
-once (median splits of the widest component, tight boxes) and stored. A query
-first searches its own shard, best box first; its k-th score then travels with
-it to all other shards, where boxes whose bound cannot beat it are skipped.
+Shards are regions of space: median splits of a bounded sample give cells, and
+a cell of more rows than a shard holds is dealt to shards by a hash. Each
+shard's tree is built once (median splits of the widest component, tight boxes)
+and stored. A query first searches its own shard, best box first. Its k-th
+score and the other shards' root boxes then tell which shards can hold better
+rows; only those pairs of query and shard are sent on, in two waves: the few
+shards of the best bounds, and, with the k-th score these gave, what is left.
 """
 
 from __future__ import annotations
@@ -22,6 +25,53 @@ from gridcast.llm.common import shuffle_width, staged, tidy
 # Rows per shard and per leaf, and queries searched in one group: what one
 # task holds is a shard and a group.
 SHARD_ROWS, LEAF_ROWS, GROUP_QUERIES = 8192, 256, 2048
+# Rows the cells are drawn from and cells at most (the driver holds these), root
+# boxes in one block, and shards a query visits in the first wave.
+SAMPLE_ROWS, CELLS, BOX_BLOCK, FIRST_WAVE = 16384, 1024, 1024, 4
+
+
+def box_bounds(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Largest inner product that each query can have inside each box."""
+    return np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
+
+
+def product_kind(q: np.ndarray, largest: float) -> type:
+    """float64 products are exact below 2**53; larger values stay integers."""
+    return np.float64 if largest * float(np.abs(q).max(initial=0)) * q.shape[1] < 2**53 else np.int64
+
+
+class Cells:
+    """Up to ``cells`` regions of space by median splits of a sample, each along the
+    widest component. Nodes are (axis, threshold, below, above); a cell has axis
+    -1 and its number in place of ``below``."""
+
+    def __init__(self, sample: np.ndarray, cells: int):
+        nodes, self.count = [], 0
+        wait = [(sample, cells, -1, 0)]
+        while wait:
+            here, most, parent, side = wait.pop()
+            if parent >= 0:
+                nodes[parent][2 + side] = len(nodes)
+            if most < 2 or len(here) < 2 or (here == here[0]).all():
+                nodes.append([-1, 0, self.count, -1])
+                self.count += 1
+                continue
+            axis = int(np.argmax(here.max(0) - here.min(0)))
+            values = np.sort(here[:, axis])
+            middle = values[len(values) // 2]
+            cut = middle if middle > values[0] else values[values > values[0]][0]
+            above = here[:, axis] >= cut
+            me = len(nodes)
+            nodes.append([axis, int(cut), -1, -1])
+            wait += [(here[above], most // 2, me, 1), (here[~above], most - most // 2, me, 0)]
+        self.nodes = np.array(nodes, np.int64)
+
+    def of(self, vectors: np.ndarray) -> np.ndarray:
+        at = np.zeros(len(vectors), np.int64)
+        while len(go := np.flatnonzero(self.nodes[at, 0] >= 0)):
+            node = self.nodes[at[go]]
+            at[go] = np.where(vectors[go, node[:, 0]] >= node[:, 1], node[:, 3], node[:, 2])
+        return self.nodes[at, 2]
 
 
 class Tree:
@@ -57,11 +107,9 @@ class Tree:
         """For each query (scores, ids) of its k best rows here that are not worse
         than ``floor``, a (score, id) already reached k times elsewhere. Ties go
         to the smaller id; the row whose uid is ``own`` is left out."""
-        # float64 products are exact below 2**53; larger values stay integers.
-        exact = self.largest * float(np.abs(queries).max(initial=0)) * queries.shape[1] < 2**53
-        kind = np.float64 if exact else np.int64
+        kind = product_kind(queries, self.largest)
         rows, q, lo, hi = (x.astype(kind) for x in (self.vectors, queries, self.low, self.high))
-        bounds = np.maximum(q, 0) @ hi.T + np.minimum(q, 0) @ lo.T
+        bounds = box_bounds(q, lo, hi)
         for i in range(len(q)):
             scores, ids = np.empty(0, np.int64), np.empty(0, np.int64)
             worst = floor[i]
@@ -94,12 +142,12 @@ class Tree:
             yield i, scores, ids
 
 
-ROW = "kind int, shard int, dim int, uid long, query_id long, vec_id long, score long, data binary"
-KINDS = {"tree": 0, "query": 1, "hit": 2}
+ROW = "kind int, shard int, dim int, uid long, query_id long, vec_id long, score long, bound long, data binary"
+KINDS = {"tree": 0, "query": 1, "hit": 2, "box": -1}
 
 
 def _rows(kind: str, n: int, **given) -> pa.RecordBatch:
-    names = {"shard": pa.int32(), "dim": pa.int32(), "uid": pa.int64(), "query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64(), "data": pa.binary()}
+    names = {"shard": pa.int32(), "dim": pa.int32(), "uid": pa.int64(), "query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64(), "bound": pa.int64(), "data": pa.binary()}
     cols = [pa.array([KINDS[kind]] * n, pa.int32())]
     cols += [pa.array(given[c], t) if c in given else pa.nulls(n, t) for c, t in names.items()]
     return pa.RecordBatch.from_arrays(cols, ["kind", *names])
@@ -113,7 +161,7 @@ def _hits(found, uids, query_ids) -> Iterator[pa.RecordBatch]:
 
 
 def _build(k: int, every: int):
-    """Rows sorted by (dim, shard): the tree of each shard, its own queries' best
+    """Rows sorted by (dim, shard): the tree and root box of each shard, its own queries' best
     rows in it, and those queries with their k-th (score, id) so far."""
 
     def shard_rows(key, parts) -> Iterator[pa.RecordBatch]:
@@ -121,6 +169,7 @@ def _build(k: int, every: int):
         ids, uids, vectors = (np.concatenate(x) for x in zip(*parts))
         tree = Tree(ids, uids, vectors)
         yield _rows("tree", 1, shard=[shard], dim=[dim], data=[pickle.dumps(tree)])
+        yield _rows("box", 1, shard=[shard], dim=[dim], data=[np.concatenate([tree.low[0], tree.high[0]]).astype(np.int64).tobytes()])
         asked = np.flatnonzero(ids % every == 0)
         if not len(asked):
             return
@@ -177,6 +226,44 @@ def _visit(k: int):
     return run
 
 
+def _prune():
+    """Rows sorted by (dim, block, group) with the root boxes first in each group:
+    each query once per shard whose box may hold a row that is not worse than its
+    k-th so far, with that bound; its own shard is left out."""
+
+    def pairs(shards, boxes, asked) -> Iterator[pa.RecordBatch]:
+        homes, uids, query_ids, last, scores, dims, data = zip(*asked)
+        q = np.array([np.frombuffer(d, np.int64) for d in data])
+        low, high = np.split(np.array(boxes), 2, axis=1)
+        kind = product_kind(q, float(max(abs(low.min()), abs(high.max()))))
+        bounds = box_bounds(q.astype(kind), low.astype(kind), high.astype(kind)).astype(np.int64)
+        for i, found in enumerate(bounds):
+            able = np.array(shards) != homes[i]
+            if scores[i] is not None:
+                able &= found >= scores[i]
+            if n := int(able.sum()):
+                yield _rows("query", n, shard=np.array(shards)[able], dim=[dims[i]] * n, uid=[uids[i]] * n, query_id=[query_ids[i]] * n, vec_id=[last[i]] * n, score=[scores[i]] * n, bound=found[able], data=[data[i]] * n)
+
+    def run(batches):
+        key, shards, boxes, asked = None, [], [], []
+        names = ("kind", "dim", "block", "group", "shard", "uid", "query_id", "vec_id", "score", "data")
+        for batch in batches:
+            for kind, dim, block, group, shard, uid, query_id, vec_id, score, data in zip(*(batch.column(c).to_pylist() for c in names)):
+                if (dim, block, group) != key:
+                    if asked:
+                        yield from pairs(shards, boxes, asked)
+                    key, shards, boxes, asked = (dim, block, group), [], [], []
+                if kind == KINDS["box"]:
+                    shards.append(shard)
+                    boxes.append(np.frombuffer(data, np.int64))
+                else:
+                    asked.append((shard, uid, query_id, vec_id, score, dim, data))
+        if asked:
+            yield from pairs(shards, boxes, asked)
+
+    return run
+
+
 def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """vec_id, v: floor(scale * component); rows with a null id, vector or
     component, or a component that is not finite, are left out."""
@@ -185,6 +272,77 @@ def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int) ->
     return df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & whole).select(F.col(id_col).cast("long").alias("vec_id"), scaled.alias("v"))
 
 
+def space_cells(vectors: DataFrame) -> dict[int, Cells]:
+    """Per vector length with more rows than a shard, cells from a sample of about
+    SAMPLE_ROWS of all rows."""
+    sizes = {r["dim"]: r["n"] for r in vectors.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per length
+    large = {dim: n for dim, n in sizes.items() if n > SHARD_ROWS}
+    if not large:
+        return {}
+    share = min(1.0, SAMPLE_ROWS / sum(large.values()))
+    drawn = F.pmod(F.xxhash64("uid", F.lit("cells")), F.lit(1 << 30)) < int(share * (1 << 30))
+    sample = vectors.where(F.col("dim").isin(*large) & drawn).select("dim", "v").collect()
+    rows = {dim: np.array([r["v"] for r in sample if r["dim"] == dim], np.int64) for dim in large}
+    return {dim: Cells(rows[dim], min(CELLS, -(-n // SHARD_ROWS))) for dim, n in large.items() if len(rows[dim])}
+
+
+def place_in_cells(vectors: DataFrame, cells: dict[int, Cells]) -> DataFrame:
+    """``vectors`` with the number of their cell (0 where a length has one cell)."""
+
+    def run(batches):
+        for batch in batches:
+            dims = batch.column("dim").to_numpy()
+            starts = batch.column("v").offsets.to_numpy()[:-1]
+            values = batch.column("v").values.to_numpy()
+            cell = np.zeros(len(dims), np.int32)
+            for dim in np.unique(dims):
+                if int(dim) in cells:
+                    mine = np.flatnonzero(dims == dim)
+                    cell[mine] = cells[int(dim)].of(values[starts[mine][:, None] + np.arange(dim)])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("uid", "vec_id", "dim", "v")), pa.array(cell)], ["uid", "vec_id", "dim", "v", "cell"])
+
+    return vectors.select("uid", "vec_id", "dim", "v").mapInArrow(tidy(run), "uid long, vec_id long, dim int, v array<long>, cell int")
+
+
+def in_shards(vectors: DataFrame) -> DataFrame:
+    """``vectors`` with their shard: cells in turn, a cell above SHARD_ROWS rows (equal
+    vectors, or more cells than CELLS needed) in as many shards as it fills."""
+    placed = place_in_cells(vectors, space_cells(vectors))
+    before = Window.partitionBy("dim").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = placed.groupBy("dim", "cell").agg(F.ceil(F.count(F.lit(1)) / SHARD_ROWS).cast("int").alias("parts"))
+    cells = cells.withColumn("from", F.coalesce(F.sum("parts").over(before), F.lit(0)))
+    # A row per length and cell: at most CELLS for each length.
+    return placed.join(F.broadcast(cells), ["dim", "cell"]).withColumn("shard", (F.col("from") + F.pmod(F.xxhash64("uid"), F.col("parts"))).cast("int"))
+
+
+def grouped_queries(queries: DataFrame) -> DataFrame:
+    """``queries`` in groups of about GROUP_QUERIES per vector length."""
+    groups = queries.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / GROUP_QUERIES).cast("int").alias("groups"))
+    return queries.join(F.broadcast(groups), "dim").withColumn("group", F.pmod(F.xxhash64("uid"), F.col("groups")).cast("int")).drop("groups")
+
+
+def open_pairs(built: DataFrame) -> DataFrame:
+    """Pairs of query and shard (not its own) that the root boxes leave open."""
+    width = shuffle_width(built.sparkSession)
+    boxes, queries = (built.where(F.col("kind") == KINDS[kind]) for kind in ("box", "query"))
+    boxes = boxes.withColumn("block", F.floor(F.col("shard") / BOX_BLOCK).cast("int"))
+    queries = grouped_queries(queries)
+    # A block of boxes meets a group of queries: block and group numbers travel, not pairs of rows.
+    asked = queries.join(boxes.select("dim", "block").distinct(), "dim")
+    hosts = boxes.join(queries.select("dim", "group").distinct(), "dim")
+    met = asked.unionByName(hosts).repartition(width, "dim", "block", "group").sortWithinPartitions("dim", "block", "group", "kind")
+    return met.mapInArrow(tidy(_prune()), ROW)
+
+
+def visit(built: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """Best rows of the pairs' shards that are not worse than the queries' floors."""
+    width = shuffle_width(built.sparkSession)
+    pairs = grouped_queries(pairs)
+    hosts = built.where(F.col("kind") == KINDS["tree"]).join(pairs.select("dim", "shard", "group").distinct(), ["dim", "shard"])
+    visits = pairs.unionByName(hosts).repartition(width, "dim", "shard", "group").sortWithinPartitions("dim", "shard", "group", "kind")
+    return visits.mapInArrow(tidy(_visit(k)), ROW)
+
+
 def top_inner_products(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, every: int = 20, scale: int = 64) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each row whose id is divisible
     by ``every``, its k largest integer inner products with all other rows.
@@ -193,27 +351,23 @@ def top_inner_products(df: DataFrame, id_col: str = "vec_id", vector_col: str =
     ranked by the smaller id; fewer than k other rows give fewer. Rows repeated
     with one id are rows of their own, both as queries and as candidates.
     Vectors without components, null or not finite take no part; an empty
-    table gives no rows; other columns are not looked at.
+    table gives no rows; other columns are not looked at. Scores and box bounds
+    are 64-bit: components whose products exceed that are not supported.
     """
-    spark = df.sparkSession
-    width = shuffle_width(spark)
     vectors = integer_vectors(df, id_col, vector_col, scale).where(F.size("v") > 0)
     vectors = staged(vectors.select(F.monotonically_increasing_id().alias("uid"), "vec_id", F.size("v").alias("dim"), "v"), "knn-vectors")
-    shards = vectors.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / SHARD_ROWS).cast("int").alias("shards"))
-    placed = vectors.join(F.broadcast(shards), "dim").withColumn("shard", F.pmod(F.xxhash64("uid"), F.col("shards")).cast("int"))
-    built = placed.select("dim", "shard", "uid", "vec_id", "v").repartition(width, "dim", "shard").sortWithinPartitions("dim", "shard")
+    built = in_shards(vectors).select("dim", "shard", "uid", "vec_id", "v").repartition(shuffle_width(df.sparkSession), "dim", "shard").sortWithinPartitions("dim", "shard")
     built = staged(built.mapInArrow(tidy(_build(k, every)), ROW), "knn-trees")
 
-    trees, queries, hits = (built.where(F.col("kind") == code) for code in KINDS.values())
-    # Queries in groups of bounded size; every group visits every other shard.
-    groups = queries.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / GROUP_QUERIES).cast("int").alias("groups"))
-    places = trees.select("dim", F.col("shard").alias("to"))
-    asked = (
-        queries.join(F.broadcast(groups), "dim").withColumn("group", F.pmod(F.xxhash64("uid"), F.col("groups")).cast("int")).drop("groups")
-        .join(places, "dim").where("to <> shard").withColumn("shard", F.col("to")).drop("to")
-    )
-    hosts = trees.join(F.broadcast(groups), "dim").withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).drop("groups")
-    visits = asked.unionByName(hosts).repartition(width, "dim", "shard", "group").sortWithinPartitions("dim", "shard", "group", "kind")
-    found = hits.unionByName(visits.mapInArrow(tidy(_visit(k)), ROW))
+    best_bound = Window.partitionBy("uid").orderBy(F.desc("bound"), "shard")
+    pairs = staged(open_pairs(built).withColumn("turn", F.row_number().over(best_bound)), "knn-pairs")
     ranked = Window.partitionBy("uid").orderBy(F.desc("score"), "vec_id")
+    first = visit(built, pairs.where(F.col("turn") <= FIRST_WAVE).drop("turn"), k)
+    best = built.where(F.col("kind") == KINDS["hit"]).unionByName(first).select("uid", "query_id", "vec_id", "score")
+    best = staged(best.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k), "knn-first")
+
+    kth = best.where(F.col("rank") == k).select("uid", F.col("score").alias("least"), F.col("vec_id").alias("last"))
+    left = pairs.where(F.col("turn") > FIRST_WAVE).drop("turn").join(kth, "uid", "left").where("least IS NULL OR bound >= least")
+    left = left.withColumn("score", F.coalesce("least", "score")).withColumn("vec_id", F.coalesce("last", "vec_id")).drop("least", "last")
+    found = best.drop("rank").unionByName(visit(built, left, k).select("uid", "query_id", "vec_id", "score"))
     return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -32,6 +32,31 @@ def test_matches_brute_force_over_many_shards(spark, monkeypatch):
     assert sorted(tuple(r) for r in got) == brute(given, 7, 20)
 
 
+def test_few_pairs_of_query_and_shard_stay_open_on_clustered_vectors(spark, monkeypatch):
+    monkeypatch.setattr(knn, "SHARD_ROWS", 50)
+    monkeypatch.setattr(knn, "FIRST_WAVE", 1)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, 2, (16, 6))
+    given = [(i, (centres[i % 16] + rng.normal(0, 0.05, 6)).tolist()) for i in range(1600)]
+    given += [(2000 + i, centres[3].tolist()) for i in range(300)]  # one cell fills several shards
+    sent = []
+    visit = knn.visit
+    monkeypatch.setattr(knn, "visit", lambda built, pairs, k: (sent.append((pairs.count(), built.where("kind = 0").count(), built.where("kind = 1").count())), visit(built, pairs, k))[1])
+    got = top_inner_products(frame(spark, given), k=5, every=20).collect()
+    assert sorted(tuple(r) for r in got) == brute(given, 5, 20)
+    (first, shards, queries), (second, _, _) = sent
+    assert shards >= 32 and first <= queries and first + second < queries * (shards - 1) / 3
+
+
+def test_cells_take_every_vector():
+    rng = np.random.default_rng(2)
+    cells = knn.Cells(rng.integers(-9, 9, (500, 4)), 16)
+    at = cells.of(rng.integers(-90, 90, (5000, 4)))
+    assert cells.count == 16 and set(at) == set(range(16))
+    same = knn.Cells(np.ones((10, 3), np.int64), 8)
+    assert same.count == 1 and same.of(np.zeros((2, 3), np.int64)).tolist() == [0, 0]
+
+
 def test_boxes_prune_without_losing_the_best(spark):
     rng = np.random.default_rng(1)
     ids = np.arange(3000)
