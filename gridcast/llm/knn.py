@@ -28,6 +28,7 @@ SHARD_ROWS, LEAF_ROWS, GROUP_QUERIES = 8192, 256, 2048
 # Rows the cells are drawn from and cells at most (the driver holds these), root
 # boxes in one block, and shards a query visits in the first wave.
 SAMPLE_ROWS, CELLS, BOX_BLOCK, FIRST_WAVE = 16384, 1024, 1024, 4
+BATCH_ROWS = 8192
 
 
 def box_bounds(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -154,10 +155,23 @@ def _rows(kind: str, n: int, **given) -> pa.RecordBatch:
 
 
 def _hits(found, uids, query_ids) -> Iterator[pa.RecordBatch]:
+    """Found rows of many queries in batches of about BATCH_ROWS."""
+    wait, rows = [], 0
     for i, scores, ids in found:
         if len(scores):
-            n = len(scores)
-            yield _rows("hit", n, uid=[int(uids[i])] * n, query_id=[int(query_ids[i])] * n, vec_id=ids, score=scores)
+            wait.append((i, scores, ids))
+            rows += len(scores)
+        if rows >= BATCH_ROWS:
+            yield _hit_rows(wait, uids, query_ids)
+            wait, rows = [], 0
+    if wait:
+        yield _hit_rows(wait, uids, query_ids)
+
+
+def _hit_rows(wait, uids, query_ids) -> pa.RecordBatch:
+    at = np.repeat([i for i, _, _ in wait], [len(s) for _, s, _ in wait])
+    scores, ids = (np.concatenate(x) for x in list(zip(*wait))[1:])
+    return _rows("hit", len(at), uid=np.asarray(uids, np.int64)[at], query_id=np.asarray(query_ids, np.int64)[at], vec_id=ids, score=scores)
 
 
 def _build(k: int, every: int):
@@ -237,12 +251,12 @@ def _prune():
         low, high = np.split(np.array(boxes), 2, axis=1)
         kind = product_kind(q, float(max(abs(low.min()), abs(high.max()))))
         bounds = box_bounds(q.astype(kind), low.astype(kind), high.astype(kind)).astype(np.int64)
-        for i, found in enumerate(bounds):
-            able = np.array(shards) != homes[i]
-            if scores[i] is not None:
-                able &= found >= scores[i]
-            if n := int(able.sum()):
-                yield _rows("query", n, shard=np.array(shards)[able], dim=[dims[i]] * n, uid=[uids[i]] * n, query_id=[query_ids[i]] * n, vec_id=[last[i]] * n, score=[scores[i]] * n, bound=found[able], data=[data[i]] * n)
+        least = np.array([np.iinfo(np.int64).min if x is None else x for x in scores])
+        query, box = np.nonzero((np.array(shards) != np.array(homes)[:, None]) & (bounds >= least[:, None]))
+        for a in range(0, len(query), BATCH_ROWS):
+            i, j = query[a : a + BATCH_ROWS], box[a : a + BATCH_ROWS]
+            take = lambda values: [values[n] for n in i]
+            yield _rows("query", len(i), shard=np.array(shards)[j], dim=take(dims), uid=take(uids), query_id=take(query_ids), vec_id=take(last), score=take(scores), bound=bounds[i, j], data=take(data))
 
     def run(batches):
         key, shards, boxes, asked = None, [], [], []
