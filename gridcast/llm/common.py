@@ -30,12 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, kind: str) -> DataFrame:
+def staged(df: DataFrame, kind: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the cluster's shared folder and read it back: cuts
     the lineage, so later passes neither recompute it nor depend on one executor."""
     bound_batches(df.sparkSession)
     path = fresh_dir(df.sparkSession, kind)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -199,7 +199,7 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
     source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     pieces = source.mapInArrow(tidy(_pieces(tokenizer, size, with_ids)), PIECES)
     whole = F.col("length") == size
-    pieces = staged(pieces.withColumn("class", F.when(whole, 0).otherwise(F.ceil(F.col("length") / UNIT)).cast("int")), "pack-pieces")
+    pieces = staged(pieces.withColumn("class", F.when(whole, 0).otherwise(F.ceil(F.col("length") / UNIT)).cast("int")), "pack-pieces", "zstd")
 
     demand = np.zeros(size // UNIT, np.int64)
     for row in pieces.where("class > 0").groupBy("class").count().collect():  # a row per class

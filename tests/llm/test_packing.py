@@ -56,3 +56,21 @@ def test_patterns_hold_every_piece_and_waste_little(n):
 
 def test_empty_table(spark):
     assert pack(documents(spark, []), byte_bpe_path()).count() == 0
+
+
+def test_stored_token_ids_take_less_than_half_their_size(spark):
+    import glob
+    import os
+    import random
+
+    from gridcast.llm.queries import byte_bpe_path
+    from gridcast.session import shared_dir
+
+    rng = random.Random(4)
+    words = [l for l in "the of and a to in is you that it he was for on are as with his they at be this have from or one had by word but not what all were we when your can said there".split()]
+    docs = spark.createDataFrame([(i, " ".join(rng.choices(words, k=1500))) for i in range(40)], "doc_id long, text string")
+    root = shared_dir(spark, "pack-pieces").removeprefix("file:")
+    before = set(glob.glob(f"{root}/*"))
+    tokens = pack(docs, byte_bpe_path(), with_ids=True).agg({"length": "sum"}).first()[0]
+    (made,) = set(glob.glob(f"{root}/*")) - before
+    assert sum(os.path.getsize(f) for f in glob.glob(f"{made}/*.parquet")) < 2 * tokens
