@@ -27,7 +27,10 @@ both would be linked with the centre already. A prefix filter on the small sets
 D, rarest elements of the group first, names the pairs that are left to compare:
 no link between components is lost, and a group of near copies is not compared
 pair by pair. A centre's members are filtered in one task up to ``COMPARED`` elements of
-them; for more, the elements are counted, ranked and joined by Spark.
+them, and a link is looked for only between members that no link found there
+joins yet: a group gives fewer links than it has members. For more elements, they
+are counted, ranked and joined by Spark, the holders of each beside one of them
+first, so that there too only what stays apart is joined pair by pair.
 """
 
 from __future__ import annotations
@@ -38,7 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcast.llm.common import hash_strings, mix, shuffle_width, split_words, staged, text_slices, tidy
@@ -52,7 +55,7 @@ PAIR_BANDS, PAIR_PARTS = 4, 1024
 BUCKETS_PER_TASK = 4
 # Elements of the members of one centre that one task takes at once (32 MB).
 COMPARED = 4 << 20
-# Rounds in which a set is compared with one centre only.
+# Rounds in which a set is compared with one centre only, or with one holder of an element.
 ROUNDS = 2
 
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -326,8 +329,34 @@ class _Apart:
         self.large = 0 if linked and len(self.d) < least else min(len(self.d), most + 1)
 
 
-def _links_inside(members: list[_Apart], p: int, q: int) -> list[tuple[int, int]]:
-    """Links between members of one group that have different labels."""
+class _Joined:
+    """Labels joined by links so far; every label is its own at first."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, label: int) -> int:
+        while (above := self.up.get(label, label)) != label:
+            self.up[label] = label = self.up.get(above, above)
+        return label
+
+    def join(self, x: int, y: int) -> None:
+        self.up[self.root(x)] = self.root(y)
+
+    def gather(self, holders: dict[int, list[tuple[int, int]]]) -> None:
+        """Put lists of joined labels together, the shorter behind the longer."""
+        for label in [x for x in holders if x in self.up]:
+            root, moved = self.root(label), holders.pop(label)
+            kept = holders.get(root, [])
+            if len(kept) < len(moved):
+                kept, moved = moved, kept
+            kept.extend(moved)
+            holders[root] = kept
+
+
+def _links_inside(members: list[_Apart], p: int, q: int, spanning: bool = False) -> list[tuple[int, int]]:
+    """Links between members of one group that have different labels: all of them, or
+    (``spanning``) as many as join the same labels, fewer than there are labels."""
     every, place, count = np.unique(np.concatenate([m.d for m in members]), return_inverse=True, return_counts=True)
     order = np.argsort(count, kind="stable")
     rank = np.empty(len(every), np.int64)
@@ -335,25 +364,34 @@ def _links_inside(members: list[_Apart], p: int, q: int) -> list[tuple[int, int]
     sorted_ranks, shared = [], count[order] > 1
     for part in np.split(place, np.cumsum([len(m.d) for m in members])[:-1]):
         sorted_ranks.append(np.sort(rank[part]))
-    index: dict[int, list[tuple[int, int]]] = {}
+    # Holders of an element by their label, or by what it is joined with.
+    index: dict[int, dict[int, list[tuple[int, int]]]] = {}
     for y, (m, ranks) in enumerate(zip(members, sorted_ranks)):
         for pos, element in enumerate(ranks[: m.small].tolist()):
             if shared[element]:
-                index.setdefault(element, []).append((y, pos))
-    links = []
+                index.setdefault(element, {}).setdefault(m.label, []).append((y, pos))
+    links, joined = [], _Joined()
     for x, (m, ranks) in enumerate(zip(members, sorted_ranks)):
         seen: set[int] = set()
         for pos, element in enumerate(ranks[: m.large].tolist()):
-            for y, at in index.get(element, ()):
-                other = members[y]
-                if y in seen or other.label == m.label or len(other.d) > len(m.d):
+            holders = index.get(element, {})
+            joined.gather(holders)
+            for label, listed in holders.items():
+                if joined.root(label) == joined.root(m.label):
                     continue
-                # Elements still to come bound what the two can share.
-                ahead = min(len(m.d) - pos, len(other.d) - at)
-                if 2 * ahead >= len(m.d) + len(other.d) - (m.size + other.size) * (q - p) // (q + p):
-                    seen.add(y)
-                    if _similar(m.elements, other.elements, p, q):
-                        links.append((m.node, other.node))
+                for y, at in listed:
+                    other = members[y]
+                    if y in seen or len(other.d) > len(m.d):
+                        continue
+                    # Elements still to come bound what the two can share.
+                    ahead = min(len(m.d) - pos, len(other.d) - at)
+                    if 2 * ahead >= len(m.d) + len(other.d) - (m.size + other.size) * (q - p) // (q + p):
+                        seen.add(y)
+                        if _similar(m.elements, other.elements, p, q):
+                            links.append((m.node, other.node))
+                            if spanning:
+                                joined.join(m.label, label)
+                                break
     return links
 
 
@@ -361,14 +399,15 @@ APART = "kind int, a long, b long, label long, element long, apart int, size int
 
 
 def _apart_rows(p: int, q: int):
-    """Kind 0: a link (a, b) found inside a whole group. Kind 1: an element of D(b)
-    for a member b of a centre a with more members than one task takes."""
+    """Kind 0: a link (a, b) found inside a whole group, fewer of them than it has
+    members. Kind 1: an element of D(b) for a member b of a centre a with more
+    members than one task takes."""
 
     def run(batches):
         for c, groups, centre, raw in _by_centre(batches):
             members = [_Apart(node, label, elements, centre, p, q) for node, label, elements in raw]
             if groups == 1:
-                links = _links_inside(members, p, q)
+                links = _links_inside(members, p, q, spanning=True)
                 n = len(links)
                 a, b = zip(*links) if links else ((), ())
                 cols = [[0] * n, a, b, *[[None] * n] * 6]
@@ -403,8 +442,14 @@ def _verify(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     return staged(rows.mapInArrow(tidy(_compare(p, q)), "a long, b long"), "jaccard-links")
 
 
+def _enough(p: int, q: int) -> Column:
+    """Whether x and y, which share their i-th and j-th element, can be similar."""
+    ahead = F.least(F.col("dx") - F.col("i"), F.col("dy") - F.col("j"))
+    return 2 * ahead >= F.col("dx") + F.col("dy") - F.floor((F.col("sx") + F.col("sy")) * F.lit(q - p) / F.lit(q + p))
+
+
 def _links_beside_centres(groups: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
-    """Links between members of one centre in different components; ``groups``:
+    """Links that join the members of one centre in different components; ``groups``:
     centre a, member b, the member's component label."""
     rows = staged(_with_centres(groups, sets).mapInArrow(tidy(_apart_rows(p, q)), APART), "jaccard-apart")
     links = rows.where("kind = 0").select("a", "b")
@@ -416,11 +461,24 @@ def _links_beside_centres(groups: DataFrame, sets: DataFrame, p: int, q: int) ->
     of_member = Window.partitionBy("a", "b")
     place = F.col("apart") - F.count(F.lit(1)).over(of_member) + F.row_number().over(of_member.orderBy("n", "element")) - 1
     ranked = staged(big.join(counts, ["a", "element"]).withColumn("pos", place).where("pos < greatest(small, large)"), "jaccard-ranked")
+    # The holders of an element beside one of them, another in each round: a group of
+    # near copies is joined by as many pairs as its elements have holders, not their square.
+    members = groups.select(F.col("b").alias("a"), F.col("label").alias("b"))
+    for turn in range(ROUNDS):
+        one = F.min_by(F.struct(F.col("b").alias("x"), F.col("pos").alias("i"), F.col("apart").alias("dx"), F.col("size").alias("sx"), F.col("label").alias("lx")), F.xxhash64("b", F.lit(turn)))
+        ones = ranked.groupBy("a", "element").agg(one.alias("one")).select("a", "element", "one.*")
+        beside = ranked.withColumnsRenamed({"b": "y", "pos": "j", "apart": "dy", "size": "sy", "label": "ly"}).join(ones, ["a", "element"])
+        beside = staged(beside.where("lx <> ly").where(_enough(p, q)).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "jaccard-beside")
+        links = links.unionByName(_verify(beside, sets, p, q))
+        now = components(members.unionByName(links)).select(F.col("node").alias("b"), "component")
+        ranked = ranked.join(now, "b", "left").withColumn("label", F.coalesce("component", "label")).drop("component")
+        mixed = ranked.groupBy("a", "element").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("a", "element")
+        ranked = staged(ranked.join(mixed, ["a", "element"]), "jaccard-ranked")
+        if ranked.isEmpty():
+            return links
     x = ranked.where("pos < large").select("a", "element", F.col("b").alias("x"), F.col("pos").alias("i"), F.col("apart").alias("dx"), F.col("size").alias("sx"), F.col("label").alias("lx"))
     y = ranked.where("pos < small").select("a", "element", F.col("b").alias("y"), F.col("pos").alias("j"), F.col("apart").alias("dy"), F.col("size").alias("sy"), F.col("label").alias("ly"))
-    ahead = F.least(F.col("dx") - F.col("i"), F.col("dy") - F.col("j"))
-    enough = 2 * ahead >= F.col("dx") + F.col("dy") - F.floor((F.col("sx") + F.col("sy")) * F.lit(q - p) / F.lit(q + p))
-    met = x.join(y, ["a", "element"]).where("x <> y AND lx <> ly AND dy <= dx").where(enough)
+    met = x.join(y, ["a", "element"]).where("x <> y AND lx <> ly AND dy <= dx").where(_enough(p, q))
     rest = staged(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "jaccard-rest")
     return links.unionByName(_verify(rest, sets, p, q))
 

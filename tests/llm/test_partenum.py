@@ -163,3 +163,84 @@ def test_links_inside_a_group_equal_all_pairs():
         want = {(i, j) for i, j in combinations(range(1, len(sets)), 2) if similar(i, j)}
         # Pairs that are both linked with the centre are connected already.
         assert {l for l in want if not set(l) <= near} <= found <= want
+
+
+def far_from_their_centre(members):
+    """A centre similar to none, and sets that are all similar to one another."""
+    rng = np.random.default_rng(8)
+    base = np.unique(rng.integers(0, 2**62, 120, dtype=np.uint64))
+    centre = np.unique(np.concatenate([base[:60], rng.integers(2**62, 2**63, 60, dtype=np.uint64)]))
+    return centre, [np.unique(np.append(base, np.uint64(2**63 + i))) for i in range(members)]
+
+
+def joined_by(pairs, nodes):
+    joined = partenum._Joined()
+    for a, b in pairs:
+        if joined.root(a) != joined.root(b):
+            joined.join(a, b)
+    return len({joined.root(n) for n in nodes})
+
+
+def group_rows(centre, sets, labels):
+    def column(own, *others):
+        return pa.array([own, *others])
+
+    n = len(sets)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([0] * (n + 1)),
+            pa.array([0] * (n + 1)),
+            pa.array([1] * (n + 1)),
+            column(True, *[False] * n),
+            column(0, *range(1, n + 1)),
+            column(None, *labels),
+            column(centre.tobytes(), *[s.tobytes() for s in sets]),
+        ],
+        ["centre", "salt", "salts", "own", "rep", "label", "elements"],
+    )
+
+
+@pytest.mark.parametrize("members", [20, 80])
+def test_a_group_gives_fewer_links_than_members(members):
+    centre, sets = far_from_their_centre(members)
+    (made,) = partenum._apart_rows(80, 100)([group_rows(centre, sets, range(1, members + 1))])
+    links = list(zip(made.column("a").to_pylist(), made.column("b").to_pylist()))
+    assert len(links) == members - 1
+    assert joined_by(links, range(1, members + 1)) == 1
+
+
+def test_spanning_links_join_what_all_links_join():
+    rng = np.random.default_rng(6)
+    for _ in range(40):
+        base = np.unique(rng.integers(0, 2**63, int(rng.integers(20, 200)), dtype=np.uint64))
+        pool = rng.integers(0, 2**63, 30, dtype=np.uint64)
+        sets = []
+        for _ in range(25):
+            keep = base[rng.random(len(base)) > rng.random() * 0.3]
+            sets.append(np.unique(np.concatenate([keep, rng.choice(pool, int(rng.integers(0, 12)))])))
+        sets = [s for s in sets if len(s)]
+        labels = rng.integers(0, 12, len(sets)).tolist()  # some lie in one component already
+        members = [partenum._Apart(i, labels[i], s, sets[0], 80, 100) for i, s in enumerate(sets) if i]
+        every, spanning = partenum._links_inside(members, 80, 100), partenum._links_inside(members, 80, 100, spanning=True)
+        of_labels = lambda links: [(labels[a], labels[b]) for a, b in links]  # noqa: E731, B023
+        assert {tuple(sorted(l)) for l in spanning} <= {tuple(sorted(l)) for l in every}
+        assert len(spanning) < len({m.label for m in members})
+        assert joined_by(of_labels(every), labels) == joined_by(of_labels(spanning), labels)
+
+
+def test_a_group_of_many_parts_is_joined_without_all_its_pairs(spark, monkeypatch):
+    monkeypatch.setattr(partenum, "COMPARED", 500)
+    members = 60
+    centre, sets = far_from_their_centre(members)
+    compared, verify = [], partenum._verify
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(partenum, "_verify", counted)
+    elements = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate([centre, *sets])], "rep long, elements binary")
+    groups = spark.createDataFrame([(0, i, i) for i in range(1, members + 1)], "a long, b long, label long")
+    links = [tuple(r) for r in partenum._links_beside_centres(groups, elements, 80, 100).collect()]
+    assert joined_by(links, range(1, members + 1)) == 1
+    assert len(links) < 2 * members and sum(compared) < 2 * members
