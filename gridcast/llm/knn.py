@@ -22,9 +22,11 @@ from pyspark.sql import functions as F
 
 from gridcast.llm.common import shuffle_width, staged, tidy
 
-# Rows per shard and per leaf, and queries searched in one group: what one
-# task holds is a shard and a group.
-SHARD_ROWS, LEAF_ROWS, GROUP_QUERIES = 8192, 256, 2048
+# Rows per shard and per leaf, and queries that share one copy of a tree: what one
+# task holds is a shard and a group, whose products are made SEARCHED queries at a time.
+SHARD_ROWS, LEAF_ROWS, GROUP_QUERIES, SEARCHED = 8192, 256, 4096, 1024
+# Hits that wait for a merge with the best rows so far, at most by one leaf more.
+WAITING = 65536
 # Rows the cells are drawn from and cells at most (the driver holds these), root
 # boxes in one block, and shards a query visits in the first wave.
 SAMPLE_ROWS, CELLS, BOX_BLOCK, FIRST_WAVE = 16384, 1024, 1024, 4
@@ -37,8 +39,26 @@ def box_bounds(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
 
 
 def product_kind(q: np.ndarray, largest: float) -> type:
-    """float64 products are exact below 2**53; larger values stay integers."""
-    return np.float64 if largest * float(np.abs(q).max(initial=0)) * q.shape[1] < 2**53 else np.int64
+    """float32 products are exact below 2**24, float64 below 2**53; larger values stay integers."""
+    most = largest * max(abs(float(q.max(initial=0))), abs(float(q.min(initial=0)))) * q.shape[1]
+    return np.float32 if most < 2**24 else np.float64 if most < 2**53 else np.int64
+
+
+def narrow(values: np.ndarray) -> np.ndarray:
+    """``values`` in the smallest integer type that holds them all."""
+    low, high = values.min(initial=0), values.max(initial=0)
+    kind = next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
+    return values.astype(kind)
+
+
+def unpacked(data: list[bytes], dim: int) -> np.ndarray:
+    """Vectors of ``dim`` components from the bytes of ``narrow`` ones, each of its own width."""
+    out = np.empty((len(data), dim), np.int64)
+    widths = np.array([len(d) for d in data]) // dim
+    for width in np.unique(widths):
+        mine = np.flatnonzero(widths == width)
+        out[mine] = np.frombuffer(b"".join(data[i] for i in mine), f"i{width}").reshape(len(mine), dim)
+    return out
 
 
 class Cells:
@@ -98,49 +118,81 @@ class Tree:
                 if hi[axis] > lo[axis]:  # equal vectors stay in id order
                     order[a:z] = order[a:z][np.argsort(here[:, axis], kind="stable")]
                 wait += [(mid, z, len(self.nodes) - 1, 1), (a, mid, len(self.nodes) - 1, 0)]
-        self.low, self.high = np.array(low), np.array(high)
-        self.ids, self.uids, self.vectors = ids[order], uids[order], vectors[order]
+        self.low, self.high = narrow(np.array(low)), narrow(np.array(high))
+        self.ids, self.uids, self.vectors = ids[order], uids[order], narrow(vectors[order])
         self.first_id = np.array([self.ids[a:z].min() for a, z, _, _ in self.nodes])
-        largest = float(max(abs(self.low.min(initial=0)), abs(self.high.max(initial=0))))
-        self.largest = largest
+        # As Python numbers: the least integer of a type has no positive one.
+        self.largest = max(abs(float(self.low.min(initial=0))), abs(float(self.high.max(initial=0))))
 
     def search(self, queries: np.ndarray, own: np.ndarray, floor: list[tuple[int, int] | None], k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For each query (scores, ids) of its k best rows here that are not worse
         than ``floor``, a (score, id) already reached k times elsewhere. Ties go
-        to the smaller id; the row whose uid is ``own`` is left out."""
+        to the smaller id; the row whose uid is ``own`` is left out.
+
+        Queries go down the tree together, the box of the best bound first; a box
+        is entered by those that may still find a row in it, in one product.
+        """
         kind = product_kind(queries, self.largest)
-        rows, q, lo, hi = (x.astype(kind) for x in (self.vectors, queries, self.low, self.high))
-        bounds = box_bounds(q, lo, hi)
+        rows, low, high = (x.astype(kind) for x in (self.vectors, self.low, self.high))
+        for a in range(0, len(queries), SEARCHED):
+            part = slice(a, a + SEARCHED)
+            best = self._search(rows, low, high, queries[part].astype(kind), own[part], floor[part], k)
+            yield from ((a + i, scores, ids) for i, scores, ids in best)
+
+    def _search(self, rows, low, high, q, own, floor, k) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        bounds = box_bounds(q, low, high)
+        unset = np.array([f is None for f in floor])
+        worst = np.array([0 if f is None else f[0] for f in floor], np.int64)  # the k-th (score, id) so far
+        last = np.array([0 if f is None else f[1] for f in floor], np.int64)
+        at, scores, ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        wait, waiting = [], 0
+
+        def merge() -> None:
+            nonlocal at, scores, ids, wait, waiting
+            at, scores, ids = (np.concatenate(x) for x in zip((at, scores, ids), *wait))
+            wait, waiting = [], 0
+            order = np.lexsort((ids, -scores, at))
+            at, scores, ids = at[order], scores[order], ids[order]
+            starts = np.searchsorted(at, np.arange(len(q)))
+            keep = np.arange(len(at)) - starts[at] < k
+            full = np.flatnonzero(np.diff(np.append(starts, len(at))) >= k)
+            kth = starts[full] + k - 1
+            # Rows found are not worse than the floor, so their k-th is not either.
+            worst[full], last[full], unset[full] = scores[kth], ids[kth], False
+            at, scores, ids = at[keep], scores[keep], ids[keep]
+
+        def open_for(node: int, asked: np.ndarray) -> np.ndarray:
+            bound, least = bounds[asked, node].astype(np.int64), self.first_id[node]
+            return asked[unset[asked] | (bound > worst[asked]) | ((bound == worst[asked]) & (least <= last[asked]))]
+
+        def entry(node: int, asked: np.ndarray) -> tuple:
+            return -int(bounds[asked, node].max()), int(self.first_id[node]), node, asked
+
+        heap = [entry(0, np.arange(len(q)))] if len(q) else []
+        while heap:
+            _, _, node, asked = heapq.heappop(heap)
+            if not len(asked := open_for(node, asked)):
+                continue
+            a, z, left, right = self.nodes[node]
+            if left >= 0:
+                for child in (left, right):
+                    heapq.heappush(heap, entry(child, asked))
+                continue
+            got = q[asked] @ rows[a:z].T
+            # In the products' own kind the floor is exact too: it is one of them, or their bound.
+            i, j = np.nonzero((got >= worst[asked].astype(got.dtype)[:, None]) | unset[asked][:, None])
+            found, query, row = got[i, j].astype(np.int64), asked[i], j + a
+            new = self.ids[row]
+            able = (self.uids[row] != own[query]) & (unset[query] | (found > worst[query]) | (new <= last[query]))
+            wait.append((query[able], found[able], new[able]))
+            waiting += len(wait[-1][0])
+            if waiting >= WAITING or unset[asked].any():
+                merge()
+        if wait:
+            merge()
+        starts = np.searchsorted(at, np.arange(len(q) + 1))
         for i in range(len(q)):
-            scores, ids = np.empty(0, np.int64), np.empty(0, np.int64)
-            worst = floor[i]
-            heap = [(-bounds[i, 0], int(self.first_id[0]), 0)]
-            while heap:
-                bound, least, node = heapq.heappop(heap)
-                if worst is not None and (bound, least) > (-worst[0], worst[1]):
-                    if -bound < worst[0]:
-                        break  # every box left is bounded by this one
-                    continue
-                a, z, left, right = self.nodes[node]
-                if left >= 0:
-                    for child in (left, right):
-                        heapq.heappush(heap, (-bounds[i, child], int(self.first_id[child]), child))
-                    continue
-                got = (rows[a:z] @ q[i]).astype(np.int64)
-                able = self.uids[a:z] != own[i]
-                if worst is not None:
-                    able &= got >= worst[0]
-                if not able.any():
-                    continue
-                scores = np.concatenate([scores, got[able]])
-                ids = np.concatenate([ids, self.ids[a:z][able]])
-                best = np.lexsort((ids, -scores))[:k]
-                scores, ids = scores[best], ids[best]
-                if len(scores) == k:
-                    mine = (int(scores[-1]), int(ids[-1]))
-                    if worst is None or (-mine[0], mine[1]) < (-worst[0], worst[1]):
-                        worst = mine
-            yield i, scores, ids
+            yield i, scores[starts[i] : starts[i + 1]], ids[starts[i] : starts[i + 1]]
 
 
 ROW = "kind int, shard int, dim int, uid long, query_id long, vec_id long, score long, bound long, data binary"
@@ -192,7 +244,7 @@ def _build(k: int, every: int):
         reached = {i: (s[-1], n[-1]) for i, s, n in found if len(s) == k}
         for i, row in enumerate(asked):
             score, last = reached.get(i, (None, None))
-            yield _rows("query", 1, shard=[shard], dim=[dim], uid=[int(uids[row])], query_id=[int(ids[row])], vec_id=[None if last is None else int(last)], score=[None if score is None else int(score)], data=[vectors[row].tobytes()])
+            yield _rows("query", 1, shard=[shard], dim=[dim], uid=[int(uids[row])], query_id=[int(ids[row])], vec_id=[None if last is None else int(last)], score=[None if score is None else int(score)], data=[narrow(vectors[row]).tobytes()])
 
     def run(batches):
         key, parts = None, []
@@ -223,8 +275,9 @@ def _visit(k: int):
     def answer(tree, asked) -> Iterator[pa.RecordBatch]:
         if tree is None or not asked:
             return
-        uids, query_ids, floors, vectors = zip(*asked)
-        yield from _hits(tree.search(np.array(vectors), np.full(len(uids), -1), list(floors), k), uids, query_ids)
+        uids, query_ids, floors, data = zip(*asked)
+        queries = unpacked(data, tree.vectors.shape[1])
+        yield from _hits(tree.search(queries, np.full(len(uids), -1), list(floors), k), uids, query_ids)
 
     def run(batches):
         tree, asked = None, []
@@ -234,7 +287,7 @@ def _visit(k: int):
                     yield from answer(tree, asked)
                     tree, asked = pickle.loads(data), []
                 else:
-                    asked.append((uid, query_id, None if score is None else (score, vec_id), np.frombuffer(data, np.int64)))
+                    asked.append((uid, query_id, None if score is None else (score, vec_id), data))
         yield from answer(tree, asked)
 
     return run
@@ -246,17 +299,20 @@ def _prune():
     k-th so far, with that bound; its own shard is left out."""
 
     def pairs(shards, boxes, asked) -> Iterator[pa.RecordBatch]:
-        homes, uids, query_ids, last, scores, dims, data = zip(*asked)
-        q = np.array([np.frombuffer(d, np.int64) for d in data])
         low, high = np.split(np.array(boxes), 2, axis=1)
-        kind = product_kind(q, float(max(abs(low.min()), abs(high.max()))))
-        bounds = box_bounds(q.astype(kind), low.astype(kind), high.astype(kind)).astype(np.int64)
-        least = np.array([np.iinfo(np.int64).min if x is None else x for x in scores])
-        query, box = np.nonzero((np.array(shards) != np.array(homes)[:, None]) & (bounds >= least[:, None]))
-        for a in range(0, len(query), BATCH_ROWS):
-            i, j = query[a : a + BATCH_ROWS], box[a : a + BATCH_ROWS]
-            take = lambda values: [values[n] for n in i]
-            yield _rows("query", len(i), shard=np.array(shards)[j], dim=take(dims), uid=take(uids), query_id=take(query_ids), vec_id=take(last), score=take(scores), bound=bounds[i, j], data=take(data))
+        largest = max(abs(float(low.min())), abs(float(high.max())))
+        shards = np.array(shards)
+        for start in range(0, len(asked), SEARCHED):
+            homes, uids, query_ids, last, scores, dims, data = zip(*asked[start : start + SEARCHED])
+            q = unpacked(data, low.shape[1])
+            kind = product_kind(q, largest)
+            bounds = box_bounds(q.astype(kind), low.astype(kind), high.astype(kind)).astype(np.int64)
+            least = np.array([np.iinfo(np.int64).min if x is None else x for x in scores])
+            query, box = np.nonzero((shards != np.array(homes)[:, None]) & (bounds >= least[:, None]))
+            for a in range(0, len(query), BATCH_ROWS):
+                i, j = query[a : a + BATCH_ROWS], box[a : a + BATCH_ROWS]
+                take = lambda values: [values[n] for n in i]
+                yield _rows("query", len(i), shard=shards[j], dim=take(dims), uid=take(uids), query_id=take(query_ids), vec_id=take(last), score=take(scores), bound=bounds[i, j], data=take(data))
 
     def run(batches):
         key, shards, boxes, asked = None, [], [], []
@@ -329,10 +385,11 @@ def in_shards(vectors: DataFrame) -> DataFrame:
     return placed.join(F.broadcast(cells), ["dim", "cell"]).withColumn("shard", (F.col("from") + F.pmod(F.xxhash64("uid"), F.col("parts"))).cast("int"))
 
 
-def grouped_queries(queries: DataFrame) -> DataFrame:
-    """``queries`` in groups of about GROUP_QUERIES per vector length."""
-    groups = queries.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / GROUP_QUERIES).cast("int").alias("groups"))
-    return queries.join(F.broadcast(groups), "dim").withColumn("group", F.pmod(F.xxhash64("uid"), F.col("groups")).cast("int")).drop("groups")
+def grouped_queries(queries: DataFrame, *keys: str) -> DataFrame:
+    """``queries`` in groups of about GROUP_QUERIES per vector length (and ``keys``)."""
+    groups = queries.groupBy("dim", *keys).agg(F.ceil(F.count(F.lit(1)) / GROUP_QUERIES).cast("int").alias("groups"))
+    # A row per length, or length and shard.
+    return queries.join(F.broadcast(groups), ["dim", *keys]).withColumn("group", F.pmod(F.xxhash64("uid"), F.col("groups")).cast("int")).drop("groups")
 
 
 def open_pairs(built: DataFrame) -> DataFrame:
@@ -349,9 +406,10 @@ def open_pairs(built: DataFrame) -> DataFrame:
 
 
 def visit(built: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
-    """Best rows of the pairs' shards that are not worse than the queries' floors."""
+    """Best rows of the pairs' shards that are not worse than the queries' floors. A
+    tree is sent once for each group of its own queries, not of all pairs."""
     width = shuffle_width(built.sparkSession)
-    pairs = grouped_queries(pairs)
+    pairs = grouped_queries(pairs, "shard")
     hosts = built.where(F.col("kind") == KINDS["tree"]).join(pairs.select("dim", "shard", "group").distinct(), ["dim", "shard"])
     visits = pairs.unionByName(hosts).repartition(width, "dim", "shard", "group").sortWithinPartitions("dim", "shard", "group", "kind")
     return visits.mapInArrow(tidy(_visit(k)), ROW)

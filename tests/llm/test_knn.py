@@ -79,3 +79,50 @@ def test_large_components_stay_exact(spark):
 
 def test_empty_table(spark):
     assert top_inner_products(frame(spark, [])).count() == 0
+
+
+def test_a_tree_is_sent_once_for_a_group_of_its_queries_in_narrow_integers(spark, monkeypatch):
+    monkeypatch.setattr(knn, "SHARD_ROWS", 100)
+    monkeypatch.setattr(knn, "GROUP_QUERIES", 50)
+    rng = np.random.default_rng(7)
+    given = [(i, rng.normal(0, 0.2, 16).tolist()) for i in range(1000)]
+    sent, built = [], []
+    visit, prune = knn.visit, knn.open_pairs
+    monkeypatch.setattr(knn, "open_pairs", lambda b: (built.append(b), prune(b))[1])
+
+    def visited(b, pairs, k):
+        out = visit(b, pairs, k)
+        trees = b.where("kind = 0").select("dim", "shard").join(knn.grouped_queries(pairs, "shard").select("dim", "shard", "group").distinct(), ["dim", "shard"])
+        sent.append((pairs.count(), trees.count()))
+        return out
+
+    monkeypatch.setattr(knn, "visit", visited)
+    got = top_inner_products(frame(spark, given), k=5, every=10).collect()
+    assert sorted(tuple(r) for r in got) == brute(given, 5, 10)
+    shards = built[0].where("kind = 0").count()
+    assert sum(n for n, _ in sent) > 10 * 50 and all(trees <= 2 * shards for _, trees in sent)
+    tree = built[0].where("kind = 0").selectExpr("max(length(data))").first()[0]
+    assert tree < 100 * 16 * 8 and built[0].where("kind = 1").selectExpr("max(length(data))").first()[0] == 16
+
+
+def test_queries_of_a_group_search_together_as_each_alone():
+    rng = np.random.default_rng(3)
+    ids = rng.permutation(2000) // 2  # every id twice
+    vectors = rng.integers(-2, 3, (2000, 3))  # many ties
+    tree = knn.Tree(ids, np.arange(2000), vectors)
+    queries = rng.integers(-130, 130, (1500, 3))
+    own = rng.integers(-1, 2000, 1500)
+    floor = [None if i % 3 == 0 else (int((vectors @ q).max()) - i % 9, int(i)) for i, q in enumerate(queries)]
+    for i, scores, found in tree.search(queries, own, floor, 7):
+        all_scores = vectors @ queries[i]
+        able = [(-s, j) for n, (s, j) in enumerate(zip(all_scores.tolist(), ids.tolist())) if n != own[i]]
+        want = sorted(x for x in able if floor[i] is None or x <= (-floor[i][0], floor[i][1]))[:7]
+        assert [(-s, j) for s, j in zip(scores.tolist(), found.tolist())] == want
+
+
+def test_products_and_bytes_take_the_extremes_of_their_types():
+    low = np.array([[-128, 127], [0, 1]])
+    assert knn.narrow(low).dtype == np.int8 and knn.narrow(low * 2).dtype == np.int16 and knn.narrow(low << 40).dtype == np.int64
+    assert knn.unpacked([knn.narrow(v).tobytes() for v in (low[0], low[1] * 300, low[0] << 40)], 2).tolist() == [[-128, 127], [0, 300], [-128 << 40, 127 << 40]]
+    assert knn.product_kind(np.array([[-128, 0]]), 128.0) is np.float32 and knn.product_kind(low << 10, 2.0**20) is np.float64
+    assert knn.product_kind(low << 30, 2.0**30) is np.int64
