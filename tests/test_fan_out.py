@@ -48,3 +48,15 @@ def test_fan_out_counts_lists_and_deals_readings_evenly(spark):
 def test_buckets_follow_the_rows(spark):
     assert hour_buckets(0, 8) == hour_buckets(320_000, 8) == 8
     assert hour_buckets(100 * ROWS_PER_BUCKET, 8) == 100
+
+
+@pytest.mark.parametrize("bound", [1_000_000, 0])
+def test_fan_out_goes_through_the_readings_of_a_task_by_time(spark, bound):
+    prices = spark.createDataFrame([(T(2024, 1, 1, i % 24), float(i)) for i in range(480)], "price_time timestamp, label double")
+    readings = spark.createDataFrame([(float(i % 97), T(2024, 1, 1, i * 7 % 24, 15 * (i % 4))) for i in range(2000)], "temperature double, time_15min timestamp")
+    joined = hour_join(readings, prices, fan_out=True, broadcast_max_rows=bound).withColumn("task", F.spark_partition_id())
+    hours = {}
+    for r in joined.collect():
+        hours.setdefault(r.task, []).append(r.time_15min.hour)
+    assert sum(map(len, hours.values())) == 2000 * 20
+    assert all(sum(a != b for a, b in zip(h, h[1:])) == len(set(h)) - 1 for h in hours.values())
